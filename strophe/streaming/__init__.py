@@ -1,0 +1,6 @@
+"""There is no streaming work to do: nothing this library covers keeps state over an unbounded input.
+
+The column functions in ``strophe.functions`` and the row operators in
+``strophe.operators.rows`` are stateless, so they run unchanged on a streaming
+DataFrame.
+"""
