@@ -93,8 +93,8 @@ def split_stanzas(col: Column, mode: str = "cascade", paren_test: str = "exact")
         "paren": (col.rlike(ANY_BRACKET_HEADER), F.split(text, SPLIT_BEFORE_BRACKET)),
         "keyword": (
             col.rlike("(?iu)" + BARE_HEADER),
-            F.split(F.regexp_replace(F.regexp_replace(text, SPLIT_BEFORE_BRACKET, mark),
-                                     SPLIT_BARE, f"{mark}$1{mark}"), mark),
+            F.split(F.regexp_replace(F.regexp_replace(text, SPLIT_BARE, f"{mark}$1{mark}"),
+                                     SPLIT_BEFORE_BRACKET, mark), mark),
         ),
     }[mode]
     return (F.when(test, pieces)

@@ -1,0 +1,19 @@
+"""Columns of the tables the library reads and writes."""
+
+from .wordlists import GENRES
+
+_FLAGS = ", ".join(f"is_{g} boolean" for g in GENRES)
+
+SOURCE_SONGS = (
+    "id bigint, title string, tag string, artist string, year int, views bigint, features string, lyrics string, "
+    f"language_cld3 string, language_ft string, language string, {_FLAGS}"
+)
+SAMPLED_SONGS = (
+    f"id bigint, title string, artist string, year int, views bigint, features string, lyrics string, {_FLAGS}"
+)
+STANZAS = (
+    f"id bigint, title string, artist string, features string, year int, views bigint, {_FLAGS}, "
+    "stanza_number int, is_chorus boolean, lemmatized_stanzas array<string>"
+)
+LABELLED_STANZAS = "id bigint, stanza_number int, stanzas string, label string"
+MERGED = STANZAS + ", label string"

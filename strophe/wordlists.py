@@ -20,7 +20,7 @@ CHORUS_KEYWORDS = "Hook Chorus Refrain Bridge".split()
 # Keywords that may stand without brackets; "Verse" and "Chorus" carry an optional number.
 BARE_KEYWORDS = [
     "Introduction", "Interlude", "Coda", "Hook", "Prehook", "Posthook", "Conclusion", "Refrain",
-    r"Verse \d*", "Intro", "Outro", r"Chorus \d*", "Bridge",
+    r"Verse \p{Nd}*", "Intro", "Outro", r"Chorus \p{Nd}*", "Bridge",
 ]
 
 # The eight emotions; the position is the class index, for training and for decoding alike.
