@@ -1 +1,179 @@
-"""Fitted models on whole tables; no SQL equivalent, so rows only."""
+"""Fitted models over whole tables.  Training has no SQL equivalent, so these are checked by rows only."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, functions as F
+
+from ..functions.arrays import join_tokens
+from ..functions.text import analyze
+from ..operators import models as M
+from ..operators.features import BOOLEANS, fit_features
+from ..operators.sampling import random_split, train_val_test
+from ..operators.scoring import score_batches
+from ..plans import training as P
+from ..sources.runs import log_run, run_summary
+from ..sources.staging import shared_folder, stage
+from ..wordlists import GENRES
+from .base import _TITLE, documents, query, words_sql
+from .terms import tf_sql, weights_sql
+
+LANGS = ["de", "en", "es", "fr"]
+TERMS = 1000
+_FLAGS = {f"is_{g}": f"(n_chars % {i} = 0)" for i, g in enumerate(GENRES, 2)} | {"is_chorus": "(contains(text, ','))"}
+
+
+def stanzas(spark, folder) -> DataFrame:
+    """Documents as labelled stanzas: the language is the class, the flags come from sizes and marks."""
+    rows = documents(spark, folder, "doc_id", "text", "lang", "n_chars")
+    return rows.select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("label"), analyze(F.col("text")).alias("lemmatized_stanzas"),
+        F.expr(_TITLE["spark"]).alias("title"), (F.col("n_chars") % 10).cast("int").alias("stanza_number"),
+        *[F.expr(e).alias(n) for n, e in _FLAGS.items()])
+
+
+def model_rows(spark, folder) -> DataFrame:
+    return stage(stanzas(spark, folder).withColumn("text_str", join_tokens(F.col("lemmatized_stanzas"))).drop(
+        "lemmatized_stanzas"))
+
+
+def _rounded(report: DataFrame) -> DataFrame:
+    return report.withColumns({c: F.round(c, 6) for c, t in report.dtypes if t == "double"})
+
+
+def _forest(train: DataFrame):
+    return P.fit_forest(train, {"trees": 20, "depth": 10, "max_features": TERMS}, LANGS)
+
+
+_MIX_SRC = f"""mix AS (SELECT doc_id AS id, text, {_TITLE['sql']} AS title, n_chars % 10 AS number,
+    {' + '.join(f'{e}::INT' for e in _FLAGS.values())} AS flags FROM documents)"""
+
+
+@query(f"""WITH {_MIX_SRC},
+    text_block AS (WITH tf AS ({tf_sql('mix', 'id')}), {weights_sql('tf', 'mix', 'id')}
+      SELECT id, count(*) AS n, sum(weight) AS s FROM weights GROUP BY id),
+    title_block AS (WITH tf AS ({tf_sql('mix', 'id', 'title')}), {weights_sql('tf', 'mix', 'id')}
+      SELECT id, count(*) AS n, sum(weight) AS s FROM weights GROUP BY id),
+    scaled AS (SELECT id, flags, (number - (SELECT avg(number) FROM mix)) / (SELECT stddev_pop(number) FROM mix) AS z FROM mix)
+    SELECT m.id, coalesce(a.n, 0) + coalesce(b.n, 0) + m.flags + (m.z <> 0)::INT AS filled,
+      round(coalesce(a.s, 0) + coalesce(b.s, 0) + m.flags + m.z, 6) AS total
+    FROM scaled m LEFT JOIN text_block a USING (id) LEFT JOIN title_block b USING (id)""")
+def mixed_features(spark, folder):
+    """Filled cells and their sum in the assembled vector of text, title, number and flags."""
+    rows = model_rows(spark, folder)
+    vectors = fit_features(rows).transform(rows).select("id", vector_to_array("features").alias("v"))
+    filled = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + (x != 0).cast("long"))
+    return vectors.select("id", filled.alias("filled"), F.round(F.aggregate(
+        "v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+@query()
+def forest_report(spark, folder):
+    """Hold-out report of a random forest on mixed features."""
+    return _rounded(P.train_and_evaluate(model_rows(spark, folder), _forest, classes=LANGS).report())
+
+
+@query()
+def forest_auc(spark, folder):
+    return _rounded(P.train_and_evaluate(model_rows(spark, folder), _forest, classes=LANGS).auc())
+
+
+@query()
+def text_forest_report(spark, folder):
+    """Stratified hold-out, TF-IDF of the text as the only feature."""
+    parts = stage(random_split(model_rows(spark, folder), 0.2, "id", ["label"]))
+    model = P.fit_forest(parts.where("split = 'train'"), {"trees": 20, "depth": 10}, LANGS,
+                         P.text_spec(max_features=TERMS))
+    return _rounded(P.evaluate(model, parts.where("split = 'test'"), LANGS).report())
+
+
+@query()
+def svm_report(spark, folder):
+    """Linear SVM, one against the rest."""
+    fit = lambda train: P.fit_svm(train, {"c": 0.9, "max_features": TERMS, "max_iter": 5}, LANGS)
+    return _rounded(P.train_and_evaluate(model_rows(spark, folder), fit, classes=LANGS).report())
+
+
+@query()
+def svm_pairs_report(spark, folder):
+    """Linear SVM, one against one."""
+    fit = lambda train: M.fit_one_vs_one(
+        train, c=0.9, max_iter=5, spec=P.mixed_spec(TERMS), classes=LANGS)
+    return _rounded(P.train_and_evaluate(model_rows(spark, folder), fit, classes=LANGS).report())
+
+
+@query()
+def chi2_forest_report(spark, folder):
+    """Counts, chi-squared selection, TF-IDF, forest."""
+    fit = lambda train: P.fit_chi2_forest(train, k=500, classes=LANGS, trees=20)
+    return _rounded(P.train_and_evaluate(model_rows(spark, folder), fit, classes=LANGS).report())
+
+
+@query()
+def forest_search(spark, folder):
+    """Random search over a small grid with stratified folds."""
+    grid = {"trees": [5, 10], "depth": [5, 10], "max_features": [200, 500], "min_leaf": [1, 2]}
+    _, draws = P.search_forest(model_rows(spark, folder), n_iter=2, k=3, grid=grid, classes=LANGS)
+    return draws.select(F.to_json("params").alias("params"), F.round("accuracy", 6).alias("accuracy"))
+
+
+@query()
+def training_curve(spark, folder):
+    """Accuracy on training and validation rows for growing forests."""
+    parts = stage(train_val_test(model_rows(spark, folder), "label"))
+    return _rounded(M.training_curve(
+        parts.where("split = 'train'"), parts.where("split = 'val'"), [2, 8],
+        lambda train, n: P.fit_forest(train, {"trees": n, "depth": 5, "max_features": 500}, LANGS)))
+
+
+@query()
+def saved_model_labels(spark, folder):
+    """Train, save, load, label every row, and log the run."""
+    rows = model_rows(spark, folder)
+    path = f"{shared_folder(spark).rstrip('/')}/strophe/{uuid.uuid4().hex}"
+    held_out = P.train_and_evaluate(rows, _forest, classes=LANGS, save_to=f"{path}/model")
+    log_run(spark, f"{path}/runs", "forest", {"trees": 20, "depth": 10},
+            {"accuracy": held_out.report().where("class = 'weighted avg'").first()["recall"]})
+    labels = M.predict(M.load_model(f"{path}/model"), rows, ["id"])
+    runs = run_summary(spark, f"{path}/runs")
+    return labels.select("id", F.col("predicted").alias("label"), runs.select("name").scalar().alias("run"))
+
+
+@query()
+def self_training(spark, folder):
+    """Pseudo-labels for the documents without a quality label, refit, evaluate."""
+    rows = model_rows(spark, folder)
+    rated = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("id"))
+    run = P.self_training_run(rows.join(rated, "id", "left_semi"), rows.join(rated, "id", "left_anti"), _forest,
+                              classes=LANGS)
+    return _rounded(run.report())
+
+
+@query()
+def nn_prepared(spark, folder):
+    """Split, padded sequences, title topics, scaled number, flags and target of every row."""
+    rows = stanzas(spark, folder).withColumnRenamed("id", "row_id")
+    _, prepared = P.prepare(stage(rows), iterations=5)
+    return prepared.select("row_id", "split", "padded_sequence", "stanza_number", "topics", *BOOLEANS)
+
+
+@query()
+def softmax_report(spark, folder):
+    """Dense layers over topics, number, flags and text."""
+    rows = stage(stanzas(spark, folder).withColumnRenamed("id", "row_id"))
+    fitted, prepared = P.prepare(rows, iterations=5)
+    ready = stage(P.with_text(prepared).drop("lemmatized_stanzas", "padded_sequence").withColumn(
+        "topic_vector", P.topic_vector(F.col("topics"))))
+    model = P.fit_perceptron(ready.where("split = 'train'"), P.dense_spec(300), LANGS, max_iter=30)
+    return _rounded(P.evaluate(model, ready.where("split = 'test'"), LANGS).report())
+
+
+@query(f"SELECT doc_id AS id, len({words_sql('text')}) AS n FROM documents")
+def batch_scorer(spark, folder):
+    """The plug-in for an external model; here it counts words."""
+    def count(pdf):
+        return pdf.assign(n=pdf["text_str"].str.split().str.len().fillna(0).astype("int64"))[["id", "n"]]
+
+    return score_batches(model_rows(spark, folder).select("id", "text_str"), count, "id bigint, n bigint")

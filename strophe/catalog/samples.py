@@ -42,11 +42,12 @@ def downsample_rest(spark, folder):
     return S.not_sampled(docs, S.downsample(docs, "lang", "doc_id"), "doc_id")
 
 
-def _split_sql(share: str, source: str, key: str, by: str | None = None) -> str:
+def _split_sql(share: str, source: str, key: str, by: str | None = None, over: str | None = "by") -> str:
+    """``by`` is kept and, unless ``over`` is None, splits are per value of it."""
     test = f"ceil(round(n * {share}::DOUBLE, 9))"
     cols = f"{key}, {by}" if by else key
     return (f"SELECT {cols}, CASE WHEN r <= {test} THEN 'test' ELSE 'train' END AS split "
-            f"FROM ({_ranked(source, key, by)})")
+            f"FROM ({_ranked(source, key, by if over else None)})")
 
 
 @query(_split_sql("0.4", "orders", "o_orderkey"))

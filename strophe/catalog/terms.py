@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import arrays as A, text as T
+from ..functions import text as T
 from ..operators import terms as K
+from ..operators.sampling import random_split
 from ..operators.topics import nmf_fit
 from ..plans.labels import label_key_terms
 from ..plans.training import title_stopwords
 from ..sources.staging import stage
-from ..wordlists import ENGLISH_STOPWORDS, KEY_TERM_STOPWORDS
+from ..wordlists import ENGLISH_STOPWORDS
 from .base import (
-    ENGLISH_SQL, SONGS_SQL, STOP_SQL, documents, noise_sql, query, songs, spread, table, tokens_sql, words_sql,
+    ENGLISH_SQL, SONGS_SQL, STOP_SQL, documents, noise_sql, query, songs, table, tokens_sql, words_sql,
 )
+from .samples import _split_sql
 
 
 def _docs(spark, folder, *cols: str, stop=()) -> DataFrame:
@@ -72,15 +74,16 @@ def tfidf(spark, folder):
 
 
 @query(f"""WITH tf AS ({tf_sql()}),
-    train AS (SELECT doc_id FROM documents WHERE doc_id % 10 < 7), fitted AS (SELECT * FROM tf WHERE doc_id % 10 < 7),
-    fresh AS (SELECT * FROM tf WHERE doc_id % 10 >= 7), {weights_sql('fresh', 'train', 'doc_id', fit='fitted')}
+    parts AS ({_split_sql('0.3', 'documents', 'doc_id')}), train AS (SELECT doc_id FROM parts WHERE split = 'train'),
+    fitted AS (SELECT * FROM tf WHERE doc_id IN (SELECT doc_id FROM train)),
+    fresh AS (SELECT * FROM tf WHERE doc_id NOT IN (SELECT doc_id FROM train)), {weights_sql('fresh', 'train', 'doc_id', fit='fitted')}
     SELECT doc_id, term, round(weight, 6) AS weight FROM weights""")
 def tfidf_transform(spark, folder):
-    docs = _docs(spark, folder)
-    seen = F.col("doc_id") % 10 < 7
-    posted = stage(K.postings(docs, "doc_id", "tokens"))
-    terms = K.fit_terms(posted.where(seen), docs.where(seen))
-    return K.tfidf_transform(posted.where(~seen), terms, "doc_id").withColumn("weight", F.round("weight", 6))
+    docs = random_split(_docs(spark, folder), 0.3, "doc_id")
+    train = docs.where("split = 'train'")
+    posted = stage(K.postings(docs, "doc_id", "tokens", ["split"]))
+    terms = K.fit_terms(posted.where("split = 'train'"), train)
+    return K.tfidf_transform(posted.where("split = 'test'"), terms, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 @query(f"""WITH {SONGS_SQL}, tf AS ({tf_sql('songs', 'id', 'title', where=f'WHERE term NOT IN ({ENGLISH_SQL})')}),
@@ -173,12 +176,13 @@ def pad_sequences(spark, folder):
     return seqs.select("doc_id", F.posexplode("sequence").alias("pos", "idx"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, round((l_linenumber - m) / s, 6) AS scaled FROM lineitem,
-    (SELECT avg(l_linenumber) AS m, stddev_pop(l_linenumber) AS s FROM lineitem WHERE l_orderkey % 10 < 7)""")
+@query(f"""WITH parts AS ({_split_sql('0.3', 'orders', 'o_orderkey', 'o_totalprice', over=None)})
+    SELECT o_orderkey, split, round((o_totalprice - m) / s, 6) AS scaled FROM parts,
+      (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s FROM parts WHERE split = 'train')""")
 def standardize(spark, folder):
-    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
-    scaling = K.fit_scaling(rows.where("l_orderkey % 10 < 7"), "l_linenumber")
-    return rows.withColumn("scaled", F.round(scaling.apply(F.col("l_linenumber")), 6))
+    rows = random_split(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), 0.3, "o_orderkey")
+    scaling = K.fit_scaling(rows.where("split = 'train'"), "o_totalprice")
+    return rows.select("o_orderkey", "split", F.round(scaling.apply(F.col("o_totalprice")), 6).alias("scaled"))
 
 
 @query()

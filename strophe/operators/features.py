@@ -2,7 +2,7 @@
 
 The weights follow the smoothed IDF ``ln((1+n)/(1+df)) + 1`` and the population
 standard deviation.  Spark's ``IDF`` lacks the ``+ 1`` and its ``StandardScaler``
-uses the sample deviation, so both are fitted and then rewritten as plain
+uses the sample deviation, so both are fitted as tables and written into plain
 rescaling stages.
 """
 
@@ -13,14 +13,16 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
-    CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, NGram, Normalizer, RegexTokenizer,
-    SQLTransformer, StopWordsRemover, VectorAssembler,
+    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
+    VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import ANALYZER_TOKEN
+from ..functions.arrays import term_counts
+from ..functions.text import ANALYZER_TOKEN, analyze
 from ..wordlists import GENRES
+from .terms import fit_scaling, fit_terms
 
 VOCABULARY = 1 << 18
 BOOLEANS = [*[f"is_{g}" for g in GENRES], "is_chorus"]
@@ -34,9 +36,9 @@ class TextColumn:
     max_features: int | None = None
     ngram: tuple[int, int] = (1, 1)
     stop: Sequence[str] = ()
-    min_df: float = 1.0
-    max_df: float | None = None
-    terms: Sequence[str] | None = None  # a vocabulary chosen beforehand
+    min_df: int | float = 1
+    max_df: int | float = 1.0
+    terms: DataFrame | None = None  # a table (term, idf) chosen beforehand
 
 
 @dataclass(frozen=True)
@@ -66,27 +68,29 @@ def _analyzer(col: TextColumn, tokens: str) -> list[Transformer]:
 
 
 def fit_text(df: DataFrame, col: TextColumn) -> list[Transformer]:
-    """Stages from a text column to a vector of unit length, ``<name>_tfidf``."""
+    """Stages from a text column to a vector of unit length, ``_<name>_tfidf``.
+
+    The vocabulary is counted as a distributed term table and only then taken to
+    the driver, whose share is bounded: a vocabulary that was not capped and is
+    larger than ``VOCABULARY`` is refused, not cut.
+    """
     tokens, counts, raw, out = (f"_{col.name}_{s}" for s in ("tokens", "counts", "raw", "tfidf"))
-    stages = _analyzer(col, tokens)
-    seen = PipelineModel(stages).transform(df)
-    if col.terms is not None:
-        counter = CountVectorizerModel.from_vocabulary(list(col.terms), inputCol=tokens, outputCol=counts)
-    else:
-        limits = {"minDF": float(col.min_df), "vocabSize": col.max_features or VOCABULARY}
-        if col.max_df is not None:
-            limits["maxDF"] = float(col.max_df)
-        counter = CountVectorizer(inputCol=tokens, outputCol=counts, **limits).fit(seen)
-    idf = IDF(inputCol=counts, outputCol=raw).fit(counter.transform(seen)).idf.toArray()
-    return [*stages, counter,
-            ElementwiseProduct(inputCol=counts, outputCol=raw, scalingVec=Vectors.dense(idf + 1.0)),
+    terms = col.terms
+    if terms is None:
+        posted = df.select(F.inline(term_counts(analyze(F.col(col.name), col.ngram, col.stop))))
+        terms = fit_terms(posted, df, (), col.min_df, col.max_df, col.max_features)
+    size = terms.count()
+    if size > VOCABULARY:
+        raise ValueError(f"{col.name} has {size} terms; set max_features to {VOCABULARY} or less")
+    chosen = terms.select("term", "idf").orderBy("term").collect()
+    counter = CountVectorizerModel.from_vocabulary([r[0] for r in chosen], inputCol=tokens, outputCol=counts)
+    return [*_analyzer(col, tokens), counter,
+            ElementwiseProduct(inputCol=counts, outputCol=raw, scalingVec=Vectors.dense([r[1] for r in chosen])),
             Normalizer(inputCol=raw, outputCol=out, p=2.0)]
 
 
 def fit_features(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> PipelineModel:
     """Text blocks, scaled numbers and 0/1 flags assembled into one vector; fitted on ``df`` only."""
-    from .terms import fit_scaling
-
     stages: list[Transformer] = []
     parts: list[str] = []
     for col in spec.texts:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import combinations
 
 from pyspark.ml import Model, PipelineModel
@@ -42,8 +43,9 @@ def linear_svm(c: float, n: int, tol: float = 0.1, max_iter: int = 100) -> Linea
                      maxIter=max_iter)
 
 
-def svm_one_vs_rest(c: float, n: int, **options) -> OneVsRest:
-    return OneVsRest(featuresCol="features", labelCol=INDEX, classifier=linear_svm(c, n, **options))
+def svm_one_vs_rest(c: float, n: int, parallelism: int = 4, **options) -> OneVsRest:
+    return OneVsRest(featuresCol="features", labelCol=INDEX, classifier=linear_svm(c, n, **options),
+                     parallelism=parallelism)
 
 
 def perceptron(inputs: int, classes: int = len(EMOTIONS), hidden: Sequence[int] = (32, 32), max_iter: int = 100,
@@ -132,16 +134,21 @@ class PairwiseSVM:
 
 def fit_one_vs_one(train: DataFrame, c: float = 0.9, tol: float = 0.1, max_iter: int = 100,
                    spec: FeatureSpec = FeatureSpec(), label: str = "label",
-                   classes: Sequence[str] = EMOTIONS) -> PairwiseSVM:
+                   classes: Sequence[str] = EMOTIONS, parallelism: int = 4) -> PairwiseSVM:
+    """One fit per pair of classes that occur, ``parallelism`` of them at a time."""
     train = with_index(train, label, classes).where(F.col(INDEX).isNotNull())
     features = fit_features(train, spec)
     ready = stage(features.transform(train).select(spec.out, INDEX))
     sizes = {int(r[0]): r[1] for r in ready.groupBy(INDEX).count().collect()}  # one row per class
-    pairs = {}
-    for a, b in combinations(sorted(sizes), 2):
+
+    def fit(pair: tuple[int, int]) -> LinearSVCModel:
+        a, b = pair
         two = ready.where(F.col(INDEX).isin(a, b)).withColumn(INDEX, (F.col(INDEX) == b).cast("double"))
-        pairs[a, b] = linear_svm(c, sizes[a] + sizes[b], tol=tol, max_iter=max_iter).fit(two)
-    return PairwiseSVM(features, pairs, classes)
+        return linear_svm(c, sizes[a] + sizes[b], tol=tol, max_iter=max_iter).fit(two)
+
+    pairs = list(combinations(sorted(sizes), 2))
+    with ThreadPoolExecutor(parallelism) as pool:  # waits on Spark jobs, as CrossValidator does
+        return PairwiseSVM(features, dict(zip(pairs, pool.map(fit, pairs))), classes)
 
 
 # Random search --------------------------------------------------------------------------------------------------

@@ -115,8 +115,7 @@ def fit_chi2_forest(train: DataFrame, k: int = 5000, doc: str = "id", text: str
                     classes: Sequence[str] = EMOTIONS, depth: int = 10, trees: int = 100) -> PipelineModel:
     """Counts, the ``k`` best terms by chi-squared, TF-IDF on these, a forest."""
     posted = stage(postings(train, doc, analyze(F.col(text)), ["label"]))
-    chosen = sorted(r[0] for r in chi2_select(posted, train, "label", k).select("term").collect())  # k at most
-    spec = FeatureSpec(texts=[TextColumn(text, terms=chosen)], scaled=(), booleans=())
+    spec = FeatureSpec(texts=[TextColumn(text, terms=chi2_select(posted, train, "label", k))], scaled=(), booleans=())
     return fit_forest(train, {"depth": depth, "trees": trees}, classes, spec)
 
 
