@@ -52,7 +52,7 @@ _MIX_SRC = f"""mix AS (SELECT doc_id AS id, text, {_TITLE['sql']} AS title, n_ch
 
 
 @query(f"""WITH {_MIX_SRC},
-    text_block AS (WITH tf AS ({tf_sql('mix', 'id')}), {weights_sql('tf', 'mix', 'id')}
+    text_block AS (WITH tf AS ({tf_sql('mix', 'id')}), {weights_sql('tf', 'mix', 'id', cap=TERMS)}
       SELECT id, count(*) AS n, sum(weight) AS s FROM weights GROUP BY id),
     title_block AS (WITH tf AS ({tf_sql('mix', 'id', 'title')}), {weights_sql('tf', 'mix', 'id')}
       SELECT id, count(*) AS n, sum(weight) AS s FROM weights GROUP BY id),
@@ -63,7 +63,7 @@ _MIX_SRC = f"""mix AS (SELECT doc_id AS id, text, {_TITLE['sql']} AS title, n_ch
 def mixed_features(spark, folder):
     """Filled cells and their sum in the assembled vector of text, title, number and flags."""
     rows = model_rows(spark, folder)
-    vectors = fit_features(rows).transform(rows).select("id", vector_to_array("features").alias("v"))
+    vectors = fit_features(rows, P.mixed_spec(TERMS)).transform(rows).select("id", vector_to_array("features").alias("v"))
     filled = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + (x != 0).cast("long"))
     return vectors.select("id", filled.alias("filled"), F.round(F.aggregate(
         "v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
