@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import analyze, tokenize
+from ..functions.text import analyze
 from ..operators import terms as K
 from ..operators.rows import bools_to_int, encode_label
 from ..operators.sampling import train_val_test
@@ -47,11 +47,7 @@ _STANZA_CTES = f"""{CUT_SQL}, kept AS (SELECT id, {INFORMATIVE_SQL} AS l FROM cu
 
 
 def _stanzas(spark, folder):
-    unique = stage(P.unique_stanzas(P.split_songs(spread(
-        songs(spark, folder).select("id", "title", "artist", "lyrics")))))
-    lemmas = stage(K.derive_lemmas(unique.select(F.explode(tokenize(F.col("stanzas"))).alias("token"))))
-    table = K.lemmatize(unique, ["id", "stanza_number"], tokenize(F.col("stanzas")), lemmas, "lemmatized_stanzas")
-    return table.drop("stanzas")
+    return P.stanza_table(spread(songs(spark, folder).select("id", "title", "artist", "lyrics")))
 
 
 @query(f"WITH {_STANZA_CTES} SELECT id, stanza_number, title, artist, is_chorus, lemmas FROM stanza_table")

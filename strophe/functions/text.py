@@ -47,6 +47,7 @@ def clean_brackets(col: Column) -> Column:
 
 
 def _cascade(col: Column, paren_test: str) -> Column:
+    """``col`` must be a column or bound: it is read once per test."""
     paren = {"exact": r"(?iu)\(Chorus\)", "any_chorus": r"(?iu)Chorus"}[paren_test]
     # All four tests look at the whole text, so they are taken once and bound.
     facts = F.struct(
@@ -81,10 +82,14 @@ def split_stanzas(col: Column, mode: str = "cascade", paren_test: str = "exact")
 
     The middle four fall back to blank lines, else to the unstripped text.
     """
-    if mode == "cascade":
-        return _cascade(col, paren_test)
     if mode == "blank_line":
         return F.transform(F.split(col, "\n\n"), lambda x: strip(x))
+    if mode == "cascade":
+        return bind(col, lambda c: _cascade(c, paren_test))
+    return bind(col, lambda c: _by_header(c, mode))
+
+
+def _by_header(col: Column, mode: str) -> Column:
     text = strip(col)
     mark = "\u0001"
     test, pieces = {
@@ -136,7 +141,9 @@ def tokenize(col: Column, contractions: Mapping[str, tuple[str, ...]] | None = C
             chain = F.when(t == word, value) if chain is None else chain.when(t == word, value)
         return F.when(t.isin(*contractions), chain).otherwise(F.array(t))
 
-    return F.flatten(F.transform(tokens, expand))
+    listed = F.array(*map(F.lit, contractions))
+    return bind(tokens, lambda ts: F.when(
+        F.arrays_overlap(ts, listed), F.flatten(F.transform(ts, expand))).otherwise(ts))
 
 
 def remove_stopwords(tokens: Column, words: Iterable[str]) -> Column:

@@ -201,25 +201,24 @@ def fit_scaling(df: DataFrame, col: str) -> Scaling:
     return Scaling(mean or 0.0, std or 1.0)
 
 
-def lemmatize(df: DataFrame, keys: Sequence[str], tokens: str | Column, lemmas: DataFrame,
-              out: str = "lemmas", keep_punctuation: bool = False) -> DataFrame:
+def lemmatize(df: DataFrame, keys: Sequence[str], tokens: str, lemmas: DataFrame, out: str = "lemmas",
+              keep_punctuation: bool = False) -> DataFrame:
     """Replace each token by its entry in ``lemmas(token, lemma)``, itself when there is none.
 
-    Punctuation tokens are dropped unless asked for; null text stays null.
+    Punctuation tokens are dropped unless asked for; null text stays null.  The
+    tokens of a text are put together again before they are shuffled.
     """
     from ..functions.text import WORD
 
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
     words = df.select(*keys, F.posexplode(tokens).alias("_pos", "token"))
     if not keep_punctuation:
         words = words.where(F.col("token").rlike(WORD))
     found = lookup_join(words, lemmas.select("token", "lemma"), ["token"], "left")
-    lists = found.groupBy(*keys).agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("lemma")))),
-        lambda s: s["lemma"]).alias(out))
-    empty = F.when(tokens.isNotNull(), F.array().cast("array<string>"))
-    return df.withColumn("_empty", empty).join(lists, list(keys), "left").select(
-        *df.columns, F.coalesce(out, "_empty").alias(out))
+    lists = found.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("lemma")))).alias("_l"))
+    empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<string>"))
+    return df.join(lists, list(keys), "left").select(
+        *df.columns, F.coalesce(F.col("_l.lemma"), empty).alias(out))
 
 
 # Endings an English word form may carry and what stands in their place (WordNet's detachment rules).

@@ -8,7 +8,8 @@ from ..functions.text import clean_brackets, drop_uninformative, split_stanzas,
 from ..operators.rows import argmax_columns, exclude_value, one_hot
 from ..operators.sampling import stratified_sample
 from ..operators.sections import dedup_keep_first, explode_stanzas
-from ..operators.terms import lemmatize
+from ..operators.terms import derive_lemmas, lemmatize
+from ..sources.staging import stage
 from ..wordlists import GENRES
 
 LANGUAGE_COLUMNS = ["language_cld3", "language_ft", "language"]
@@ -41,8 +42,14 @@ def unique_stanzas(stanzas: DataFrame, id_col: str = "id") -> DataFrame:
     return dedup_keep_first(stanzas, ["title", "artist", "stanzas", "is_chorus"], [id_col, "stanza_number"])
 
 
-def stanza_table(songs: DataFrame, lemmas: DataFrame, id_col: str = "id", keep_text: bool = False) -> DataFrame:
-    """Songs to lemmatised, de-duplicated stanzas."""
-    unique = unique_stanzas(split_songs(songs), id_col)
-    out = lemmatize(unique, [id_col, "stanza_number"], tokenize(F.col("stanzas")), lemmas, "lemmatized_stanzas")
+def stanza_table(songs: DataFrame, lemmas: DataFrame | None = None, id_col: str = "id",
+                 keep_text: bool = False) -> DataFrame:
+    """Songs to lemmatised, de-duplicated stanzas.
+
+    Without a lemma table one is derived from the words of the songs.
+    """
+    unique = stage(unique_stanzas(split_songs(songs), id_col).withColumn("_tokens", tokenize(F.col("stanzas"))))
+    if lemmas is None:
+        lemmas = stage(derive_lemmas(unique.select(F.explode("_tokens").alias("token"))))
+    out = lemmatize(unique, [id_col, "stanza_number"], "_tokens", lemmas, "lemmatized_stanzas").drop("_tokens")
     return out if keep_text else out.drop("stanzas")
