@@ -11,6 +11,7 @@ from ..operators.sampling import train_val_test
 from ..operators.scoring import lexicon_label
 from ..plans import songs as P
 from ..plans.labels import merge_labels
+from ..operators.unnest import unnest
 from ..sources.staging import stage
 from ..wordlists import EMOTIONS, GENRES
 from .base import SONGS_SQL, literals, query, songs, spread, tokens_sql, words_sql
@@ -69,7 +70,7 @@ _EMOTION_OF = "(length(term) * 3 + ascii(right(term, 1))) % 8"
     SELECT id, stanza_number, is_chorus, label FROM stanza_table JOIN labels USING (id, stanza_number)""")
 def p_label_merge(spark, folder):
     stanzas = stage(_stanzas(spark, folder))
-    counts = stanzas.select(F.explode("lemmatized_stanzas").alias("term")).groupBy("term").agg(
+    counts = unnest(stanzas, [], "lemmatized_stanzas", "term").groupBy("term").agg(
         F.count(F.lit(1)).alias("n")).where("n >= 20")
     lexicon = counts.select("term", F.get(F.array(*map(F.lit, EMOTIONS)), F.expr(_EMOTION_OF)).alias("label"),
                             (F.lit(1.0) / F.col("n")).alias("weight"))

@@ -9,6 +9,7 @@ from ..functions.text import bracket_tags, parse_setstring
 from ..operators import rows as R
 from ..operators.joins import substring_matches
 from ..operators.ordered import with_row_id
+from ..operators.unnest import unnest
 from ..wordlists import EMOTIONS, GENRES
 from .base import SONGS_SQL, STANZA_ROWS_SQL, documents, literals, query, songs, stanza_rows, table
 
@@ -123,7 +124,7 @@ def artist_universe(spark, folder):
     SELECT DISTINCT tag FROM tags, artists WHERE contains(tag, artist)""")
 def artist_tag_join(spark, folder):
     rows = songs(spark, folder)
-    tags = rows.select(F.explode(bracket_tags(F.col("lyrics"))).alias("tag"))
+    tags = unnest(rows, [], bracket_tags(F.col("lyrics")), "tag")
     artists = rows.select(F.when(F.col("id") % 3 == 0, F.col("artist")).otherwise(
         F.substring("artist", 1, 4)).alias("artist"))
     return substring_matches(tags, "tag", artists, "artist")

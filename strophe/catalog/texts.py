@@ -9,6 +9,7 @@ from ..operators.sections import (
     dedup_keep_first as keep_first, explode_stanzas as explode, flag_chorus, repeated_in_group,
 )
 from ..operators.terms import derive_lemmas, lemmatize as lemmatize_rows
+from ..operators.unnest import unnest, unnest_structs
 from ..sources.staging import stage
 from ..wordlists import CHORUS_KEYWORDS, ENGLISH_STOPWORDS, HEADER_ONLY_KEYWORDS, PUNCTUATION, SECTION_KEYWORDS
 from ..wordlists import WHITESPACE, BARE_KEYWORDS
@@ -22,7 +23,7 @@ WS = f"[{WHITESPACE}]"
 
 
 def pieces(df: DataFrame, array: Column, key: str = "id") -> DataFrame:
-    return df.select(key, F.posexplode(array).alias("pos", "piece"))
+    return unnest(df, [key], array, "piece", "pos")
 
 
 def pieces_sql(inner: str, key: str = "id") -> str:
@@ -209,8 +210,8 @@ def tokenize(spark, folder):
     WHERE piece NOT IN ({ENGLISH_SQL}) AND piece NOT IN ({literals(PUNCTUATION)}) GROUP BY ALL""")
 def stopword_filter(spark, folder):
     tokens = T.remove_stopwords(T.tokenize(T.strip_noise(F.col("text"))), [*ENGLISH_STOPWORDS, *PUNCTUATION])
-    return documents(spark, folder, "doc_id", "text").select(
-        "doc_id", F.inline(A.term_counts(tokens))).withColumnRenamed("tf", "n")
+    docs = documents(spark, folder, "doc_id", "text")
+    return unnest_structs(docs, ["doc_id"], A.term_counts(tokens), "term").withColumnRenamed("tf", "n")
 
 
 @query("""WITH freq AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents),
@@ -244,7 +245,7 @@ LEMMAS_SQL = f"""rules AS (SELECT * FROM (VALUES {_RULES_SQL}) r(rule, ending, b
 def lemmatize(spark, folder):
     rows = documents(spark, folder, "doc_id", "text").select("doc_id", T.tokenize(F.col("text")).alias("tokens"))
     rows = stage(rows)
-    lemmas = stage(derive_lemmas(rows.select(F.explode("tokens").alias("token"))))
+    lemmas = stage(derive_lemmas(unnest(rows, [], "tokens", "token")))
     return lemmatize_rows(rows, ["doc_id"], "tokens", lemmas).select(
         "doc_id", A.join_tokens(F.col("lemmas")).alias("lemmas"))
 
@@ -273,7 +274,7 @@ def join_tokens(spark, folder):
 @query(f"""WITH {SONGS_SQL} SELECT DISTINCT unnest(regexp_extract_all(lyrics, '\\[[\\p{{L}}\\p{{N}}_]+\\]')) AS tag
     FROM songs""")
 def bracket_tags(spark, folder):
-    return songs(spark, folder).select(F.explode(T.bracket_tags(F.col("lyrics"))).alias("tag")).distinct()
+    return unnest(songs(spark, folder), [], T.bracket_tags(F.col("lyrics")), "tag").distinct()
 
 
 @query("SELECT doc_id, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS INTEGER) AS n_lines FROM documents")
@@ -294,4 +295,4 @@ def take_until(spark, folder):
     SELECT doc_id, term, count(*) AS tf FROM g GROUP BY ALL""")
 def analyze_ngrams(spark, folder):
     terms = T.analyze(F.col("text"), (1, 2))
-    return documents(spark, folder, "doc_id", "text").select("doc_id", F.inline(A.term_counts(terms)))
+    return unnest_structs(documents(spark, folder, "doc_id", "text"), ["doc_id"], A.term_counts(terms), "term")

@@ -23,6 +23,7 @@ from ..functions.arrays import term_counts
 from ..functions.text import ANALYZER_TOKEN, analyze
 from ..wordlists import GENRES
 from .terms import fit_scaling, fit_terms
+from .unnest import unnest_structs
 
 VOCABULARY = 1 << 18
 BOOLEANS = [*[f"is_{g}" for g in GENRES], "is_chorus"]
@@ -77,7 +78,7 @@ def fit_text(df: DataFrame, col: TextColumn) -> list[Transformer]:
     tokens, counts, raw, out = (f"_{col.name}_{s}" for s in ("tokens", "counts", "raw", "tfidf"))
     terms = col.terms
     if terms is None:
-        posted = df.select(F.inline(term_counts(analyze(F.col(col.name), col.ngram, col.stop))))
+        posted = unnest_structs(df, [], term_counts(analyze(F.col(col.name), col.ngram, col.stop)), "term")
         terms = fit_terms(posted, df, (), col.min_df, col.max_df, col.max_features)
     size = terms.count()
     if size > VOCABULARY:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from .unnest import unnest
+
 BROADCAST_ROWS = 1_000_000
 SALTS = 32
 
@@ -61,7 +63,7 @@ def substring_matches(texts: DataFrame, text: str, needles: DataFrame, needle: s
 
     pieces = [windows(n) for n in sizes]
     pieces = F.array_distinct(F.concat(*pieces)) if pieces else F.array().cast("array<string>")
-    cut = haystack.select(text, F.explode(pieces).alias("_piece"))
+    cut = unnest(haystack, [text], pieces, "_piece")
     found = cut.join(needles, (cut["_piece"] == needles["_piece"]) & F.contains(cut[text], needles["_needle"]),
                      "left_semi")
     return found.select(text).distinct()

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordered import running_totals
+from .unnest import unnest_structs
 
 
 def _class_table(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -84,7 +85,7 @@ def one_vs_rest(df: DataFrame, label: str, probabilities: Column, classes: Seque
     """``(class, hit, score)``: each row once per class, with the score of that class."""
     pairs = F.transform(F.array(*map(F.lit, classes)), lambda c, i: F.struct(
         c.alias("class"), (F.col(label) == c).alias("hit"), F.get(probabilities, i).alias("score")))
-    return df.select(F.inline(pairs))
+    return unnest_structs(df, [], pairs, "class")
 
 
 def _score_steps(scored: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..wordlists import EMOTIONS, GENRES
+from .unnest import unnest
 
 MODEL_COLUMNS = ["title", "stanza_number", *[f"is_{g}" for g in GENRES], "is_chorus"]
 
@@ -85,7 +86,7 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
 def name_universe(df: DataFrame, name: str, names: str) -> DataFrame:
     """Distinct non-empty values of a column and of an array column together."""
     single = df.select(F.col(name).alias("name"))
-    return single.union(df.select(F.explode(names))).where("name <> ''").distinct()
+    return single.union(unnest(df, [], names, "name")).where("name <> ''").distinct()
 
 
 def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arrays import pad_sequence, term_counts
 from ..sources.staging import stage
 from .joins import lookup_join
+from .unnest import unnest, unnest_structs
 
 SCORE_DIGITS = 9  # scores are ranked rounded, so the order of a sum cannot decide a tie
 
@@ -22,7 +23,7 @@ SCORE_DIGITS = 9  # scores are ranked rounded, so the order of a sum cannot deci
 def postings(df: DataFrame, doc: str, tokens: str | Column, by: Sequence[str] = ()) -> DataFrame:
     """``(by..., doc, term, tf)``."""
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    return df.select(*by, doc, F.inline(term_counts(tokens)))
+    return unnest_structs(df, [*by, doc], term_counts(tokens), "term")
 
 
 def anti_terms(terms: DataFrame, stop: DataFrame, term: str = "term") -> DataFrame:
@@ -150,7 +151,7 @@ def fit_vocab(df: DataFrame, doc: str, tokens: str, max_words: int = 20000) -> D
     one number, so that the minimum is a fixed-width aggregate.
     """
     seen = F.col(doc).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("_pos")
-    words = df.select(doc, F.posexplode(tokens).alias("_pos", "term"))
+    words = unnest(df, [doc], tokens, "term", "_pos")
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("cf"), F.min(seen).alias("_seen"))
     ranked = top_per_group(counts, [], F.col("cf"), max(max_words - 2, 0), term="_seen", rank="idx")
     return stage(ranked.select("term", "cf", (F.col("idx") + 1).alias("idx")))
@@ -210,7 +211,7 @@ def lemmatize(df: DataFrame, keys: Sequence[str], tokens: str, lemmas: DataFrame
     """
     from ..functions.text import WORD
 
-    words = df.select(*keys, F.posexplode(tokens).alias("_pos", "token"))
+    words = unnest(df, keys, tokens, "token", "_pos")
     if not keep_punctuation:
         words = words.where(F.col("token").rlike(WORD))
     found = lookup_join(words, lemmas.select("token", "lemma"), ["token"], "left")

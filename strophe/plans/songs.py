@@ -9,6 +9,7 @@ from ..operators.rows import argmax_columns, exclude_value, one_hot
 from ..operators.sampling import stratified_sample
 from ..operators.sections import dedup_keep_first, explode_stanzas
 from ..operators.terms import derive_lemmas, lemmatize
+from ..operators.unnest import unnest
 from ..sources.staging import stage
 from ..wordlists import GENRES
 
@@ -50,6 +51,6 @@ def stanza_table(songs: DataFrame, lemmas: DataFrame | None = None, id_col: str
     """
     unique = stage(unique_stanzas(split_songs(songs), id_col).withColumn("_tokens", tokenize(F.col("stanzas"))))
     if lemmas is None:
-        lemmas = stage(derive_lemmas(unique.select(F.explode("_tokens").alias("token"))))
+        lemmas = stage(derive_lemmas(unnest(unique, [], "_tokens", "token")))
     out = lemmatize(unique, [id_col, "stanza_number"], "_tokens", lemmas, "lemmatized_stanzas").drop("_tokens")
     return out if keep_text else out.drop("stanzas")
