@@ -14,7 +14,7 @@ from ..operators.features import BOOLEANS, fit_features
 from ..operators.sampling import random_split, train_val_test
 from ..operators.scoring import score_batches
 from ..plans import training as P
-from ..sources.runs import log_run, run_summary
+from ..sources.runs import run_summary
 from ..sources.staging import shared_folder, stage
 from ..wordlists import GENRES
 from .base import _TITLE, documents, query, words_sql
@@ -133,12 +133,10 @@ def saved_model_labels(spark, folder):
     """Train, save, load, label every row, and log the run."""
     rows = model_rows(spark, folder)
     path = f"{shared_folder(spark).rstrip('/')}/strophe/{uuid.uuid4().hex}"
-    held_out = P.train_and_evaluate(rows, _forest, classes=LANGS, save_to=f"{path}/model")
-    log_run(spark, f"{path}/runs", "forest", {"trees": 20, "depth": 10},
-            {"accuracy": held_out.report().where("class = 'weighted avg'").first()["recall"]})
-    labels = M.predict(M.load_model(f"{path}/model"), rows, ["id"])
+    P.training_run(rows, _forest, balance=True, classes=LANGS, save_to=f"{path}/model", runs=f"{path}/runs",
+                   name="forest")
     runs = run_summary(spark, f"{path}/runs")
-    return labels.select("id", F.col("predicted").alias("label"), runs.select("name").scalar().alias("run"))
+    return P.classify(rows, f"{path}/model").select("id", "label", runs.select("name").scalar().alias("run"))
 
 
 @query()
@@ -146,8 +144,8 @@ def self_training(spark, folder):
     """Pseudo-labels for the documents without a quality label, refit, evaluate."""
     rows = model_rows(spark, folder)
     rated = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("id"))
-    run = P.self_training_run(rows.join(rated, "id", "left_semi"), rows.join(rated, "id", "left_anti"), _forest,
-                              classes=LANGS)
+    run = P.training_run(rows.join(rated, "id", "left_semi"), _forest, rows.join(rated, "id", "left_anti"),
+                         classes=LANGS)
     return _rounded(run.report())
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..functions.text import bracket_tags, parse_setstring
-from ..operators import rows as R
+from ..operators import counts as C, rows as R
 from ..operators.joins import substring_matches
 from ..operators.ordered import with_row_id
 from ..operators.unnest import unnest
 from ..wordlists import EMOTIONS, GENRES
-from .base import SONGS_SQL, STANZA_ROWS_SQL, documents, literals, query, songs, stanza_rows, table
+from .base import SONGS_SQL, STANZA_ROWS_SQL, literals, query, songs, stanza_rows, table
 
 FLAGS = [f"is_{g}" for g in GENRES]
 
@@ -132,10 +132,8 @@ def artist_tag_join(spark, folder):
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey >= 100 AND l_orderkey < 5000")
 def row_slice(spark, folder):
-    from ..operators.counts import row_slice as cut
-
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return cut(rows, "l_orderkey", 100, 5000)
+    return C.row_slice(rows, "l_orderkey", 100, 5000)
 
 
 @query("SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)) AS duplicates FROM events")

@@ -8,14 +8,17 @@ from ..functions import arrays as A, text as T
 from ..operators.sections import (
     dedup_keep_first as keep_first, explode_stanzas as explode, flag_chorus, repeated_in_group,
 )
-from ..operators.terms import derive_lemmas, lemmatize as lemmatize_rows
+from ..operators.terms import (
+    DETACHMENT_RULES, anti_terms, derive_lemmas, lemmatize as lemmatize_rows, postings, term_stats,
+)
+from ..operators.ordered import cumcount
 from ..operators.unnest import unnest, unnest_structs
 from ..sources.staging import stage
-from ..wordlists import CHORUS_KEYWORDS, ENGLISH_STOPWORDS, HEADER_ONLY_KEYWORDS, PUNCTUATION, SECTION_KEYWORDS
-from ..wordlists import WHITESPACE, BARE_KEYWORDS
+from ..wordlists import (
+    BARE_KEYWORDS, CHORUS_KEYWORDS, ENGLISH_STOPWORDS, HEADER_ONLY_KEYWORDS, PUNCTUATION, SECTION_KEYWORDS, WHITESPACE,
+)
 from .base import (
-    ENGLISH_SQL, SONGS_SQL, WS_SQL, documents, literals, noise_sql, query, songs, spread, stanza_rows, table,
-    tokens_sql, words_sql,
+    ENGLISH_SQL, SONGS_SQL, WS_SQL, documents, literals, noise_sql, query, songs, spread, table, tokens_sql, words_sql,
 )
 
 KW = "|".join(SECTION_KEYWORDS)
@@ -166,8 +169,6 @@ def chorus_flag(spark, folder):
 @query("""SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n FROM events""")
 def stanza_number(spark, folder):
     """A running number per group on flat rows."""
-    from ..operators.ordered import cumcount
-
     rows = table(spark, folder, "events").select("user_id", "event_id", "ts")
     return cumcount(rows, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "n")
 
@@ -221,16 +222,12 @@ def stopword_filter(spark, folder):
     WHERE term NOT IN (SELECT term FROM stop) GROUP BY ALL""")
 def stopword_table(spark, folder):
     """A stop list kept as a table: here the frequent words of the corpus itself."""
-    from ..operators.terms import anti_terms, postings, term_stats
-
     posted = stage(postings(documents(spark, folder, "doc_id", "text"), "doc_id", T.analyze(F.col("text"))))
     frequent = term_stats(posted).where("cf > 200").select("term")
     return anti_terms(posted, frequent).select("doc_id", "term", "tf")
 
 
-_RULES_SQL = ", ".join(
-    f"({i}, '{end}', '{base}')" for i, (end, base) in enumerate(
-        __import__("strophe.operators.terms", fromlist=["DETACHMENT_RULES"]).DETACHMENT_RULES))
+_RULES_SQL = ", ".join(f"({i}, '{end}', '{base}')" for i, (end, base) in enumerate(DETACHMENT_RULES))
 LEMMAS_SQL = f"""rules AS (SELECT * FROM (VALUES {_RULES_SQL}) r(rule, ending, base)),
     lemmas AS (SELECT token, arg_min(lemma, rule) AS lemma FROM (
         SELECT v.token, left(v.token, length(v.token) - length(r.ending)) || r.base AS lemma, r.rule
@@ -250,7 +247,6 @@ def lemmatize(spark, folder):
         "doc_id", A.join_tokens(F.col("lemmas")).alias("lemmas"))
 
 
-_LIST_SQL = "'[' || array_to_string(list_transform(regexp_extract_all(text, '[\\p{L}]+'), lambda x: '''' || x || ''''), ', ') || ']'"
 _LIST = "concat('[', array_join(transform(regexp_extract_all(text, '[\\\\p{L}]+', 0), x -> concat(\"'\", x, \"'\")), ', '), ']')"
 
 

@@ -1,7 +1,7 @@
 """Exact, repeatable sampling and splitting.
 
 The random order of a row is ``md5(seed:id)``, then the id, so a sample does not
-depend on partitioning.  Its size is exact.  No group is ever sorted as a whole:
+depend on partitioning.  Ids must be unique.  Its size is exact.  No group is ever sorted as a whole:
 the first four hex digits of the hash divide each group into 65,536 even buckets;
 bucket counts tell in which bucket the n-th row lies, and only the rows of that
 bucket are ranked.  The id and hash of the n-th row are then a plain filter.

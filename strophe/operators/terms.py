@@ -13,10 +13,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arrays import pad_sequence, term_counts
+from ..functions.text import WORD
 from ..sources.staging import stage
 from .joins import lookup_join
+from .ordered import numbered
 from .unnest import unnest, unnest_structs
 
+MERGED_ROWS = 4_000_000
+SHARDS = 64
 SCORE_DIGITS = 9  # scores are ranked rounded, so the order of a sum cannot decide a tie
 
 
@@ -70,10 +74,17 @@ def top_per_group(df: DataFrame, by: Sequence[str], score: Column, k: int, term:
     """The ``k`` best rows per group, ties in term order.
 
     Without groups this is a sort with a limit, which keeps ``k`` rows per task;
-    with groups the row-number filter does the same before the shuffle.
+    with groups the row-number filter does the same before the shuffle.  When the
+    rows that all tasks keep would be many for the one task that merges them, they
+    are first reduced to ``k`` in each of some shards.
     """
     best = [F.desc("_score"), F.col(term) if isinstance(term, str) else term]
     scored = df.withColumn("_score", score)
+    if not by and k * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > MERGED_ROWS:
+        shard = F.pmod(F.xxhash64("term"), F.lit(SHARDS))
+        place = F.row_number().over(Window.partitionBy("_shard").orderBy(*best))
+        scored = scored.withColumn("_shard", shard).withColumn("_place", place).where(
+            F.col("_place") <= k).drop("_shard", "_place")
     if by:
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*best))
         scored = scored.withColumn("_rank", place).where(F.col("_rank") <= k)
@@ -175,8 +186,6 @@ def to_sequences(df: DataFrame, doc: str, tokens: str, vocab: DataFrame, length:
 
 def dictionary(posted: DataFrame, doc: str) -> DataFrame:
     """Term ids in the order of first document, then term; numbered without one task for all terms."""
-    from .ordered import numbered
-
     terms = posted.groupBy("term").agg(F.min(doc).alias("_first"), F.count(F.lit(1)).alias("df"))
     return numbered(terms, [], ["_first", "term"], "term_id").select("term", "df", "term_id")
 
@@ -186,6 +195,14 @@ def bag_of_words(posted: DataFrame, doc: str, ids: DataFrame) -> DataFrame:
     return lookup_join(posted, ids.select("term", "term_id"), ["term"]).select(doc, "term_id", "tf")
 
 
+def dense_matrix(bag: DataFrame, doc: str, max_docs: int = 1000) -> DataFrame:
+    """One row per term, one column per document; each document is a column, so there may be few."""
+    docs = sorted(r[0] for r in bag.select(doc).distinct().limit(max_docs + 1).collect())
+    if len(docs) > max_docs:
+        raise ValueError(f"more than {max_docs} documents do not fit into columns")
+    return bag.groupBy("term_id").pivot(doc, docs).agg(F.sum("tf")).na.fill(0)
+
+
 @dataclass(frozen=True)
 class Scaling:
     """Mean and population standard deviation of one column."""
@@ -209,8 +226,6 @@ def lemmatize(df: DataFrame, keys: Sequence[str], tokens: str, lemmas: DataFrame
     Punctuation tokens are dropped unless asked for; null text stays null.  The
     tokens of a text are put together again before they are shuffled.
     """
-    from ..functions.text import WORD
-
     words = unnest(df, keys, tokens, "token", "_pos")
     if not keep_punctuation:
         words = words.where(F.col("token").rlike(WORD))

@@ -11,18 +11,22 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import join_tokens, one_hot_vector
-from ..functions.text import analyze
+from ..functions.text import analyze, parse_pylist
 from ..operators.features import BOOLEANS, FeatureSpec, TextColumn
-from ..operators.metrics import auc_ovr, class_accuracy, classification_report, confusion_matrix, one_vs_rest
+from ..operators.metrics import (
+    accuracy, auc_ovr, class_accuracy, classification_report, confusion_matrix, one_vs_rest,
+)
 from ..operators.models import (
-    fit_classifier, perceptron, predict, random_forest, random_search, save_model, self_train, svm_one_vs_rest,
+    fit_classifier, load_model, perceptron, predict, random_forest, random_search, save_model, self_train,
+    svm_one_vs_rest,
 )
 from ..operators.rows import bools_to_int, encode_label
-from ..operators.sampling import downsample, random_split, train_val_test
+from ..operators.sampling import downsample, random_split, sample_n, train_val_test
 from ..operators.terms import (
     Scaling, chi2_select, fit_scaling, fit_terms, fit_vocab, postings, tfidf_transform, to_sequences,
 )
 from ..operators.topics import TopicModel, nmf_fit
+from ..sources.runs import log_run
 from ..sources.staging import stage
 from ..wordlists import EMOTIONS
 
@@ -189,10 +193,40 @@ def fit_perceptron(train: DataFrame, spec: FeatureSpec, classes: Sequence[str] =
     return fit_classifier(train, make, spec, classes=classes)
 
 
-def self_training_run(df: DataFrame, unlabelled: DataFrame, fit: Callable[[DataFrame], Model],
-                      id_col: str = "id", classes: Sequence[str] = EMOTIONS) -> Evaluation:
-    """Split, self-train with pseudo-labels for unlabelled rows, evaluate on the test part."""
-    parts = stage(train_val_test(df, "label", id_col))
+def training_run(df: DataFrame, fit: Callable[[DataFrame], Model], unlabelled: DataFrame | None = None,
+                 balance: bool = False, pseudo_share: float | None = None, id_col: str = "id",
+                 classes: Sequence[str] = EMOTIONS, save_to: str | None = None, runs: str | None = None,
+                 name: str = "run") -> Evaluation:
+    """Balance if asked, split, fit, self-train on unlabelled rows if given, evaluate on the test part.
+
+    ``pseudo_share`` limits the unlabelled rows to that share of the training rows.
+    The model goes to ``save_to`` and a line about the run to the table ``runs``.
+    """
+    even = downsample(df, "label", id_col) if balance else df
+    parts = stage(train_val_test(even, "label", id_col))
     train = parts.where("split = 'train'").drop("split")
-    model = self_train(train, unlabelled, fit)
-    return evaluate(model, parts.where("split = 'test'"), classes)
+    if unlabelled is None:
+        model = fit(train)
+    else:
+        fresh = unlabelled.select(*[c for c in train.columns if c != "label"]).dropna("any")
+        if pseudo_share is not None:
+            fresh = sample_n(fresh, int(train.count() * pseudo_share), id_col)
+        model = self_train(train, fresh, fit)
+    out = evaluate(model, parts.where("split = 'test'"), classes)
+    if save_to:
+        save_model(model, save_to)
+    if runs:
+        score = accuracy(out.predictions, "label", "predicted").first()[0]
+        log_run(df.sparkSession, runs, name, {
+            "balance": balance, "self_training": unlabelled is not None, "pseudo_share": pseudo_share,
+        }, {"accuracy": score or 0.0})
+    return out
+
+
+def classify(rows: DataFrame, path: str, id_col: str = "id", tokens: str = "lemmatized_stanzas") -> DataFrame:
+    """``(id, label)`` for new rows by a saved model; tokens may be an array, a list literal or ready text."""
+    if "text_str" not in rows.columns:
+        if rows.schema[tokens].dataType.simpleString() == "string":
+            rows = rows.withColumn(tokens, parse_pylist(F.col(tokens)))
+        rows = with_text(rows, tokens)
+    return predict(load_model(path), rows, [id_col]).select(id_col, F.col("predicted").alias("label"))

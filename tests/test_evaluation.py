@@ -123,10 +123,16 @@ def test_search_is_repeatable(stanzas):
     assert set(best) == set(grid) and draws.count() == 2
 
 
-def test_self_training(stanzas):
-    run = P.self_training_run(stanzas.where("id < 60"), stanzas.where("id >= 60").drop("label"),
-                              lambda t: P.fit_forest(t, {"trees": 5, "depth": 5}, CLASSES), classes=CLASSES)
+def test_self_training(spark, stanzas, tmp_path):
+    run = P.training_run(stanzas.where("id < 60"), lambda t: P.fit_forest(t, {"trees": 5, "depth": 5}, CLASSES),
+                         stanzas.where("id >= 60").drop("label"), pseudo_share=.5, balance=True, classes=CLASSES,
+                         save_to=str(tmp_path / "m"), runs=str(tmp_path / "runs"))
     assert run.report().where("class = 'weighted avg'").first()["f1"] > .6
+    assert run_summary(spark, str(tmp_path / "runs")).first()["params"]["self_training"] == "True"
+    legacy = stanzas.drop("text_str").withColumn(
+        "lemmatized_stanzas", F.concat(F.lit("['"), F.array_join("lemmatized_stanzas", "', '"), F.lit("']")))
+    assert P.classify(legacy, str(tmp_path / "m")).join(stanzas.select("id", F.col("label").alias("y")), "id").agg(
+        F.avg((F.col("label") == F.col("y")).cast("int"))).first()[0] > .6
 
 
 def test_preparation(stanzas):

@@ -267,3 +267,35 @@ def test_label_join_fans_out(spark):
     left = spark.createDataFrame([(1, 0), (1, 1)], "id int, stanza_number int")
     right = spark.createDataFrame([(1, 0, "x"), (1, 0, "y"), (2, 0, "z")], "id int, stanza_number int, label string")
     assert sorted(map(tuple, merge_labels(left, [right]).collect())) == [(1, 0, "x"), (1, 0, "y")]
+
+
+def test_sharded_top_equals_plain_top(spark, monkeypatch):
+    df = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("term"), (F.col("id") * 7 % 900).alias("cf"))
+    plain = K.top_per_group(df, [], F.col("cf"), 50, rank="r").collect()
+    monkeypatch.setattr(K, "MERGED_ROWS", 0)
+    assert K.top_per_group(df, [], F.col("cf"), 50, rank="r").collect() == plain
+
+
+def test_bag_as_matrix(spark):
+    posted = stage(K.postings(docs(spark, "b a a", "c"), "doc", "tokens"))
+    bag = K.bag_of_words(posted, "doc", stage(K.dictionary(posted, "doc")))
+    assert sorted(map(tuple, K.dense_matrix(bag, "doc").collect())) == [(0, 2, 0), (1, 1, 0), (2, 0, 1)]
+    with pytest.raises(ValueError):
+        K.dense_matrix(bag, "doc", max_docs=1)
+
+
+def test_staged_tables_live_in_the_shared_folder(spark):
+    from strophe.sources.staging import shared_folder
+
+    table = stage(spark.range(3))
+    assert all(shared_folder(spark).split(":")[-1] in f for f in table.inputFiles()) and table.count() == 3
+
+
+def test_tokens_are_computed_once(spark):
+    from strophe.functions.text import analyze
+
+    df = spark.createDataFrame([(1, "some text"), (2, ""), (3, None)], "doc bigint, t string")
+    posted = K.postings(df, "doc", analyze(F.col("t")))
+    assert posted.count() == 2
+    plan = posted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
