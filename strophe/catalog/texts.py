@@ -124,7 +124,8 @@ def split_paren(spark, folder):
     return _mode(spark, folder, "paren")
 
 
-_BARE = "CASE doc_id % 3 WHEN 0 THEN replace(text, chr(10), chr(10) || 'Chorus 2 ') WHEN 1 THEN replace(text, chr(10), ' Hook' || chr(10) || '(Bridge) ') ELSE text END"
+_BARE = """CASE doc_id % 3 WHEN 0 THEN replace(text, chr(10), chr(10) || 'Chorus 2 ')
+  WHEN 1 THEN replace(text, chr(10), ' Hook' || chr(10) || '(Bridge) ') ELSE text END"""
 _BARE_KW = "|".join(BARE_KEYWORDS)
 _KEYWORD_SQL = rf"regexp_replace(trim(ly, {WS_SQL}), '({_BARE_KW})({WS})', {_MARK} || '\1' || {_MARK} || '\2', 'g')"
 

@@ -1,6 +1,5 @@
 """Metrics, topics, models, sources."""
 
-import math
 
 import numpy as np
 import pytest
