@@ -40,9 +40,8 @@ def _lexicon(spark) -> DataFrame:
 def _predictions(spark, folder) -> DataFrame:
     docs = documents(spark, folder, "doc_id", "lang", "text")
     found = label_by_words(docs, ["doc_id"], analyze(F.col("text")), _lexicon(spark), LANGS, "prediction", "en")
-    joined = docs.select("doc_id", F.col("lang").alias("label")).join(found, "doc_id")
-    return stage(joined.select("doc_id", "label", "prediction", score_shares(F.col("scores")).alias("p"),
-                               encode_label(F.col("label"), LANGS).alias("y")))
+    return stage(found.select("doc_id", F.col("lang").alias("label"), "prediction",
+                              score_shares(F.col("scores")).alias("p"), encode_label(F.col("lang"), LANGS).alias("y")))
 
 
 @query(f"""WITH {SCORED_SQL} SELECT doc_id, guess AS label, unnest(['de', 'en', 'es', 'fr']) AS class,

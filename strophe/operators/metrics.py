@@ -59,16 +59,19 @@ def class_scores(df: DataFrame, label: str = "label", prediction: str = "predict
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """``class_scores`` plus the rows ``macro avg`` and ``weighted avg``."""
-    scores = class_scores(df, label, prediction)
+    """``class_scores`` plus the rows ``macro avg`` and ``weighted avg``, in one pass over ``df``."""
     cols = ("precision", "recall", "f1")
-    macro = scores.agg(F.lit("macro avg").alias("class"), *[F.avg(c).alias(c) for c in cols],
-                       F.sum("support").alias("support"))
-    weighted = scores.agg(
-        F.lit("weighted avg").alias("class"),
-        *[(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c) for c in cols],
-        F.sum("support").alias("support"))
-    return scores.withColumn("class", F.col("class").cast("string")).unionByName(macro).unionByName(weighted)
+    totals = class_scores(df, label, prediction).rollup("class").agg(
+        F.grouping("class").alias("_all"), F.sum("support").alias("support"),
+        *[F.avg(c).alias(c) for c in cols],
+        *[F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(f"_{c}") for c in cols])
+
+    def row(name, prefix: str = ""):
+        return F.struct(name.cast("string").alias("class"), *[F.col(prefix + c).alias(c) for c in cols], "support")
+
+    averages = F.array(row(F.lit("macro avg")), row(F.lit("weighted avg"), "_"))
+    one = F.array(row(F.col("class")))
+    return totals.select(F.inline(F.when(F.col("_all") == 1, averages).otherwise(one)))
 
 
 def class_accuracy(df: DataFrame, classes: Sequence[str], label: str = "label",

@@ -16,7 +16,7 @@ from .terms import postings
 
 def lexicon_scores(df: DataFrame, keys: Sequence[str], tokens: str | Column, lexicon: DataFrame,
                    labels: Sequence[str] = EMOTIONS, out: str = "scores") -> DataFrame:
-    """``(keys..., scores)``: per label the summed lexicon weight of a text's tokens.
+    """Add ``scores``: per label the summed lexicon weight of a text's tokens.
 
     ``lexicon(term, label, weight)`` is folded to one row per term first, so the
     join adds no rows; sums are combined per text before the shuffle.
@@ -29,16 +29,16 @@ def lexicon_scores(df: DataFrame, keys: Sequence[str], tokens: str | Column, lex
     found = lookup_join(postings(df, keys[-1], tokens, keys[:-1]), stage(wide), ["term"])
     sums = found.groupBy(*keys).agg(*[F.sum(F.col("tf") * F.col(n)).alias(n) for n in names])
     scores = F.array(*[F.coalesce(n, F.lit(0.0)).cast("double") for n in names])
-    return df.select(*keys).join(sums, keys, "left").select(*keys, scores.alias(out))
+    return df.join(sums, keys, "left").select(*df.columns, scores.alias(out))
 
 
 def lexicon_label(df: DataFrame, keys: Sequence[str], tokens: str | Column, lexicon: DataFrame,
                   labels: Sequence[str] = EMOTIONS, out: str = "label", default: str | None = None) -> DataFrame:
-    """``(keys..., label, scores)``: the best label, the earlier one among equals, ``default`` without any hit."""
+    """Add ``label`` and ``scores``: the best label, the earlier one among equals, ``default`` without any hit."""
     scored = lexicon_scores(df, keys, tokens, lexicon, labels)
     best = F.get(F.array(*map(F.lit, labels)), argmax_vector(F.col("scores")))
     label = F.when(F.array_max("scores") > 0, best).otherwise(F.lit(default))
-    return scored.select(*keys, label.alias(out), "scores")
+    return scored.withColumn(out, label)
 
 
 def score_shares(scores: Column) -> Column:
