@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from .base import ORACLES, QUERIES
-from . import minhash, mixing, neighbours, quality, suffixes, tokens, units  # noqa: F401  (modules register their queries)
+from . import minhash, mixing, neighbours, pieces, quality, suffixes, tokens, units  # noqa: F401  (modules register their queries)
 
 __all__ = ["ORACLES", "QUERIES"]

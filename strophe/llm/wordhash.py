@@ -28,20 +28,20 @@ _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _VALUE[65:91] = _VALUE[97:123]  # A-Z count as a-z
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out)
 
 
-_UP, _DOWN = _powers(_BASE, 1), _powers(_BACK, 1)
+_UP, _DOWN = powers(_BASE, 1), powers(_BACK, 1)
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word in UTF-8 bytes that end in white space; A-Z hashed as a-z."""
     global _UP, _DOWN
     if len(_UP) < len(data):
-        _UP, _DOWN = _powers(_BASE, len(data)), _powers(_BACK, len(data))
+        _UP, _DOWN = powers(_BASE, len(data)), powers(_BACK, len(data))
     inside = ~_SPACE[data]
     edge = np.flatnonzero(np.diff(inside, prepend=False))
     start, end = edge[0::2], edge[1::2]
