@@ -16,7 +16,8 @@ A page becomes a tree and the tree becomes lines:
   to one width; ``pre`` keeps its blanks; elsewhere white space counts once.
 
 Nulls: a null page has a null text, an empty one an empty text.  Each row is read by itself,
-so ids, ties and repeated rows need no rule; other columns are carried along.
+so ids, ties and repeated rows need no rule; other columns are carried along,
+but for those with a name of the result.
 """
 
 from __future__ import annotations
@@ -307,7 +308,9 @@ def extract(pages: DataFrame, html_col: str = "html", out: str = "text", title:
             found.append((None, None) if root is None else (page_title(root), render(root)))
         return pd.DataFrame(found, columns=["title", "text"])
 
-    return pages.withColumn("_read", read(html_col)).withColumns({title: F.col("_read.title"), out: F.col("_read.text")}).drop("_read")
+    met = pages.select(F.struct("*").alias("_row"), read(html_col).alias("_read"))
+    return met.select(*[F.col("_row")[c].alias(c) for c in pages.columns if c not in (title, out)],
+                      F.col("_read.title").alias(title), F.col("_read.text").alias(out))
 
 
 @query()

@@ -174,7 +174,11 @@ class NearDuplicates:
         open_ = filed.groupBy("bucket").agg(F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x <> _y")
         members = (filed.join(open_.select("bucket"), "bucket", "left_semi").select("bucket", "size", "id", "root")
                    .join(reps.select("id", "n", "sketch"), "id"))
-        linked = linked.union(self.confirmed(self.across(members), sets))
+        # Rows of one id with different texts are one document, so its classes are linked.
+        twice = signed.where("id is not null").groupBy("id").agg(F.min("digest").alias("_x"), F.max("digest").alias("_y")).where("_x <> _y")
+        same = (signed.join(twice.select("id"), "id").select("digest", F.col("id").alias("a"))
+                .join(reps.select("digest", F.col("id").alias("b")), "digest").select("a", "b"))
+        linked = linked.union(self.confirmed(self.across(members), sets)).union(same)
 
         classes = reps.select("digest", F.col("id").alias("_rep")).join(
             components(linked).select(F.col("id").alias("_rep"), "root"), "_rep", "left")

@@ -153,12 +153,13 @@ class Mix:
 
 def mixed(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
-    same = Window.partitionBy(id_col).orderBy(F.col(source_col), F.xxhash64(text_col))
-    rows = docs.withColumn("_row", F.row_number().over(same))
-    taken = mix.copies(rows, id_col, source_col=source_col, text_col=text_col, row=F.col("_row")).select(
-        F.col("id").alias("_id"), F.col("row").alias("_r"), "copies").where("copies > 0")
-    joined = rows.join(taken, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.col(source_col).alias("_source"),
+                       F.col(text_col).alias("_text"))
+    same = Window.partitionBy("_doc").orderBy("_source", F.xxhash64("_text"))
+    rows = rows.withColumn("_number", F.row_number().over(same))
+    taken = mix.copies(rows, "_doc", source_col="_source", text_col="_text", row=F.col("_number")).where("copies > 0")
+    met = rows.join(taken, F.col("_doc").cast("long").eqNullSafe(F.col("id")) & (F.col("_number") == F.col("row")))
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")
 
 
 @query()

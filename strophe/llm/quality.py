@@ -158,7 +158,8 @@ def measured_rules() -> list[Rule]:
 def good_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that no rule rejects, unchanged."""
     cascade = Cascade.fit(docs, base_rules() + content_rules(), text_col)
-    return with_words(docs, text_col).where(cascade.keep()).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_given"))
+    return with_words(rows, "_given").where(cascade.keep()).select("_row.*")
 
 
 @query("""

@@ -15,7 +15,7 @@ documents.  Whole texts move once, to meet the list of their removed units.
 
 Nulls: a null text has no units and stays null.  A row with a null id ranks last.  Rows that
 repeat an id rank by a hash of their text; equal rows get equal results, each keeping its
-own first occurrence.  Other columns are carried along.
+own first occurrence.  Other columns are carried along, but for those with a name of the result.
 """
 
 from __future__ import annotations
@@ -67,8 +67,8 @@ def remove_repeated(docs: DataFrame, unit: str = "line", min_words: int = 10, id
 
     Spans of neighbouring units are joined.  A text of which nothing goes is returned as it is.
     """
-    keyed = docs.withColumns({"_doc": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), "_text": F.col(text_col),
-                              "_hash": F.xxhash64(text_col)})
+    keyed = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_doc"),
+                        F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_hash"))
     joined = keyed.join(repeated_units(keyed.select("_doc", "_hash", "_text"), unit, min_words), ["_doc", "_hash"], "left")
     pattern = CUTS[unit]
 
@@ -90,9 +90,9 @@ def remove_repeated(docs: DataFrame, unit: str = "line", min_words: int = 10, id
         return pd.DataFrame(rows, columns=["kept", "n_units", "removed"])
 
     out = joined.withColumn("_cut", cut("_text", "gone"))
-    return out.select(*docs.columns, F.col("_cut.kept").alias("kept_text"), F.col("_cut.n_units").alias("n_units"),
-                      F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long").alias("n_removed"),
-                      F.col("_cut.removed").alias("removed"))
+    made = {"kept_text": F.col("_cut.kept"), "n_units": F.col("_cut.n_units"),
+            "n_removed": F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long"), "removed": F.col("_cut.removed")}
+    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 @query(r"""
