@@ -141,6 +141,7 @@ class Page:
     def __init__(self) -> None:
         self.lines: list[str] = [""]
         self.gap, self.indent, self.blank = 0, "", False
+        self.marked = False  # the line holds a list mark only, so a block goes on in it
 
     def text(self, text: str, keep: bool = False) -> None:
         if keep:
@@ -158,6 +159,7 @@ class Page:
             self.blank = True
 
     def _put(self, text: str) -> None:
+        self.marked = False
         if self.gap:
             if any(self.lines):
                 self.lines += [""] * self.gap
@@ -167,7 +169,8 @@ class Page:
 
     def need(self, ends: int) -> None:
         """At least ``ends`` line ends before what follows: 1 for a new line, 2 for a blank one between."""
-        self.gap, self.blank = max(self.gap, ends), False
+        if not self.marked:
+            self.gap, self.blank = max(self.gap, ends), False
 
     def result(self) -> str:
         return "\n".join(line.rstrip() for line in self.lines).strip("\n")
@@ -258,10 +261,9 @@ def _walk_one(node: Node, page: Page, lists: list[list], keep: bool) -> None:
         page.indent = "  " * max(0, len(lists) - 1)
         page.text(mark, keep=True)
         page.indent = "  " * max(1, len(lists))
-        page.blank = False
-        page.gap = 0
+        page.blank, page.marked = False, True
         _walk(node, page, lists, keep)
-        page.indent = outer
+        page.marked, page.indent = False, outer
     elif tag in ("dd", "blockquote"):
         outer, page.indent = page.indent, page.indent + "  "
         _walk(node, page, lists, keep)

@@ -158,7 +158,8 @@ class NearestNeighbours:
                                for b in range(-(-int(sizes.value[c]) // block)))
                 yield pd.DataFrame(out, columns=["cell", "block", "id", "vector"])
 
-        asked = (queries.repartition("id").mapInPandas(ask, "cell long, block int, id long, vector array<double>")
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        asked = (queries.repartition(tasks, "id").mapInPandas(ask, "cell long, block int, id long, vector array<double>")
                  .withColumn("lot", F.pmod(F.xxhash64("id"), F.lit(lots)).cast("int")))
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
