@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
+from ..wordlists import ENGLISH_STOPWORDS
 from .base import query, table
 
 TERM = "[a-z0-9]+"
@@ -90,10 +91,14 @@ class Templates:
         return rows
 
     def needed(self) -> list[str]:
-        """Terms of which a unit must have one: without its heaviest ones a template cannot be reached."""
+        """Terms of which a unit must have one: without these a template cannot be reached.
+
+        Any terms do whose weights together suffice; those that are not common words are taken first.
+        """
         terms = set()
         for at in range(len(self.counts)):
-            mine = sorted(((w, t) for t, _, template, w in self.weights() if template == at), reverse=True)
+            mine = sorted(((w, t) for t, _, template, w in self.weights() if template == at),
+                          key=lambda x: (x[1] in ENGLISH_STOPWORDS, -x[0], x[1]))
             left = sum(w * w for w, _ in mine)
             while mine and math.sqrt(max(left, 0.0)) >= self.least - 1e-9:
                 w, t = mine.pop(0)
