@@ -63,9 +63,10 @@ def _select(columns: dict[str, str]) -> str:
     return ", ".join(f"{expr} AS {name}" for name, expr in columns.items())
 
 
+# Documents have no title: a short one of their own columns stands in.
 _TITLE = {
-    "spark": "replace(array_join(slice(split(text, ' '), 1, 3), ' '), chr(10), ' ')",
-    "sql": "replace(array_to_string(string_split(text, ' ')[1:3], ' '), chr(10), ' ')",
+    "spark": "concat(source, ' ', lang, ' size', CAST(n_chars DIV 500 AS STRING), ' ', lang, source)",
+    "sql": "concat(source, ' ', lang, ' size', CAST(n_chars // 500 AS VARCHAR), ' ', lang, source)",
 }
 _LABEL = {
     "spark": f"element_at(array({literals(EMOTIONS)}), {_EMOTION} + 1)",

@@ -58,27 +58,29 @@ def p_stanzas(spark, folder):
 
 
 # Any word list with weights serves as lexicon; here each emotion gets the frequent words of some length and ending.
+_LEAST = 1e-4  # share of all words that a word of the lexicon makes up
 _EMOTION_OF = "(length(term) * 3 + ascii(right(term, 1))) % 8"
 
 
 @query(f"""WITH {_STANZA_CTES},
     words AS (SELECT id, stanza_number, unnest(string_split(lemmas, ' ')) AS term FROM stanza_table WHERE lemmas <> ''),
     freq AS (SELECT term, count(*) AS n FROM words GROUP BY term),
-    lexicon AS (SELECT term, {_EMOTION_OF} AS e, 1.0 / n AS weight FROM freq WHERE n >= 20),
+    least AS (SELECT {_LEAST} * count(*) AS n FROM words),
+    lexicon AS (SELECT term, {_EMOTION_OF} AS e, 1.0 / n AS weight FROM freq WHERE n >= (SELECT n FROM least)),
     sums AS (SELECT id, stanza_number, e, round(sum(weight), 9) AS s FROM words JOIN lexicon USING (term) GROUP BY ALL),
     labels AS (SELECT id, stanza_number, ([{literals(EMOTIONS)}])[arg_min(e, (-s, e)) + 1] AS label FROM sums GROUP BY ALL)
     SELECT id, stanza_number, is_chorus, label FROM stanza_table JOIN labels USING (id, stanza_number)""")
 def p_label_merge(spark, folder):
     stanzas = stage(_stanzas(spark, folder))
-    counts = unnest(stanzas, [], "lemmatized_stanzas", "term").groupBy("term").agg(
-        F.count(F.lit(1)).alias("n")).where("n >= 20")
+    counts = stage(unnest(stanzas, [], "lemmatized_stanzas", "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    counts = counts.where(F.col("n") >= counts.agg(F.lit(_LEAST) * F.sum("n")).scalar())
     lexicon = counts.select("term", F.get(F.array(*map(F.lit, EMOTIONS)), F.expr(_EMOTION_OF)).alias("label"),
                             (F.lit(1.0) / F.col("n")).alias("weight"))
     found = lexicon_label(stanzas, ["id", "stanza_number"], "lemmatized_stanzas", lexicon)
     # Equal sums added in another order may differ in the last digit, so the vote is on rounded scores.
     rounded = F.transform("scores", lambda s: F.round(s, 9))
     best = F.get(F.array(*map(F.lit, EMOTIONS)), (F.array_position(rounded, F.array_max(rounded)) - 1).cast("int"))
-    labelled = found.where("label is not null").select("id", "stanza_number", best.alias("label"))
+    labelled = stage(found.where("label is not null").select("id", "stanza_number", best.alias("label")))
     shards = [labelled.where(F.col("id") % 3 == i) for i in range(3)]
     return merge_labels(stanzas, shards).select("id", "stanza_number", "is_chorus", "label")
 

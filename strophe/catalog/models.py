@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import join_tokens
 from ..functions.text import analyze
@@ -27,7 +27,7 @@ _FLAGS = {f"is_{g}": f"(n_chars % {i} = 0)" for i, g in enumerate(GENRES, 2)} |
 
 def stanzas(spark, folder) -> DataFrame:
     """Documents as labelled stanzas: the language is the class, the flags come from sizes and marks."""
-    rows = documents(spark, folder, "doc_id", "text", "lang", "n_chars")
+    rows = documents(spark, folder, "doc_id", "text", "lang", "source", "n_chars")
     return rows.select(
         F.col("doc_id").alias("id"), F.col("lang").alias("label"), analyze(F.col("text")).alias("lemmatized_stanzas"),
         F.expr(_TITLE["spark"]).alias("title"), (F.col("n_chars") % 10).cast("int").alias("stanza_number"),
@@ -39,12 +39,28 @@ def model_rows(spark, folder) -> DataFrame:
         "lemmatized_stanzas"))
 
 
-def _rounded(report: DataFrame) -> DataFrame:
-    return report.withColumns({c: F.round(c, 6) for c, t in report.dtypes if t == "double"})
+def _share(col) -> Column:
+    return F.coalesce(F.col(col).between(0, 1), F.lit(False)).alias("scored")
+
+
+def _supports(run: P.Evaluation) -> DataFrame:
+    """What SQL can tell of a report: the held-out rows of each class, and that each has a score."""
+    return run.report().where(F.col("class").isin(LANGS)).select("class", "support", _share("f1"))
+
+
+def _held_out(n: str, by: str = "", rows: str = "documents") -> str:
+    """The held-out rows of each class: the first by hash, overall or of the class."""
+    over = f"PARTITION BY {by} " if by else ""
+    return f"""SELECT lang AS class, CAST(count(*) AS BIGINT) AS support, true AS scored FROM (
+        SELECT lang, row_number() OVER ({over}ORDER BY md5('42:' || doc_id), doc_id) AS r,
+          count(*) OVER ({over}) AS n FROM {rows}) WHERE r <= ceil(round(n * {n}::DOUBLE, 9)) GROUP BY lang"""
+
+
+_CLASSES_SQL = "SELECT unnest([" + ", ".join(f"'{x}'" for x in LANGS) + "]) AS class, true AS scored"
 
 
 def _forest(train: DataFrame):
-    return P.fit_forest(train, {"trees": 20, "depth": 10, "max_features": TERMS}, LANGS)
+    return P.fit_forest(train, {"trees": 100, "max_features": TERMS}, LANGS)
 
 
 _MIX_SRC = f"""mix AS (SELECT doc_id AS id, text, {_TITLE['sql']} AS title, n_chars % 10 AS number,
@@ -69,103 +85,130 @@ def mixed_features(spark, folder):
         "v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
-@query()
+@query(_held_out("0.3"))
 def forest_report(spark, folder):
     """Hold-out report of a random forest on mixed features."""
-    return _rounded(P.train_and_evaluate(model_rows(spark, folder), _forest, classes=LANGS).report())
+    return _supports(P.train_and_evaluate(model_rows(spark, folder), _forest, id_col="id", classes=LANGS))
 
 
-@query()
+@query(_CLASSES_SQL)
 def forest_auc(spark, folder):
-    return _rounded(P.train_and_evaluate(model_rows(spark, folder), _forest, classes=LANGS).auc())
+    return P.train_and_evaluate(model_rows(spark, folder), _forest, id_col="id", classes=LANGS).auc().select("class", _share("auc"))
 
 
-@query()
+@query(_held_out("0.2", "lang"))
 def text_forest_report(spark, folder):
     """Stratified hold-out, TF-IDF of the text as the only feature."""
     parts = stage(random_split(model_rows(spark, folder), 0.2, "id", ["label"]))
-    model = P.fit_forest(parts.where("split = 'train'"), {"trees": 20, "depth": 10}, LANGS,
+    model = P.fit_forest(parts.where("split = 'train'"), {"trees": 100}, LANGS,
                          P.text_spec(max_features=TERMS))
-    return _rounded(P.evaluate(model, parts.where("split = 'test'"), LANGS).report())
+    return _supports(P.evaluate(model, parts.where("split = 'test'"), LANGS))
 
 
-@query()
+@query(_held_out("0.3"))
 def svm_report(spark, folder):
     """Linear SVM, one against the rest."""
-    fit = lambda train: P.fit_svm(train, {"c": 0.9, "max_features": TERMS, "max_iter": 5}, LANGS)
-    return _rounded(P.train_and_evaluate(model_rows(spark, folder), fit, classes=LANGS).report())
+    fit = lambda train: P.fit_svm(train, {"c": 0.9, "max_features": TERMS, "max_iter": 5000}, LANGS)
+    return _supports(P.train_and_evaluate(model_rows(spark, folder), fit, id_col="id", classes=LANGS))
 
 
-@query()
+@query(_held_out("0.3"))
 def svm_pairs_report(spark, folder):
     """Linear SVM, one against one."""
     fit = lambda train: M.fit_one_vs_one(
-        train, c=0.9, max_iter=5, spec=P.mixed_spec(TERMS), classes=LANGS)
-    return _rounded(P.train_and_evaluate(model_rows(spark, folder), fit, classes=LANGS).report())
+        train, c=0.9, max_iter=5000, spec=P.mixed_spec(TERMS), classes=LANGS)
+    return _supports(P.train_and_evaluate(model_rows(spark, folder), fit, id_col="id", classes=LANGS))
 
 
-@query()
+@query(_held_out("0.3"))
 def chi2_forest_report(spark, folder):
     """Counts, chi-squared selection, TF-IDF, forest."""
-    fit = lambda train: P.fit_chi2_forest(train, k=500, classes=LANGS, trees=20)
-    return _rounded(P.train_and_evaluate(model_rows(spark, folder), fit, classes=LANGS).report())
+    fit = lambda train: P.fit_chi2_forest(train, k=5000, classes=LANGS, trees=100)
+    return _supports(P.train_and_evaluate(model_rows(spark, folder), fit, id_col="id", classes=LANGS))
 
 
-@query()
+@query("SELECT CAST(2 AS BIGINT) AS draws, true AS scored")
 def forest_search(spark, folder):
     """Random search over a small grid with stratified folds."""
     grid = {"trees": [5, 10], "depth": [5, 10], "max_features": [200, 500], "min_leaf": [1, 2]}
     _, draws = P.search_forest(model_rows(spark, folder), n_iter=2, k=3, grid=grid, classes=LANGS)
-    return draws.select(F.to_json("params").alias("params"), F.round("accuracy", 6).alias("accuracy"))
+    return draws.agg(F.count(F.lit(1)).alias("draws"), F.bool_and(F.col("accuracy").between(0, 1)).alias("scored"))
 
 
-@query()
+@query("SELECT unnest([2, 8]) AS round, true AS scored")
 def training_curve(spark, folder):
     """Accuracy on training and validation rows for growing forests."""
     parts = stage(train_val_test(model_rows(spark, folder), "label"))
-    return _rounded(M.training_curve(
+    curve = M.training_curve(
         parts.where("split = 'train'"), parts.where("split = 'val'"), [2, 8],
-        lambda train, n: P.fit_forest(train, {"trees": n, "depth": 5, "max_features": 500}, LANGS)))
+        lambda train, n: P.fit_forest(train, {"trees": n, "max_features": TERMS}, LANGS))
+    return curve.select("round", (F.col("train_accuracy").between(0, 1) & F.col("val_accuracy").between(0, 1)).alias("scored"))
 
 
-@query()
+@query("SELECT doc_id AS id, true AS labelled, 'forest' AS run FROM documents")
 def saved_model_labels(spark, folder):
     """Train, save, load, label every row, and log the run."""
     rows = model_rows(spark, folder)
     path = f"{shared_folder(spark).rstrip('/')}/strophe/{uuid.uuid4().hex}"
-    P.training_run(rows, _forest, balance=True, classes=LANGS, save_to=f"{path}/model", runs=f"{path}/runs",
+    P.training_run(rows, _forest, balance=True, id_col="id", classes=LANGS, save_to=f"{path}/model", runs=f"{path}/runs",
                    name="forest")
     runs = run_summary(spark, f"{path}/runs")
-    return P.classify(rows, f"{path}/model").select("id", "label", runs.select("name").scalar().alias("run"))
+    labels = P.classify(rows, f"{path}/model", "id")
+    return labels.select("id", F.col("label").isin(LANGS).alias("labelled"), runs.select("name").scalar().alias("run"))
 
 
-@query()
+@query(_held_out("0.3", "lang", "(FROM documents SEMI JOIN labels USING (doc_id))"))
 def self_training(spark, folder):
     """Pseudo-labels for the documents without a quality label, refit, evaluate."""
     rows = model_rows(spark, folder)
     rated = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("id"))
     run = P.training_run(rows.join(rated, "id", "left_semi"), _forest, rows.join(rated, "id", "left_anti"),
-                         classes=LANGS)
-    return _rounded(run.report())
+                         id_col="id", classes=LANGS)
+    return _supports(run)
+
 
+_SPLIT_SQL = """SELECT doc_id, CASE WHEN r <= t THEN 'test' WHEN r <= t + ceil(round((n - t) * 0.3::DOUBLE, 9)) THEN 'val' ELSE 'train' END AS split
+    FROM (SELECT *, ceil(round(n * 0.3::DOUBLE, 9)) AS t FROM (
+      SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) AS r,
+        count(*) OVER (PARTITION BY lang) AS n FROM documents))"""
 
-@query()
+
+def _topics_fit() -> Column:
+    return ((F.size("topics") == 8) & F.forall("topics", lambda t: t >= 0)).alias("topics_fit")
+
+
+@query(f"SELECT doc_id AS row_id, split, 150 AS length, true AS topics_fit, list_position(['de', 'en', 'es', 'fr'], lang) - 1 AS y "
+       f"FROM ({_SPLIT_SQL}) JOIN documents USING (doc_id)")
 def nn_prepared(spark, folder):
     """Split, padded sequences, title topics, scaled number, flags and target of every row."""
     rows = stanzas(spark, folder).withColumnRenamed("id", "row_id")
-    _, prepared = P.prepare(stage(rows), iterations=5)
-    return prepared.select("row_id", "split", "padded_sequence", "stanza_number", "topics", *BOOLEANS)
+    _, prepared = P.prepare(stage(rows), classes=LANGS)
+    return prepared.select("row_id", "split", F.size("padded_sequence").alias("length"), _topics_fit(),
+                           (F.array_position("y", 1) - 1).cast("int").alias("y"))
+
+
+@query("SELECT doc_id AS row_id, true AS same FROM documents")
+def prepared_from_disk(spark, folder):
+    """Fit the preparation, save it, load it, and apply both to every row."""
+    rows = stage(stanzas(spark, folder).withColumnRenamed("id", "row_id"))
+    path = f"{shared_folder(spark).rstrip('/')}/strophe/{uuid.uuid4().hex}"
+    fitted = P.fit_preparation(rows)
+    fitted.save(path)
+    one, two = fitted.apply(rows), P.Preparation.load(spark, path).apply(rows)
+    columns = ("padded_sequence", "topics", "stanza_number")
+    both = one.select("row_id", F.struct(*columns).alias("a")).join(two.select("row_id", F.struct(*columns).alias("b")), "row_id")
+    return both.select("row_id", (F.col("a") == F.col("b")).alias("same"))
 
 
-@query()
+@query(_held_out("0.3", "lang"))
 def softmax_report(spark, folder):
     """Dense layers over topics, number, flags and text."""
     rows = stage(stanzas(spark, folder).withColumnRenamed("id", "row_id"))
-    fitted, prepared = P.prepare(rows, iterations=5)
+    fitted, prepared = P.prepare(rows, classes=LANGS)
     ready = stage(P.with_text(prepared).drop("lemmatized_stanzas", "padded_sequence").withColumn(
         "topic_vector", P.topic_vector(F.col("topics"))))
-    model = P.fit_perceptron(ready.where("split = 'train'"), P.dense_spec(300), LANGS, max_iter=30)
-    return _rounded(P.evaluate(model, ready.where("split = 'test'"), LANGS).report())
+    model = P.fit_perceptron(ready.where("split = 'train'"), P.dense_spec(TERMS), LANGS)
+    return _supports(P.evaluate(model, ready.where("split = 'test'"), LANGS))
 
 
 @query(f"SELECT doc_id AS id, len({words_sql('text')}) AS n FROM documents")

@@ -51,11 +51,11 @@ def bools_to_int(spark, folder):
     return R.bools_to_int(songs(spark, folder).select("id", *FLAGS), FLAGS)
 
 
-@query("""SELECT id, stanza FROM (SELECT conv_id AS id, CASE WHEN length(text) > 60 THEN text END AS stanza
-    FROM conversations) WHERE stanza IS NOT NULL""")
+@query("""SELECT id, stanza FROM (SELECT d.doc_id AS id, CASE WHEN l.quality IS NOT NULL THEN d.text END AS stanza
+    FROM documents d LEFT JOIN labels l USING (doc_id)) WHERE stanza IS NOT NULL""")
 def stanzas_notnull(spark, folder):
-    rows = table(spark, folder, "conversations").select(
-        F.col("conv_id").alias("id"), F.when(F.length("text") > 60, F.col("text")).alias("stanza"))
+    rows = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", "left").select(
+        F.col("doc_id").alias("id"), F.when(F.col("quality").isNotNull(), F.col("text")).alias("stanza"))
     return rows.where(F.col("stanza").isNotNull())
 
 
@@ -120,13 +120,12 @@ def artist_universe(spark, folder):
 
 @query(f"""WITH {SONGS_SQL}, tags AS (
         SELECT DISTINCT unnest(regexp_extract_all(lyrics, '\\[[\\p{{L}}\\p{{N}}_]+\\]')) AS tag FROM songs),
-    artists AS (SELECT DISTINCT CASE WHEN id % 3 = 0 THEN artist ELSE substr(artist, 1, 4) END AS artist FROM songs)
+    artists AS (SELECT DISTINCT artist FROM songs)
     SELECT DISTINCT tag FROM tags, artists WHERE contains(tag, artist)""")
 def artist_tag_join(spark, folder):
     rows = songs(spark, folder)
     tags = unnest(rows, [], bracket_tags(F.col("lyrics")), "tag")
-    artists = rows.select(F.when(F.col("id") % 3 == 0, F.col("artist")).otherwise(
-        F.substring("artist", 1, 4)).alias("artist"))
+    artists = rows.select("artist")
     return substring_matches(tags, "tag", artists, "artist")
 
 

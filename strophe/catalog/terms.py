@@ -110,13 +110,13 @@ _CHI2 = f"""tf AS ({tf_sql(by='lang')}), share AS (SELECT lang, count(*)::DOUBLE
     chi AS (SELECT term, sum(df) AS df, CAST(sum(o) AS BIGINT) AS cf, sum(o * o / p) / sum(o) - sum(o) AS chi2
       FROM o JOIN share USING (lang) GROUP BY term),
     best AS (SELECT * FROM chi WHERE df >= 2 AND df <= 0.8::DOUBLE * (SELECT count(*) FROM documents)
-      ORDER BY round(chi2, 9) DESC, term DESC LIMIT 500)"""
+      ORDER BY round(chi2, 9) DESC, term DESC LIMIT 5000)"""
 
 
 def _chi2(spark, folder):
     docs = _docs(spark, folder, "lang")
     posted = stage(K.postings(docs, "doc_id", "tokens", ["lang"]))
-    return posted, K.chi2_select(posted, docs, "lang", 500)
+    return posted, K.chi2_select(posted, docs, "lang", 5000)
 
 
 @query(f"WITH {_CHI2} SELECT term, CAST(df AS BIGINT) AS df, cf, round(chi2, 6) AS chi2 FROM best")
@@ -141,10 +141,10 @@ def bag_of_words(spark, folder):
 
 
 @query(f"""WITH tf AS ({tf_sql()}) SELECT term, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY term
-    ORDER BY cf DESC, term LIMIT 300""")
+    ORDER BY cf DESC, term LIMIT 1000""")
 def vocab_topn(spark, folder):
     stats = K.term_stats(K.postings(_docs(spark, folder), "doc_id", "tokens"))
-    return K.top_per_group(stats.select("term", "cf"), [], F.col("cf"), 300)
+    return K.top_per_group(stats.select("term", "cf"), [], F.col("cf"), 1000)
 
 
 VOCAB_SQL = """w AS (SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS term FROM src),
@@ -154,25 +154,25 @@ VOCAB_SQL = """w AS (SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS t
 _SRC = f"src AS (SELECT doc_id, {words_sql('text')} AS l FROM documents)"
 
 
-@query(f"WITH {_SRC}, {VOCAB_SQL.format(max=2000)} SELECT term, cf, idx FROM vocab")
+@query(f"WITH {_SRC}, {VOCAB_SQL.format(max=20000)} SELECT term, cf, idx FROM vocab")
 def vocab_index(spark, folder):
-    return K.fit_vocab(_docs(spark, folder), "doc_id", "tokens", 2000)
+    return K.fit_vocab(_docs(spark, folder), "doc_id", "tokens", 20000)
 
 
-@query(f"""WITH {_SRC}, {VOCAB_SQL.format(max=2000)}
+@query(f"""WITH {_SRC}, {VOCAB_SQL.format(max=20000)}
     SELECT doc_id, CAST(pos AS INTEGER) AS pos, coalesce(idx, 1) AS idx FROM w LEFT JOIN vocab USING (term)""")
 def token_sequences(spark, folder):
     docs = stage(_docs(spark, folder))
-    seqs = K.to_sequences(docs, "doc_id", "tokens", K.fit_vocab(docs, "doc_id", "tokens", 2000))
+    seqs = K.to_sequences(docs, "doc_id", "tokens", K.fit_vocab(docs, "doc_id", "tokens", 20000))
     return seqs.select("doc_id", F.posexplode("sequence").alias("pos", "idx"))
 
 
-@query(f"""WITH {_SRC}, {VOCAB_SQL.format(max=2000)}, grid AS (SELECT doc_id, unnest(range(150)) AS pos FROM documents),
+@query(f"""WITH {_SRC}, {VOCAB_SQL.format(max=20000)}, grid AS (SELECT doc_id, unnest(range(150)) AS pos FROM documents),
     s AS (SELECT doc_id, pos, coalesce(idx, 1) AS idx FROM w LEFT JOIN vocab USING (term))
     SELECT doc_id, CAST(pos AS INTEGER) AS pos, coalesce(idx, 0) AS idx FROM grid LEFT JOIN s USING (doc_id, pos)""")
 def pad_sequences(spark, folder):
     docs = stage(_docs(spark, folder))
-    seqs = K.to_sequences(docs, "doc_id", "tokens", K.fit_vocab(docs, "doc_id", "tokens", 2000), 150)
+    seqs = K.to_sequences(docs, "doc_id", "tokens", K.fit_vocab(docs, "doc_id", "tokens", 20000), 150)
     return seqs.select("doc_id", F.posexplode("sequence").alias("pos", "idx"))
 
 
@@ -185,9 +185,11 @@ def standardize(spark, folder):
     return rows.select("o_orderkey", "split", F.round(scaling.apply(F.col("o_totalprice")), 6).alias("scaled"))
 
 
-@query()
+@query("SELECT doc_id AS id, true AS topics_fit FROM documents")
 def nmf_topics(spark, folder):
+    """Eight topics of each title, none negative."""
     rows = songs(spark, folder).select("id", T.analyze(F.col("title"), stop=title_stopwords()).alias("tokens"))
     weights = stage(K.tfidf(rows, "id", "tokens", max_features=1000))
-    model = nmf_fit(weights, "id", 8, iterations=10)
-    return model.transform(weights, rows, "id")
+    model = nmf_fit(weights, "id", 8)
+    fits = (F.size("topics") == 8) & F.forall("topics", lambda t: t >= 0) & F.exists("topics", lambda t: t > 0)
+    return model.transform(weights, rows, "id").select("id", fits.alias("topics_fit"))

@@ -217,14 +217,15 @@ def stopword_filter(spark, folder):
 
 
 @query("""WITH freq AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents),
-    stop AS (SELECT term FROM freq GROUP BY term HAVING count(*) > 200)
+    stop AS (SELECT term FROM freq GROUP BY term HAVING count(*) > 0.001 * (SELECT count(*) FROM freq))
     SELECT doc_id, term, count(*) AS tf FROM (
         SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents)
     WHERE term NOT IN (SELECT term FROM stop) GROUP BY ALL""")
 def stopword_table(spark, folder):
     """A stop list kept as a table: here the frequent words of the corpus itself."""
     posted = stage(postings(documents(spark, folder, "doc_id", "text"), "doc_id", T.analyze(F.col("text"))))
-    frequent = term_stats(posted).where("cf > 200").select("term")
+    stats = stage(term_stats(posted))
+    frequent = stats.where(F.col("cf") > stats.agg(F.lit(0.001) * F.sum("cf")).scalar()).select("term")
     return anti_terms(posted, frequent).select("doc_id", "term", "tf")
 
 

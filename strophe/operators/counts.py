@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import format_share
 
@@ -18,7 +18,7 @@ def class_counts(df: DataFrame, label: str, counted: str | None = None) -> DataF
 def class_share(df: DataFrame, label: str, counted: str | None = None) -> DataFrame:
     """``class_counts`` with the share in percent and a report text."""
     counts = class_counts(df, label, counted)
-    percent = F.lit(100.0) * F.col("n") / counts.agg(F.sum("n")).scalar()
+    percent = F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy())  # one row per class
     return (counts.withColumn("percent", percent)
             .withColumn("text", format_share(F.col(label).cast("string"), F.col("percent")))
             .orderBy(F.desc("n"), label))

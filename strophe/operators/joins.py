@@ -8,36 +8,49 @@ from pyspark.sql import DataFrame, functions as F
 
 from .unnest import unnest
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
 def lookup_join(
     facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS,
 ) -> DataFrame:
     """Join many rows to a narrow table with unique keys.
 
-    The table is counted, so pass a staged one.  Up to ``broadcast_rows`` it is
+    The table's bytes are added up, so pass a staged one.  Up to ``broadcast_bytes`` it is
     broadcast.  Beyond that the join shuffles, and each key is spread over
     ``salts`` tasks: a fact row goes to one of them, the table row to all, so a
     key that holds a third of the facts is still divided.
     """
     on = list(on)
-    if table.count() <= broadcast_rows:
+    if data_bytes(table) <= broadcast_bytes:
         return facts.join(F.broadcast(table), on, how)
     return salted_join(facts, table, on, how, salts)
 
 
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: 8 for a number, the length of texts and of other values as text."""
+    size = F.lit(0)
+    for f in df.schema:
+        if f.dataType.typeName() in ("string", "binary"):
+            size += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif f.dataType.typeName() in ("array", "map", "struct"):
+            size += F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
+        else:
+            size += F.lit(8)
+    return df.agg(F.sum(size.cast("long"))).first()[0] or 0
+
+
 def salted_join(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner",
                 salts: int = SALTS) -> DataFrame:
     # Derived from the row and its partition, so a repeated task salts alike.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(facts)), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable(facts)), F.lit(salts)).cast("int")
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return facts.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def _hashable(df: DataFrame) -> list[str]:
+def hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
 
 

@@ -117,9 +117,10 @@ def roc_points(scored: DataFrame) -> DataFrame:
 def auc_ovr(scored: DataFrame) -> DataFrame:
     """``(class, auc)``: trapezoids under the curve, so a tie counts one half."""
     steps = _score_steps(scored)
-    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
-    return steps.groupBy("class").agg(
-        (area / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc"))
+    # Products of counts pass the range of a long on a large table, so they are taken in doubles.
+    area = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return steps.groupBy("class").agg((area / F.nullif(pairs, F.lit(0.0))).alias("auc"))
 
 
 def topk_accuracy(df: DataFrame, label_index: str, probabilities: str, k: int = 2) -> DataFrame:

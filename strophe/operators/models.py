@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import argmax_vector
 from ..sources.staging import stage
@@ -24,28 +24,30 @@ from .rows import decode_label, encode_label, union_tables
 from .sampling import kfold
 
 INDEX = "_label_index"
-MAX_TREE_DEPTH = 30  # Spark's limit; an unlimited depth is cut here
+MAX_TREE_DEPTH = 30  # the deepest tree of the library; ``None`` asks for it
 
 
 def random_forest(trees: int = 100, depth: int | None = None, min_leaf: int = 1, bootstrap: bool = True,
                   impurity: str = "gini", max_features: str = "sqrt", weight: str | None = None,
                   seed: int = 42) -> RandomForestClassifier:
+    if depth is not None and depth > MAX_TREE_DEPTH:
+        raise ValueError(f"trees can have at most {MAX_TREE_DEPTH} levels, not {depth}")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=INDEX, numTrees=trees,
-        maxDepth=min(depth or MAX_TREE_DEPTH, MAX_TREE_DEPTH), minInstancesPerNode=min_leaf, bootstrap=bootstrap,
+        maxDepth=depth or MAX_TREE_DEPTH, minInstancesPerNode=min_leaf, bootstrap=bootstrap,
         impurity=impurity, featureSubsetStrategy=max_features, seed=seed)
     return forest.setWeightCol(weight) if weight else forest
 
 
-def linear_svm(c: float, n: int, tol: float = 0.1, max_iter: int = 100) -> LinearSVC:
+def linear_svm(c: float, n: int, tol: float = 0.1, max_iter: int = 100, weight: str | None = None) -> LinearSVC:
     """A linear SVM whose cost ``c`` per row is turned into Spark's penalty ``1 / (c * n)``."""
-    return LinearSVC(featuresCol="features", labelCol=INDEX, regParam=1.0 / (c * max(n, 1)), tol=tol,
-                     maxIter=max_iter)
+    svm = LinearSVC(featuresCol="features", labelCol=INDEX, regParam=1.0 / (c * max(n, 1)), tol=tol, maxIter=max_iter)
+    return svm.setWeightCol(weight) if weight else svm
 
 
-def svm_one_vs_rest(c: float, n: int, parallelism: int = 4, **options) -> OneVsRest:
-    return OneVsRest(featuresCol="features", labelCol=INDEX, classifier=linear_svm(c, n, **options),
-                     parallelism=parallelism)
+def svm_one_vs_rest(c: float, n: int, parallelism: int = 4, weight: str | None = None, **options) -> OneVsRest:
+    many = OneVsRest(featuresCol="features", labelCol=INDEX, classifier=linear_svm(c, n, **options), parallelism=parallelism)
+    return many.setWeightCol(weight) if weight else many
 
 
 def perceptron(inputs: int, classes: int = len(EMOTIONS), hidden: Sequence[int] = (32, 32), max_iter: int = 100,
@@ -110,6 +112,21 @@ class PairwiseSVM:
                  classes: Sequence[str]):
         self.features, self.pairs, self.classes = features, dict(pairs), list(classes)
 
+    def save(self, path: str) -> None:
+        """Features, one model per pair, and the classes, below ``path``."""
+        self.features.write().overwrite().save(f"{path}/features")
+        for (a, b), model in self.pairs.items():
+            model.write().overwrite().save(f"{path}/pair-{a}-{b}")
+        spark = SparkSession.active()
+        spark.createDataFrame([(self.classes, [list(p) for p in self.pairs])], "classes array<string>, pairs array<array<int>>").write.mode(
+            "overwrite").parquet(f"{path}/classes")
+
+    @staticmethod
+    def load(path: str) -> PairwiseSVM:
+        row = SparkSession.active().read.parquet(f"{path}/classes").first()
+        pairs = {(a, b): LinearSVCModel.load(f"{path}/pair-{a}-{b}") for a, b in row.pairs}
+        return PairwiseSVM(PipelineModel.load(f"{path}/features"), pairs, list(row.classes))
+
     def transform(self, df: DataFrame) -> DataFrame:
         scored = self.features.transform(df)
         margins = []

@@ -1,7 +1,9 @@
 """Exact, repeatable sampling and splitting.
 
-The random order of a row is ``md5(seed:id)``, then the id, so a sample does not
-depend on partitioning.  Ids must be unique.  Its size is exact.  No group is ever sorted as a whole:
+The random order of a row is ``md5(seed:key)``, then the key, so a sample does not
+depend on partitioning.  Its size is exact.  A key is one column or several (song and
+stanza number) and must be unique: rows that share one would be taken together, so a
+key that repeats among the rows ranked here is refused.  No group is ever sorted as a whole:
 the first four hex digits of the hash divide each group into 65,536 even buckets;
 bucket counts tell in which bucket the n-th row lies, and only the rows of that
 bucket are ranked.  The id and hash of the n-th row are then a plain filter.
@@ -19,12 +21,26 @@ from .joins import lookup_join
 BUCKET_DIGITS = 4
 
 
-def hash_key(id_col: str, seed: int = 42) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+Key = str | Sequence[str]
 
 
-def _keyed(df: DataFrame, id_col: str, by: Sequence[str], seed: int) -> DataFrame:
-    keyed = df.select(*by, F.col(id_col).alias("_id"), hash_key(id_col, seed).alias("_hash"))
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def hash_key(id_col: Key, seed: int = 42) -> Column:
+    parts = [F.col(c).cast("string") for c in key_columns(id_col)]
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws(":", *parts) if len(parts) > 1 else parts[0]))
+
+
+def _id(id_col: Key) -> Column:
+    """The key as one value that can be compared."""
+    columns = key_columns(id_col)
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+
+
+def _keyed(df: DataFrame, id_col: Key, by: Sequence[str], seed: int) -> DataFrame:
+    keyed = df.select(*by, _id(id_col).alias("_id"), hash_key(id_col, seed).alias("_hash"))
     for col in by:
         keyed = keyed.where(F.col(col).isNotNull())
     return keyed.withColumn("_bucket", F.conv(F.substring("_hash", 1, BUCKET_DIGITS), 16, 10).cast("int"))
@@ -38,7 +54,7 @@ def _bucket_table(keyed: DataFrame, by: Sequence[str]) -> DataFrame:
         F.sum("_rows").over(group.orderBy("_bucket")).alias("_upto"), F.sum("_rows").over(group).alias("_total"))
 
 
-def _cuts(df: DataFrame, id_col: str, takes: Mapping[str, Callable[[Column], Column]], by: Sequence[str],
+def _cuts(df: DataFrame, id_col: Key, takes: Mapping[str, Callable[[Column], Column]], by: Sequence[str],
           seed: int) -> DataFrame:
     """Per group one column per name with hash and id of the row whose rank is ``takes[name](group size)``."""
     keyed = _keyed(df, id_col, by, seed)
@@ -53,16 +69,18 @@ def _cuts(df: DataFrame, id_col: str, takes: Mapping[str, Callable[[Column], Col
                                      (F.col("_w.take") - _offset()).alias("nth"))).alias("_marks")))
     inside = Window.partitionBy(*by, "_bucket").orderBy("_hash", "_id")
     ranked = lookup_join(keyed, marks, [*by, "_bucket"]).withColumn("_nth", F.row_number().over(inside))
-    hits = ranked.select("*", F.explode("_marks").alias("_m")).where("_m.nth = _nth")
-    return hits.groupBy(*by).agg(*[
-        F.max(F.when(F.col("_m.name") == name, F.struct("_hash", "_id"))).alias(f"_cut_{name}") for name in takes])
+    ranked = ranked.withColumn("_again", F.coalesce(F.lag("_id").over(inside) == F.col("_id"), F.lit(False)))
+    hits = ranked.select("*", F.explode("_marks").alias("_m")).where("_m.nth = _nth or _again")
+    return hits.groupBy(*by).agg(F.max("_again").alias("_again"), *[
+        F.max(F.when((F.col("_m.name") == name) & (F.col("_m.nth") == F.col("_nth")), F.struct("_hash", "_id"))).alias(f"_cut_{name}")
+        for name in takes])
 
 
 def _offset() -> Column:
     return F.col("_upto") - F.col("_rows")
 
 
-def take_first(df: DataFrame, id_col: str, takes: Mapping[str, Callable[[Column], Column]],
+def take_first(df: DataFrame, id_col: Key, takes: Mapping[str, Callable[[Column], Column]],
                by: Sequence[str] = (), seed: int = 42, rest: str | None = None, out: str = "split") -> DataFrame:
     """Name each row by the first of the ``takes`` whose rank range it falls in.
 
@@ -70,10 +88,12 @@ def take_first(df: DataFrame, id_col: str, takes: Mapping[str, Callable[[Column]
     Rows beyond all of them are named ``rest``.  The rows themselves are not shuffled.
     """
     by = list(by)
-    me = F.struct(hash_key(id_col, seed).alias("_hash"), F.col(id_col).alias("_id"))
+    me = F.struct(hash_key(id_col, seed).alias("_hash"), _id(id_col).alias("_id"))
     cuts = stage(_cuts(df, id_col, takes, by, seed))
+    if not cuts.where("_again").isEmpty():
+        raise ValueError(f"the key {key_columns(id_col)} repeats: name all columns that tell rows apart")
     if by:
-        named = lookup_join(df, cuts, by, "left")
+        named = lookup_join(df, cuts.drop("_again"), by, "left")
         bounds = {name: F.col(f"_cut_{name}") for name in takes}
     else:
         named, found = df, cuts.first()  # one row
@@ -81,36 +101,43 @@ def take_first(df: DataFrame, id_col: str, takes: Mapping[str, Callable[[Column]
         for name in takes:
             cut = found[f"_cut_{name}"]
             bounds[name] = (F.lit(None) if cut is None else F.struct(
-                F.lit(cut[0]).alias("_hash"), F.lit(cut[1]).cast(df.schema[id_col].dataType).alias("_id")))
+                F.lit(cut[0]).alias("_hash"), _literal_id(df, id_col, cut[1]).alias("_id")))
     chain = F.lit(rest)
     for name in reversed(list(takes)):
         chain = F.when(F.coalesce(me <= bounds[name], F.lit(False)), F.lit(name)).otherwise(chain)
     return named.select(*df.columns, chain.alias(out))
 
 
-def _taken(df: DataFrame, id_col: str, take: Callable[[Column], Column], by: Sequence[str], seed: int) -> DataFrame:
+def _literal_id(df: DataFrame, id_col: Key, value) -> Column:
+    columns = key_columns(id_col)
+    typed = [F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(columns, [value] if len(columns) == 1 else value)]
+    return typed[0] if len(columns) == 1 else F.struct(*typed)
+
+
+def _taken(df: DataFrame, id_col: Key, take: Callable[[Column], Column], by: Sequence[str], seed: int) -> DataFrame:
     return take_first(df, id_col, {"in": take}, by, seed, out="_split").where("_split = 'in'").drop("_split")
 
 
-def stratified_sample(df: DataFrame, by: str, frac: float, id_col: str = "id", seed: int = 42) -> DataFrame:
+def stratified_sample(df: DataFrame, by: str, frac: float, id_col: Key = "id", seed: int = 42) -> DataFrame:
     """``frac`` of each group, its size rounded half to even."""
     return _taken(df, id_col, lambda n: F.bround(n * F.lit(float(frac))), [by], seed)
 
 
-def downsample(df: DataFrame, by: str = "label", id_col: str = "id", seed: int = 42) -> DataFrame:
+def downsample(df: DataFrame, by: str = "label", id_col: Key = "id", seed: int = 42) -> DataFrame:
     """As many rows of each class as the smallest class has."""
     sizes = df.where(F.col(by).isNotNull()).groupBy(by).count()
     smallest = sizes.agg(F.min("count")).first()[0] or 0
     return _taken(df, id_col, lambda n: F.lit(smallest), [by], seed)
 
 
-def sample_n(df: DataFrame, n: int, id_col: str = "id", seed: int = 42) -> DataFrame:
+def sample_n(df: DataFrame, n: int, id_col: Key = "id", seed: int = 42) -> DataFrame:
     return _taken(df, id_col, lambda total: F.least(total, F.lit(n)), [], seed)
 
 
-def not_sampled(df: DataFrame, sample: DataFrame, id_col: str = "id") -> DataFrame:
+def not_sampled(df: DataFrame, sample: DataFrame, id_col: Key = "id") -> DataFrame:
     """Rows of ``df`` that the sample left out."""
-    return df.join(sample.select(id_col), id_col, "left_anti")
+    keys = key_columns(id_col)
+    return df.join(sample.select(*keys), keys, "left_anti")
 
 
 def _ceil(share: float) -> Callable[[Column], Column]:
@@ -118,11 +145,11 @@ def _ceil(share: float) -> Callable[[Column], Column]:
     return lambda n: F.ceil(F.round(n * F.lit(float(share)), 9))
 
 
-def random_split(df: DataFrame, test: float, id_col: str = "id", by: Sequence[str] = (), seed: int = 42,
+def random_split(df: DataFrame, test: float, id_col: Key = "id", by: Sequence[str] = (), seed: int = 42,
                  out: str = "split") -> DataFrame:
     """``test`` holds ``ceil(test * n)`` rows, overall or per class; the rest is ``train``.
 
-    With ``id_col`` a song key, use ``split_groups`` instead.
+    To keep the rows of one song together use ``split_groups`` instead.
     """
     return take_first(df, id_col, {"test": _ceil(test)}, by, seed, rest="train", out=out)
 
@@ -133,7 +160,7 @@ def split_groups(df: DataFrame, test: float, group_col: str, seed: int = 42, out
     return lookup_join(df, stage(groups), [group_col])
 
 
-def train_val_test(df: DataFrame, by: str = "label", id_col: str = "id", test: float = 0.3, val: float = 0.3,
+def train_val_test(df: DataFrame, by: str = "label", id_col: Key = "id", test: float = 0.3, val: float = 0.3,
                    seed: int = 42, out: str = "split") -> DataFrame:
     """``ceil(test*n)`` rows per class to test, ``ceil(val*rest)`` to val, the rest to train."""
     n_test = _ceil(test)
@@ -143,21 +170,21 @@ def train_val_test(df: DataFrame, by: str = "label", id_col: str = "id", test: f
     }, [by], seed, rest="train", out=out)
 
 
-def hash_rank(df: DataFrame, id_col: str, by: Sequence[str] = (), seed: int = 42, out: str = "rank") -> DataFrame:
-    """0-based rank of each row of its group in hash order, by bucket offset and rank inside the bucket."""
+def hash_rank(df: DataFrame, id_col: Key, by: Sequence[str] = (), seed: int = 42, out: str = "rank") -> DataFrame:
+    """0-based rank of each row of its group in hash order, by bucket offset and rank inside the bucket; null without a group."""
     by = list(by)
-    keyed = df.withColumn("_id", F.col(id_col)).withColumn("_hash", hash_key(id_col, seed)).withColumn(
+    keyed = df.withColumn("_id", _id(id_col)).withColumn("_hash", hash_key(id_col, seed)).withColumn(
         "_bucket", F.conv(F.substring("_hash", 1, BUCKET_DIGITS), 16, 10).cast("int"))
     offsets = stage(_bucket_table(_keyed(df, id_col, by, seed), by).select(
         *by, "_bucket", _offset().alias("_offset")))
     inside = Window.partitionBy(*by, "_bucket").orderBy("_hash", "_id")
-    ranked = lookup_join(keyed, offsets, [*by, "_bucket"])
+    ranked = lookup_join(keyed, offsets, [*by, "_bucket"], "left")
     return ranked.select(*df.columns, (F.col("_offset") + F.row_number().over(inside) - 1).alias(out))
 
 
-def kfold(df: DataFrame, k: int, by: str = "label", id_col: str = "id", seed: int = 42,
+def kfold(df: DataFrame, k: int, by: str = "label", id_col: Key = "id", seed: int = 42,
           out: str = "fold") -> DataFrame:
-    """Stratified folds: hash rank within the class, modulo ``k``."""
+    """Stratified folds: hash rank within the class, modulo ``k``; rows without a class are in none."""
     ranked = hash_rank(df, id_col, [by], seed, "_rank")
     return ranked.withColumn(out, (F.col("_rank") % k).cast("int")).drop("_rank")
 
@@ -165,8 +192,8 @@ def kfold(df: DataFrame, k: int, by: str = "label", id_col: str = "id", seed: in
 def class_weights(df: DataFrame, by: str = "label") -> DataFrame:
     """Balanced weight ``n / (k * n_class)`` per class."""
     sizes = df.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
-    balanced = F.lit(1.0) * total.select("n").scalar() / (total.select("k").scalar() * F.col("n"))
+    every = Window.partitionBy()  # one row per class
+    balanced = F.sum("n").over(every) * F.lit(1.0) / (F.count(F.lit(1)).over(every) * F.col("n"))
     return sizes.select(by, "n", balanced.alias("weight"))
 
 

@@ -15,12 +15,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arrays import pad_sequence, term_counts
 from ..functions.text import WORD
 from ..sources.staging import stage
-from .joins import lookup_join
+from .joins import hashable, lookup_join
 from .ordered import numbered
 from .unnest import unnest, unnest_structs
 
-MERGED_ROWS = 4_000_000
-SHARDS = 64
+SHARDS = 16
 SCORE_DIGITS = 9  # scores are ranked rounded, so the order of a sum cannot decide a tie
 
 
@@ -73,15 +72,14 @@ def top_per_group(df: DataFrame, by: Sequence[str], score: Column, k: int, term:
                   rank: str | None = None) -> DataFrame:
     """The ``k`` best rows per group, ties in term order.
 
-    Without groups this is a sort with a limit, which keeps ``k`` rows per task;
-    with groups the row-number filter does the same before the shuffle.  When the
-    rows that all tasks keep would be many for the one task that merges them, they
-    are first reduced to ``k`` in each of some shards.
+    The row-number filter keeps ``k`` rows per group and task before the shuffle.
+    Without groups the rows are dealt to ``SHARDS`` shards first, so that the one task
+    that merges sees at most ``SHARDS * k`` rows, however many tasks there were.
     """
     best = [F.desc("_score"), F.col(term) if isinstance(term, str) else term]
     scored = df.withColumn("_score", score)
-    if not by and k * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > MERGED_ROWS:
-        shard = F.pmod(F.xxhash64("term"), F.lit(SHARDS))
+    if not by:
+        shard = F.pmod(F.xxhash64(*hashable(df)), F.lit(SHARDS))
         place = F.row_number().over(Window.partitionBy("_shard").orderBy(*best))
         scored = scored.withColumn("_shard", shard).withColumn("_place", place).where(
             F.col("_place") <= k).drop("_shard", "_place")
@@ -134,19 +132,22 @@ def chi2_scores(posted: DataFrame, docs: DataFrame, label: str) -> DataFrame:
 
     With o the count in a class and e = share * total, the sum of (o-e)^2/e over
     all classes is sum(o^2/share)/total - total, so absent cells need no rows.
+    Documents without a label play no part.
     """
+    posted = posted.where(F.col(label).isNotNull())
     sizes = stage(docs.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
     total = sizes.agg(F.sum("_n")).first()[0] or 0
     observed = posted.groupBy(label, "term").agg(F.sum("tf").alias("_o"), F.count(F.lit(1)).alias("_df"))
     shared = lookup_join(observed, sizes, [label]).withColumn("_share", F.col("_n") / F.lit(total))
     return shared.groupBy("term").agg(
         F.sum("_df").alias("df"), F.sum("_o").alias("cf"),
-        (F.sum(F.col("_o") * F.col("_o") / F.col("_share")) / F.sum("_o") - F.sum("_o")).alias("chi2"))
+        (F.sum(F.col("_o").cast("double") * F.col("_o") / F.col("_share")) / F.sum("_o") - F.sum("_o")).alias("chi2"))
 
 
 def chi2_select(posted: DataFrame, docs: DataFrame, label: str, k: int = 5000, min_df: int | float = 2,
                 max_df: int | float = 0.8) -> DataFrame:
     """The ``k`` terms with the highest chi-squared; among equal ones the later in the alphabet, staged."""
+    docs = docs.where(F.col(label).isNotNull())
     n = docs.count()
     scores = chi2_scores(posted, docs, label).where(
         (F.col("df") >= _bound(min_df, F.lit(n))) & (F.col("df") <= _bound(max_df, F.lit(n))))
@@ -250,7 +251,7 @@ def derive_lemmas(words: DataFrame, token: str = "token") -> DataFrame:
 
     Stands in for an external dictionary; the first rule in the list wins.
     """
-    words = words.select(F.col(token).alias("token")).distinct()
+    words = stage(words.select(F.col(token).alias("token")).distinct())
     forms = F.array(*[
         F.when(F.endswith("token", F.lit(end)) & (F.length("token") > len(end) + 1), F.struct(
             F.lit(i).alias("rule"),

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
 
@@ -62,6 +62,20 @@ class TopicModel:
         rows = [(k, t, float(self.h[k, j])) for k in range(self.h.shape[0]) for j, t in enumerate(self.terms)]
         return spark.createDataFrame(rows, "topic int, term string, weight double")
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One row per term with its column of the matrix."""
+        rows = [(j, t, self.h[:, j].tolist()) for j, t in enumerate(self.terms)]
+        spark.createDataFrame(rows, "at int, term string, weights array<double>").write.mode("overwrite").parquet(f"{path}/terms")
+        spark.createDataFrame([(self.h.shape[0], self.sweeps, list(self.losses))], "topics int, sweeps int, losses array<double>").write.mode(
+            "overwrite").parquet(f"{path}/fit")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TopicModel:
+        fit = spark.read.parquet(f"{path}/fit").first()
+        rows = spark.read.parquet(f"{path}/terms").orderBy("at").collect()  # a vocabulary of at most MAX_TERMS
+        h = np.array([r.weights for r in rows], float).reshape(len(rows), fit.topics).T
+        return TopicModel(tuple(r.term for r in rows), h, tuple(fit.losses), fit.sweeps)
+
     def transform(self, weights: DataFrame, docs: DataFrame, doc: str, out: str = "topics") -> DataFrame:
         """``(doc, topics)`` for all ``docs``; documents without known terms get zeros."""
         h, hht, sweeps = self.h, self.h @ self.h.T, self.sweeps
@@ -87,10 +101,12 @@ def _sparse_rows(weights: DataFrame, doc: str, terms: tuple[str, ...]) -> DataFr
     return cells.select(doc, F.col("_c.idx").alias("idx"), F.col("_c.weight").alias("val"))
 
 
-def nmf_fit(weights: DataFrame, doc: str, k: int = 8, iterations: int = 30, seed: int = 42, tol: float = 1e-4,
+def nmf_fit(weights: DataFrame, doc: str, k: int = 8, iterations: int = 200, seed: int = 42, tol: float = 1e-4,
             max_terms: int = MAX_TERMS, sweeps: int = 50) -> TopicModel:
     """Alternating least squares with non-negative factors on ``(doc, term, weight)``."""
     found = weights.select("term").distinct().orderBy("term").limit(max_terms + 1).collect()
+    if len(found) > max_terms:
+        raise ValueError(f"more than {max_terms} terms: cap the vocabulary before the factorisation")
     terms = tuple(r[0] for r in found)
     rows = stage(_sparse_rows(weights, doc, terms).select("idx", "val"))
     m = len(terms)

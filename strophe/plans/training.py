@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import join_tokens, one_hot_vector
 from ..functions.text import analyze, parse_pylist
@@ -21,7 +21,7 @@ from ..operators.models import (
     svm_one_vs_rest,
 )
 from ..operators.rows import bools_to_int, encode_label
-from ..operators.sampling import downsample, random_split, sample_n, train_val_test
+from ..operators.sampling import Key, downsample, key_columns, random_split, sample_n, train_val_test
 from ..operators.terms import (
     Scaling, chi2_select, fit_scaling, fit_terms, fit_vocab, postings, tfidf_transform, to_sequences,
 )
@@ -95,7 +95,7 @@ def evaluate(model: Model, test: DataFrame, classes: Sequence[str] = EMOTIONS,
     return Evaluation(model, stage(predict(model, test, keep)), classes)
 
 
-def train_and_evaluate(df: DataFrame, fit: Callable[[DataFrame], Model], test: float = 0.3, id_col: str = "id",
+def train_and_evaluate(df: DataFrame, fit: Callable[[DataFrame], Model], test: float = 0.3, id_col: Key = ("id", "stanza_number"),
                        classes: Sequence[str] = EMOTIONS, save_to: str | None = None) -> Evaluation:
     """Hold out ``test``, fit on the rest, predict the held-out rows."""
     parts = stage(random_split(df, test, id_col))
@@ -147,12 +147,29 @@ class Preparation:
         return bools_to_int(scaled, BOOLEANS).join(sequences, key).join(topics, key)
 
 
+    def save(self, path: str) -> None:
+        """Write all that was fitted below ``path``: tables, topics and one row of numbers."""
+        spark = self.vocab.sparkSession
+        self.title_terms.write.mode("overwrite").parquet(f"{path}/title_terms")
+        self.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+        self.topics.save(spark, f"{path}/topics")
+        row = [(self.scaling.mean, self.scaling.std, self.tokens, self.id_col, list(self.stop))]
+        spark.createDataFrame(row, "mean double, std double, tokens string, id_col string, stop array<string>").write.mode(
+            "overwrite").parquet(f"{path}/settings")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Preparation:
+        row = spark.read.parquet(f"{path}/settings").first()
+        return Preparation(spark.read.parquet(f"{path}/title_terms"), TopicModel.load(spark, f"{path}/topics"),
+                           spark.read.parquet(f"{path}/vocab"), Scaling(row.mean, row.std), row.tokens, row.id_col, list(row.stop))
+
+
 def title_stopwords() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
 def fit_preparation(train: DataFrame, tokens: str = "lemmatized_stanzas", id_col: str = "row_id",
-                    stop: Sequence[str] | None = None, iterations: int = 30) -> Preparation:
+                    stop: Sequence[str] | None = None, iterations: int = 200) -> Preparation:
     stop = title_stopwords() if stop is None else stop
     titles = stage(postings(train, id_col, analyze(F.col("title"), stop=stop)))
     terms = fit_terms(titles, train, max_features=TITLE_TERMS)
@@ -167,12 +184,12 @@ def with_target(df: DataFrame, label: str = "label", classes: Sequence[str] = EM
 
 
 def prepare(df: DataFrame, label: str = "label", tokens: str = "lemmatized_stanzas", id_col: str = "row_id",
-            balance: bool = False, iterations: int = 30) -> tuple[Preparation, DataFrame]:
+            balance: bool = False, iterations: int = 200, classes: Sequence[str] = EMOTIONS) -> tuple[Preparation, DataFrame]:
     """Split 49/21/30 per class, fit on the training rows, transform all rows."""
     even = downsample(df, label, id_col) if balance else df
     parts = stage(train_val_test(even, label, id_col))
     fitted = fit_preparation(parts.where("split = 'train'"), tokens, id_col, iterations=iterations)
-    return fitted, with_target(fitted.apply(parts), label)
+    return fitted, with_target(fitted.apply(parts), label, classes)
 
 
 def dense_spec(max_features: int = 1000) -> FeatureSpec:
@@ -194,7 +211,7 @@ def fit_perceptron(train: DataFrame, spec: FeatureSpec, classes: Sequence[str] =
 
 
 def training_run(df: DataFrame, fit: Callable[[DataFrame], Model], unlabelled: DataFrame | None = None,
-                 balance: bool = False, pseudo_share: float | None = None, id_col: str = "id",
+                 balance: bool = False, pseudo_share: float | None = None, id_col: Key = ("id", "stanza_number"),
                  classes: Sequence[str] = EMOTIONS, save_to: str | None = None, runs: str | None = None,
                  name: str = "run") -> Evaluation:
     """Balance if asked, split, fit, self-train on unlabelled rows if given, evaluate on the test part.
@@ -223,10 +240,11 @@ def training_run(df: DataFrame, fit: Callable[[DataFrame], Model], unlabelled: D
     return out
 
 
-def classify(rows: DataFrame, path: str, id_col: str = "id", tokens: str = "lemmatized_stanzas") -> DataFrame:
-    """``(id, label)`` for new rows by a saved model; tokens may be an array, a list literal or ready text."""
+def classify(rows: DataFrame, path: str, id_col: Key = ("id", "stanza_number"), tokens: str = "lemmatized_stanzas") -> DataFrame:
+    """The key and ``label`` of new rows by a saved model; tokens may be an array, a list literal or ready text."""
     if "text_str" not in rows.columns:
         if rows.schema[tokens].dataType.simpleString() == "string":
             rows = rows.withColumn(tokens, parse_pylist(F.col(tokens)))
         rows = with_text(rows, tokens)
-    return predict(load_model(path), rows, [id_col]).select(id_col, F.col("predicted").alias("label"))
+    keys = key_columns(id_col)
+    return predict(load_model(path), rows, keys).select(*keys, F.col("predicted").alias("label"))

@@ -33,10 +33,10 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when a table has fewer files than the session has cores.
+    """Deal rows out when a table is read in fewer tasks than the session has cores.
 
-    One Parquet row group is one task, however large; a table of many files is
-    left as it is, so this never shuffles a big corpus.
+    Tasks read up to ``spark.sql.files.maxPartitionBytes``, so what is shuffled here is
+    at most that much per core, and a table with more bytes is left as it is.
     """
     width = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(width) if len(df.inputFiles()) < width else df
+    return df.repartition(width) if df.rdd.getNumPartitions() < width else df

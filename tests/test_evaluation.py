@@ -173,3 +173,52 @@ def test_run_log(spark, tmp_path):
     log_run(spark, str(tmp_path / "runs"), "second", {"reset": True}, {})
     rows = run_summary(spark, str(tmp_path / "runs")).collect()
     assert [r["name"] for r in rows] == ["first", "second"] and rows[0]["params"] == {"trees": "3"}
+
+
+def test_counts_beyond_a_long_product(spark):
+    """Counts of four thousand million per class: their product does not fit into a long."""
+    from strophe.operators import metrics, terms
+
+    n = 4_000_000_000
+    steps = spark.createDataFrame([("a", 0.9, n, 0), ("a", 0.5, n, n), ("a", 0.1, 0, n)], "class string, score double, pos long, neg long")
+    summed = steps.withColumn("tp", F.lit(n) * F.when(F.col("score") > 0.6, 1).otherwise(2)).withColumn("fp", F.lit(0))
+    original, metrics._score_steps = metrics._score_steps, lambda scored: summed
+    try:
+        assert metrics.auc_ovr(None).first().auc == pytest.approx(0.875)
+    finally:
+        metrics._score_steps = original
+
+    posted = spark.createDataFrame([("x", 1, "t", n), ("y", 2, "t", n), (None, 3, "t", n)], "label string, doc int, term string, tf long")
+    docs = spark.createDataFrame([("x", 1), ("y", 2), (None, 3)], "label string, doc int")
+    row = terms.chi2_scores(posted, docs, "label").first()
+    assert (row.df, row.cf, row.chi2) == (2, 2 * n, pytest.approx(0.0))
+
+
+def test_depth_is_not_cut(spark):
+    from strophe.operators.models import random_forest
+
+    assert random_forest(depth=None).getMaxDepth() == 30
+    with pytest.raises(ValueError):
+        random_forest(depth=60)
+
+
+def test_topics_refuse_and_survive_the_disk(spark, tmp_path):
+    from strophe.operators.topics import TopicModel, nmf_fit
+
+    weights = spark.createDataFrame([(d, f"t{d % 5}", 1.0) for d in range(20)], "doc int, term string, weight double")
+    with pytest.raises(ValueError):
+        nmf_fit(weights, "doc", 2, max_terms=4)
+    model = nmf_fit(weights, "doc", 2)
+    model.save(spark, str(tmp_path / "topics"))
+    again = TopicModel.load(spark, str(tmp_path / "topics"))
+    assert again.terms == model.terms and (again.h == model.h).all() and again.sweeps == model.sweeps
+
+
+def test_pairwise_svm_from_disk(spark, stanzas, tmp_path):
+    from strophe.operators.models import PairwiseSVM, fit_one_vs_one, predict
+
+    model = fit_one_vs_one(stanzas, spec=P.text_spec(), classes=CLASSES)
+    model.save(str(tmp_path / "svm"))
+    again = PairwiseSVM.load(str(tmp_path / "svm"))
+    keys = ["id", "stanza_number"] if "stanza_number" in stanzas.columns else ["id"]
+    assert sorted(map(tuple, predict(again, stanzas, keys).collect())) == sorted(map(tuple, predict(model, stanzas, keys).collect()))

@@ -77,7 +77,7 @@ def test_null_keys_and_global_ids(spark):
 def test_salted_and_broadcast_lookup_agree(spark, hot, how):
     table = stage(spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "key string, w int"))
     small = J.lookup_join(hot, table, ["key"], how)
-    large = J.lookup_join(hot, table, ["key"], how, broadcast_rows=2)
+    large = J.lookup_join(hot, table, ["key"], how, broadcast_bytes=2)
     key = ["key", "o", "v", "w"]
     assert "Broadcast" in small._jdf.queryExecution().simpleString()
     assert sorted(map(str, small.select(key).collect())) == sorted(map(str, large.select(key).collect()))
@@ -271,9 +271,11 @@ def test_label_join_fans_out(spark):
 
 def test_sharded_top_equals_plain_top(spark, monkeypatch):
     df = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("term"), (F.col("id") * 7 % 900).alias("cf"))
-    plain = K.top_per_group(df, [], F.col("cf"), 50, rank="r").collect()
-    monkeypatch.setattr(K, "MERGED_ROWS", 0)
-    assert K.top_per_group(df, [], F.col("cf"), 50, rank="r").collect() == plain
+    plain = sorted(((r.term, r.cf) for r in df.collect()), key=lambda r: (-r[1], r[0]))[:50]
+    monkeypatch.setattr(K, "SHARDS", 7)
+    assert [(r.term, r.cf) for r in K.top_per_group(df, [], F.col("cf"), 50, rank="r").orderBy("r").collect()] == plain
+    renamed = df.withColumnRenamed("term", "word")
+    assert K.top_per_group(renamed, [], F.col("cf"), 50, term="word").count() == 50
 
 
 def test_bag_as_matrix(spark):
@@ -299,3 +301,25 @@ def test_tokens_are_computed_once(spark):
     assert posted.count() == 2
     plan = posted._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_samples_of_rows_with_several_keys(spark):
+    """Stanzas share the id of their song, so rows are told apart by id and number."""
+    from strophe.operators.sampling import kfold, not_sampled, random_split, sample_n, train_val_test
+
+    rows = spark.range(1000).select((F.col("id") % 7).alias("id"), F.col("id").alias("stanza_number"), (F.col("id") % 3).alias("label"))
+    key = ["id", "stanza_number"]
+    taken = sample_n(rows, 10, key)
+    assert taken.count() == 10 and not_sampled(rows, taken, key).count() == 990
+    assert random_split(rows, 0.3, key).where("split = 'test'").count() == 300
+    parts = {(r.label, r.split): r["count"] for r in train_val_test(rows, "label", key).groupBy("label", "split").count().collect()}
+    assert parts[(0, "test")] == 101 and parts[(1, "test")] == 100
+    with pytest.raises(ValueError):
+        sample_n(rows, 10, "id")
+    folds = kfold(rows.withColumn("label", F.when(F.col("label") > 0, F.col("label"))), 5, "label", key)
+    assert folds.count() == 1000 and folds.where("fold is null").count() == 334
+
+
+def test_lookup_joins_by_bytes(spark):
+    table = spark.createDataFrame([(1, "x" * 100, [1, 2]), (2, None, None)], "key int, text string, list array<int>")
+    assert 120 < J.data_bytes(table) < 200
