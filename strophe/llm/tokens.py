@@ -6,10 +6,10 @@ bit-packed indexes hold them in two bytes; ``doc_id`` rises, so it is delta-enco
 groups and pages have set sizes and the files carry page indexes: a reader of one range of
 documents skips the other pages, a reader of counts does not touch the ids.
 
-A tokenizer that splits at white space before it merges gives a chunk ``' word'`` the same
-ids wherever it stands.  So a text is cut before its single spaces and each worker
-encodes a chunk once, keeping up to ``CACHE`` of them; texts in which white space stands
-next to white space are encoded whole.
+A byte-level BPE tokenizer splits at white space and between letters and other signs before
+it merges, so a word has the same ids wherever it stands.  A text is cut before its blanks
+and line feeds, and each worker encodes a word once while it keeps it (twice ``CACHE`` at
+most).  Texts in which white space stands next to white space are encoded whole.
 
 Nulls: a null text is empty (its document holds the end id alone); a null id sorts first.
 Rows that repeat an id are written one after the other.  Other columns are not written.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,43 +32,90 @@ from .base import query, table
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CACHE = 300_000
-TEXT_BYTES_PER_TASK = 64 << 20
+CACHE = 400_000
+ROWS_PER_FILE = 1 << 16
 _DOUBLE = re.compile(r"\s\s")
-_LOADED: dict[str, tuple] = {}
+_LOADED: dict = {}
 
 
-def _load(path: str) -> tuple:
-    """The tokenizer of a worker and its chunk cache."""
+def _signs() -> dict[int, str]:
+    """The visible sign of each byte in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_SIGNS = _signs()
+
+
+class _Words(dict):
+    """Ids of words, encoded when first asked for.
+
+    A key is a word without its blank, a line feed and its word, or a return and a word that no blank precedes.
+    What was not asked for since the last but one ``turn`` is forgotten.
+    """
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.old.get(key)
+        if out is None:
+            if len(key) > 2 and key[-1] in ",." and key[-2].isalpha():
+                out = self[key[:-1]] + self["\r" + key[-1]]
+            elif key[:1] == "\n" and len(key) > 1:
+                out = self["\r\n"] + self["\r" + key[1:]]
+            else:
+                out = self.encode(key[1:] if key[:1] == "\r" else key if key == "\n" else " " + key)
+        self[key] = out
+        return out
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a stretch that starts and ends where the tokenizer splits."""
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha() and max(word) < "\u0250":  # one split, so the merges alone decide
+            signs = text.replace(" ", _SIGNS[32]) if text.isascii() else text.encode().decode("latin-1").translate(_SIGNS)
+            ids = [t.id for t in self.model.tokenize(signs)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def turn(self) -> None:
+        if len(self) > CACHE:
+            self.old = dict(self)
+            self.clear()
+
+
+def _load(path: str) -> _Words:
+    """The words of a worker."""
     if path not in _LOADED:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _LOADED[path] = (Tokenizer.from_file(path), {})
+        _LOADED[path] = _Words(Tokenizer.from_file(path))
     return _LOADED[path]
 
 
+def _regular(cut: str) -> bool:
+    """Whether no white space stood next to white space in a text whose line feeds got a blank in front."""
+    if "  " in cut or "\n " in cut:
+        return False
+    return cut.replace("\n", "").isprintable() or not _DOUBLE.search(cut.replace(" \n", "\n"))
+
+
 def encode_texts(path: str, texts: list[str], end: bytes) -> list[bytes]:
     """The ids of each text as little-endian 32-bit integers, then ``end``."""
-    tokenizer, cache = _load(path)
-    if len(cache) > CACHE:
-        cache.clear()
-    cut = []
+    words, out = _load(path), []
+    words.turn()
     for text in texts:
-        head, *rest = [text] if _DOUBLE.search(text) else text.split(" ")
-        cut.append([head, *[" " + piece for piece in rest]])
-    new = list({chunk for chunks in cut for chunk in chunks if chunk not in cache})
-    fresh = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-    out = []
-    known = cache | fresh if len(new) > len(cache) else cache
-    if known is cache:
-        cache.update(fresh)
-    for chunks in cut:
-        out.append(b"".join([known[c] for c in chunks]) + end)
-    if known is not cache:
-        cache.update((c, b) for c, b in fresh.items() if len(c) < 64)
+        cut = text.replace("\n", " \n")
+        if _regular(cut):
+            out.append(b"".join(map(words.__getitem__, ("\r" + cut).split(" "))) + end)
+        else:
+            out.append(np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end)
     return out
 
 
@@ -93,13 +141,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
     """Encode ``docs`` and write files of ascending id ranges, ascending inside, to the folder ``path``."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     if files is None:
-        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TEXT_BYTES_PER_TASK))
+        files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-texts.count() // ROWS_PER_FILE))
     ranged = texts.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
     (encode(ranged, tokenizer_path, end_id, "doc_id", "text").write.mode("overwrite")
      .option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
      .option("parquet.enable.dictionary", "true").option("parquet.enable.dictionary#doc_id", "false")
-     .option("parquet.writer.version", "v2").option("compression", "zstd").parquet(path))
+     .option("parquet.writer.version", "v2").option("compression", "lz4_raw").parquet(path))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -117,7 +164,7 @@ def token_counts(tokens: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at), pa.int64()), pa.array(crc, pa.int64())],
                                              ["doc_id", "n_tokens", "ids_crc32"])
 
-    counts = tokens.mapInArrow(digest, "doc_id long, n_tokens long, ids_crc32 long")
+    counts = stage(tokens.mapInArrow(digest, "doc_id long, n_tokens long, ids_crc32 long"))
     summed = running_totals(counts, [], [F.col("doc_id").asc_nulls_first(), F.col("ids_crc32"), F.col("n_tokens")],
                             {"_to": F.col("n_tokens")})
     return summed.select("doc_id", (F.col("_to") - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")
