@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.arrays import term_counts
 from ..sources.staging import stage
 from ..wordlists import ENGLISH_STOPWORDS
 from .base import query, table
@@ -124,17 +125,23 @@ def own_licences(files: DataFrame, templates: Templates) -> DataFrame:
     empty = F.array().cast("array<struct<unit:string,whole:boolean>>")
     units = (possible.select("row", F.posexplode_outer(F.concat(lines, F.coalesce(whole, empty))).alias("n", "u"))
              .select("row", "n", "u.unit", "u.whole").where(F.rlike("unit", needed)))
-    terms = (units.select("row", "n", "whole", F.explode_outer(F.regexp_extract_all(F.lower("unit"), F.lit(TERM), 0)).alias("term"))
-             .groupBy("row", "n", "whole", "term").agg(F.count(F.lit(1)).alias("tf")))
-    # Both tables have a row for each term of the templates, which are given.
-    idf = spark.createDataFrame(sorted(templates.idf.items()), "term string, idf double")
-    weights = spark.createDataFrame(templates.weights(), "term string, licence string, template int, weight double")
-    weighted = terms.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(templates.unseen)))
-    lengths = weighted.groupBy("row", "n").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    dots = (weighted.join(F.broadcast(weights), "term").groupBy("row", "n", "whole", "licence", "template")
-            .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
-    scored = (dots.join(lengths, ["row", "n"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 6))
-              .where(F.col("score") >= templates.least))
+    counted = units.select("row", "n", "whole", F.inline_outer(term_counts(F.regexp_extract_all(F.lower("unit"), F.lit(TERM), 0))))
+    # One row for each term of the templates, which are given: its weight there and in each of them.
+    names = [name for name, _ in templates.notices]
+    vectors = {t: [0.0] * len(names) for t in templates.idf}
+    for t, _, at, w in templates.weights():
+        vectors[t][at] = w
+    known = spark.createDataFrame([(t, w, vectors[t]) for t, w in sorted(templates.idf.items())],
+                                  "term string, idf double, vector array<double>")
+    weighted = (counted.where("term is not null").join(F.broadcast(known), "term", "left")
+                .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(templates.unseen))))
+    # The terms of a unit stand in one task, where they are summed up before the shuffle.
+    sums = weighted.groupBy("row", "n", "whole").agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"),
+        *[F.sum(F.col("w") * F.get("vector", F.lit(k))).alias(f"dot{k}") for k in range(len(names))])
+    cosines = F.array(*[F.struct(F.round(F.col(f"dot{k}") / F.col("length"), 6).alias("score"), F.lit(name).alias("licence"))
+                        for k, name in enumerate(names)])
+    scored = sums.select("row", "whole", F.inline(cosines)).where(F.col("score") >= templates.least)
     best = F.min(F.struct((-F.col("score")).alias("s"), "licence", (~F.col("whole")).alias("line"))).alias("best")
     return scored.groupBy("row").agg(best).select(
         "row", "best.licence", (-F.col("best.s")).alias("score"), (~F.col("best.line")).alias("whole"))
