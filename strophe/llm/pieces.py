@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by a relational lattice.
 
-A text, with a blank in front, is cut before each run of blanks and around line feeds.  No
-piece crosses such a cut, so every distinct word of the corpus is encoded once:
+A text, with a blank in front, is cut before each run of blanks, around line feeds, and
+between a letter and those signs that no piece has after a letter.  No piece crosses such a
+cut, so every distinct word of the corpus is encoded once:
 
 1. The words are grouped and counted; the grouping also places each word in one partition.
 2. Each word is exploded into its substrings of at most the longest piece's length, which
@@ -26,8 +27,10 @@ as it does in the format.  Other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,11 +43,11 @@ from ..sources.staging import stage
 from .base import let, query, table
 from .wordhash import mix, powers
 
-FREQUENT = 1 << 21
+FREQUENT = 1 << 20
 LONG = 60  # characters of a word whose cut points fit in one number
 NO_ID = (1 << 63) - 1
-WORDS = r"\n| *[^ \n]+| +"
-_BITS = "struct<rank:int,s:int,ends:bigint,inside:bigint,id:int,score:double>"
+SIGNS = ",.;:!?\"'()-"
+LETTER = "0-9A-Za-z\u00c0-\u024f"
 
 
 @dataclass(frozen=True)
@@ -72,6 +75,19 @@ class Pieces:
     def longest(self) -> int:
         return max(map(len, self.names))
 
+    @property
+    def signs(self) -> str:
+        """The signs before which a word may be cut, if a letter stands there."""
+        return "".join(c for c in SIGNS if not any(re.search(f"[{LETTER}]{re.escape(c)}", n) for n in self.names))
+
+    @property
+    def word_pattern(self) -> str:
+        if not self.signs:
+            return r"\n| *[^ \n]+| +"
+        signs = "".join("\\" + c for c in self.signs)
+        # The possessive repeat runs in a loop, the usual one would recurse into a long word.
+        return rf"\n| *[^ \n](?:[^ \n{signs}]|(?<![{LETTER}])[{signs}])*+| +"
+
     def frame(self, spark: SparkSession) -> DataFrame:
         rank = {s: r for r, s in enumerate(sorted(set(self.scores), reverse=True))}
         rows = pd.DataFrame({"piece": self.names, "id": self.ids, "score": self.scores, "rank": [rank[s] for s in self.scores]})
@@ -83,52 +99,77 @@ def prepared(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.concat(F.lit(" "), F.replace(text, F.lit("▁"), F.lit(" ")))).otherwise("")
 
 
-def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    words = F.regexp_extract_all(prepared(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORDS), 0)
+def word_counts(docs: DataFrame, pieces: Pieces, text_col: str) -> DataFrame:
+    words = F.regexp_extract_all(prepared(F.coalesce(F.col(text_col), F.lit(""))), F.lit(pieces.word_pattern), 0)
     exploded = docs.select(F.explode_outer(words).alias("word")).where("word is not null")
     return exploded.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+# An edge is one number, so that a word's edges sort fast: rank, place, length, id.
+_RANK, _PLACE, _SIZE, _ID = 36, 30, 24, 0
+_NO_PIECE = (1 << 24) - 1
+
+
 def edges(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``(word, n, edges)``: the pieces in each word, and each single character, sorted by rank and place."""
+    """``(word, n, edges)``: the pieces in each word, and each single character, by rank and place."""
     spots = F.transform(F.sequence(F.lit(0), F.length("word") - 1), lambda s: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("word") - s)),
         lambda k: F.struct(s.alias("s"), k.alias("k"), F.substring(F.col("word"), s + 1, k).alias("piece"))))
     cut = words.select("word", "n", F.inline_outer(F.flatten(spots))).where("s is not null")
     met = cut.join(F.broadcast(pieces.frame(words.sparkSession)), "piece", "left").where("id is not null or k = 1")
-    edge = F.struct("rank", "s", F.expr("shiftleft(1L, s) | shiftleft(1L, s + k)").alias("ends"),
-                    F.expr("shiftleft(1L, s + k) - shiftleft(1L, s + 1)").alias("inside"), "id", "score")
-    return met.groupBy("word", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    edge = F.expr(f"shiftleft(cast(coalesce(rank, 0) as long), {_RANK}) | shiftleft(cast(s as long), {_PLACE}) | "
+                  f"shiftleft(cast(k as long), {_SIZE}) | coalesce(id, {_NO_PIECE})")
+    return met.groupBy("word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
 
+def _field(edge: Column, at: int, bits: int) -> Column:
+    return F.shiftright(edge, at).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
-def _joined(edge_list: Column, size: Column) -> Column:
+
+def _bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
+
+
+def _spans(edge_list: Column) -> Column:
+    """Edges with the bits of their two ends and of the cut points inside."""
+    def span(e: Column) -> Column:
+        s = _field(e, _PLACE, 6)
+        end = s + _field(e, _SIZE, 6)
+        return F.struct(s.alias("s"), end.alias("e"), _field(e, _RANK, 27).alias("rank"), _field(e, _ID, 24).alias("id"), _bit(s).bitwiseOR(_bit(end)).alias("ends"),
+                        (_bit(end) - _bit(s + 1)).alias("inside"))
+
+    return F.transform(edge_list, span)
+
+
+def _joined(spans: Column, size: Column) -> Column:
     """Cut points of a BPE word: join the first edge that spans two parts, until there is none."""
     done = F.lit(-(1 << 63))
-    none = F.lit(0).cast("long")
 
-    def fits(m: Column) -> Column:
-        return lambda e: ((m.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(m.bitwiseAND(e["inside"])) == 1))
+    def join(edge_list: Column) -> Column:
+        def step(m: Column, _: Column) -> Column:
+            fits = F.filter(edge_list, lambda e: (m.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(m.bitwiseAND(e["inside"])) == 1))
+            inside = F.get(F.transform(fits, lambda e: e["inside"]), 0)
+            after = let(inside, lambda i: F.when(i.isNull(), m.bitwiseOR(done)).otherwise(m.bitwiseAND(F.bitwise_not(i))))
+            return F.when(m < 0, m).otherwise(after)
 
-    def join(m: Column, _: Column) -> Column:
-        first = F.get(F.filter(edge_list, fits(m)), 0)
-        step = let(F.coalesce(first["inside"], none), lambda i: F.when(i == 0, m.bitwiseOR(done)).otherwise(m.bitwiseAND(F.bitwise_not(i))))
-        return F.when(m < 0, m).otherwise(step)
+        return F.aggregate(F.sequence(F.lit(1), size), _bit(size + 1) - 1, step)
 
-    start = F.call_function("shiftleft", F.lit(1).cast("long"), size + 1) - 1
-    folded = F.aggregate(F.sequence(F.lit(1), size), start, join)
-    return folded.bitwiseAND(F.lit((1 << 62) - 1))
+    return let(F.filter(spans, lambda e: e["inside"] != 0), join).bitwiseAND(F.lit((1 << 62) - 1))
 
 
-def _best(edge_list: Column, size: Column, unknown: float) -> Column:
+def _best(spans: Column, size: Column, scores: Sequence[float]) -> Column:
     """Cut points of a unigram word: Viterbi over prefixes, of which each keeps its score and its cut points."""
+    unknown = F.lit(min(scores) - 10.0)
+    of_rank = F.from_json(F.lit(json.dumps(sorted(set(scores), reverse=True))), "array<double>")
+
     def extend(best: Column, at: Column) -> Column:
         def through(e: Column) -> Column:
             before = F.get(best, e["s"])
-            return F.struct((before["score"] + F.coalesce(e["score"], F.lit(unknown))).alias("score"),
-                            before["cuts"].bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at)).alias("cuts"))
+            score = F.when(e["id"] == _NO_PIECE, unknown).otherwise(F.get(of_rank, e["rank"]))
+            return F.struct((before["score"] + score).alias("score"),
+                            before["cuts"].bitwiseOR(_bit(at)).alias("cuts"))
 
-        here = F.call_function("shiftleft", F.lit(1).cast("long"), at)
-        into = F.filter(edge_list, lambda e: (e["ends"].bitwiseAND(here) != 0) & (e["s"] < at))
+        into = F.filter(spans, lambda e: e["e"] == at)
         return F.concat(best, F.array(F.array_max(F.transform(into, through))))
 
     first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(1).cast("long").alias("cuts")))
@@ -170,15 +211,16 @@ def word_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``(word, n, ids)`` of ``words(word, n)``."""
     short, long = words.where(F.length("word") <= LONG), words.where(F.length("word") > LONG)
     size = F.length("word")
+    cut = edges(short, pieces).select("word", "n", _spans(F.col("edges")).alias("spans"))
     if pieces.unigram:
-        cuts = _best(F.col("edges"), size, min(pieces.scores) - 10.0)
+        cut = cut.withColumn("m", _best(F.col("spans"), size, pieces.scores))
     else:
-        cuts = _joined(F.filter("edges", lambda e: e["inside"] != 0), size)
-    cut = edges(short, pieces).withColumn("m", cuts)
+        cut = cut.withColumn("m", _joined(F.col("spans"), size))
+    m = F.col("m")
     parts = F.array_sort(F.transform(
-        F.filter("edges", lambda e: (F.col("m").bitwiseAND(e["ends"]) == e["ends"]) & (F.col("m").bitwiseAND(e["inside"]) == 0)),
+        F.filter("spans", lambda e: (m.bitwiseAND(e["ends"]) == e["ends"]) & (m.bitwiseAND(e["inside"]) == 0)),
         lambda e: F.struct(e["s"].alias("s"), e["id"].alias("id"))))
-    ids = F.flatten(F.transform(parts, lambda p: F.when(p["id"].isNotNull(), F.array(p["id"])).otherwise(
+    ids = F.flatten(F.transform(parts, lambda p: F.when(p["id"] != _NO_PIECE, F.array(p["id"])).otherwise(
         _byte_ids(F.substring(F.col("word"), p["s"] + 1, F.lit(1)), pieces.first_byte))))
     coded = cut.select("word", "n", ids.alias("ids"))
     if pieces.unigram:
@@ -201,17 +243,33 @@ _SECOND = mix(np.arange(1001, 1257, dtype=np.uint64))
 _UP = np.uint64(0x9E3779B97F4A7C15)
 _DOWN = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_LEAD = np.zeros(256, bool)  # first bytes of U+00C0 to U+024F
+_LEAD[0xC3:0xCA] = True
 
 
-def cut_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each word in the bytes of a prepared text, and two hashes of it."""
+def word_starts(data: np.ndarray, signs: str) -> np.ndarray:
+    """Start of each word in the bytes of a prepared text, as ``word_pattern`` cuts it."""
     if not len(data):
-        return np.empty(0, np.int64), np.empty((2, 0), np.uint64)
+        return np.empty(0, np.int64)
     blank, feed = data == 32, data == 10
     start = feed.copy()
     start[1:] |= feed[:-1] | (blank[1:] & ~blank[:-1])
+    if signs:
+        letter = _LETTER[data]
+        letter[1:] |= (data[1:] & 0xC0 == 0x80) & _LEAD[data[:-1]]
+        listed = np.zeros(256, bool)
+        listed[np.frombuffer(signs.encode(), np.uint8)] = True
+        start[1:] |= listed[data[1:]] & letter[:-1]
     start[0] = True
-    at = np.flatnonzero(start)
+    return np.flatnonzero(start)
+
+
+def span_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Two hashes of each stretch of ``data`` from one place of ``at`` to the next, the last one to the end."""
+    if not len(at):
+        return np.empty((2, 0), np.uint64)
     end = np.append(at[1:], len(data))
     width = 1 << max(16, int(len(data)).bit_length())
     if width not in _POWERS:
@@ -223,7 +281,7 @@ def cut_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(values[data] * up[:len(data)], out=total[1:])
         out[i] = mix((total[end] - total[at]) * down[at] + (end - at).astype(np.uint64))
-    return at, out
+    return out
 
 
 def prepare_bytes(text: str | None) -> bytes:
@@ -244,13 +302,17 @@ class Frequent:
         """``codes`` must be bounded; only hashes and ids come to the driver."""
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                pairs = np.concatenate([cut_bytes(np.frombuffer(w.encode(), np.uint8))[1] for w in batch.column(0).to_pylist()], 1)
-                yield pa.RecordBatch.from_arrays([*(pa.array(p.view(np.int64)) for p in pairs), batch.column(1)], ["a", "b", "ids"])
+                words = [w.encode() for w in batch.column(0).to_pylist()]
+                sizes = np.array([len(w) for w in words], np.int64)
+                a, b = span_hashes(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b.astype(np.int32)), batch.column(1)], ["a", "b", "ids"])
 
-        tab = codes.select("word", "ids").mapInArrow(hashed, "a long, b long, ids array<int>").toArrow().sort_by("a")
+        tab = codes.select("word", "ids").mapInArrow(hashed, "a long, b int, ids array<int>").toArrow().sort_by("a")
         ids = tab.column("ids").combine_chunks()
         offset = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]) if len(tab) else np.zeros(1)
-        return Frequent(*(tab.column(c).to_numpy() for c in "ab"), offset.astype(np.int64), ids.flatten().to_numpy().astype(np.int32))
+        flat = ids.flatten().to_numpy()
+        small = np.uint16 if not len(flat) or flat.max() < 1 << 16 else np.int32
+        return Frequent(*(tab.column(c).to_numpy() for c in "ab"), offset.astype(np.int32), flat.astype(small))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Index of each word, -1 for one that is not here."""
@@ -258,11 +320,11 @@ class Frequent:
             return np.full(hashes.shape[1], -1)
         a, b = hashes.view(np.int64)
         at = np.minimum(np.searchsorted(self.first, a), len(self.first) - 1)
-        return np.where((self.first[at] == a) & (self.second[at] == b), at, -1)
+        return np.where((self.first[at] == a) & (self.second[at] == b.astype(np.int32)), at, -1)
 
     def fill(self, at: np.ndarray, others: list[list[int]]) -> np.ndarray:
         """The ids of words ``at``; those at -1 have the ids in ``others``, in order."""
-        size = np.where(at >= 0, self.offset[at + 1] - self.offset[at], 0) if len(self.first) else np.zeros(len(at), np.int64)
+        size = np.where(at >= 0, self.offset[at + 1] - self.offset[at], 0).astype(np.int64) if len(self.first) else np.zeros(len(at), np.int64)
         missing = np.flatnonzero(at < 0)
         size[missing] = [len(o) for o in others]
         to = np.cumsum(size) - size
@@ -276,10 +338,16 @@ class Frequent:
         return out
 
 
-def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
-    """``(doc_id, text, ids)`` of each row."""
+def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,
+           then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None) -> DataFrame:
+    """``(doc_id, text, ids)`` of each row.
+
+    ``then``, a function of such batches and the schema of what it returns (``doc`` first), runs where the
+    codes are made, which spares a second Python worker for each task.
+    """
     spark = docs.sparkSession
-    codes = stage(word_codes(word_counts(docs, text_col), pieces))
+    signs = pieces.signs
+    codes = stage(word_codes(word_counts(docs, pieces, text_col), pieces))
     # How many words are how frequent, by powers of two: at most 63 rows.
     level = F.floor(F.log2("n")).cast("int")
     steps = {r["level"]: r["count"] for r in codes.groupBy(level.alias("level")).count().collect()}
@@ -297,8 +365,9 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             docs_, words = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = prepare_bytes(text)
-                at, hashes = cut_bytes(np.frombuffer(data, np.uint8))
-                missing = np.flatnonzero(shared.value.find(hashes) < 0)
+                raw = np.frombuffer(data, np.uint8)
+                at = word_starts(raw, signs)
+                missing = np.flatnonzero(shared.value.find(span_hashes(raw, at)) < 0)
                 if len(missing):
                     end = np.append(at[1:], len(data))
                     mine = {data[at[m]:end[m]] for m in missing}
@@ -323,44 +392,45 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                 for packed, own in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     text = None if packed is None else press.decompress(packed).decode()
                     data = prepare_bytes(text)
-                    at, hashes = cut_bytes(np.frombuffer(data, np.uint8))
-                    found, end = shared.value.find(hashes), np.append(at[1:], len(data))
+                    raw = np.frombuffer(data, np.uint8)
+                    at = word_starts(raw, signs)
+                    found, end = shared.value.find(span_hashes(raw, at)), np.append(at[1:], len(data))
                     own = {r["word"].encode(): r["ids"] for r in own or []}
                     ids.append(shared.value.fill(found, [own[data[at[m]:end[m]]] for m in np.flatnonzero(found < 0)]))
                     out.append(text)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string()), pa.array(ids, pa.list_(pa.int32()))],
-                                                 ["doc", "text", "ids"])
+                coded = pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string()), pa.array(ids, pa.list_(pa.int32()))],
+                                                   ["doc", "text", "ids"])
+                yield coded if then is None else then[0](coded)
 
     met = texts.mapInArrow(pack, "doc long, packed binary").join(lists, "doc", "left").select("doc", "packed", "rare")
-    coded = met.mapInArrow(code, "doc long, text string, ids array<int>")
-    return coded.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col), F.col("text").alias(text_col), "ids")
+    coded = met.mapInArrow(code, "doc long, text string, ids array<int>" if then is None else then[1])
+    doc = F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col)
+    return coded.select(doc, *[F.col(c).alias(text_col if c == "text" else c) for c in coded.columns if c != "doc"])
 
 
-def decode(coded: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``coded`` with the text of its ids; bytes that are no UTF-8 become the replacement sign."""
-    size = max(max(pieces.ids) + 1, pieces.first_byte + 256)
-    names = [b""] * size
+def piece_bytes(pieces: Pieces) -> list[bytes]:
+    """What each id stands for; nothing for ids without a sign."""
+    names = [b""] * max(max(pieces.ids) + 1, pieces.first_byte + 256)
     for i, name in zip(pieces.ids, pieces.names):
         names[i] = name.encode()
     for b in range(256):
         names[pieces.first_byte + b] = bytes([b])
+    return names
 
-    @F.pandas_udf("string")
-    def read(rows: pd.Series) -> pd.Series:
-        def one(ids: np.ndarray | None) -> str | None:
-            return None if ids is None else b"".join([names[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
 
-        return rows.map(one)
+def read_ids(ids: Sequence[int], names: Sequence[bytes]) -> str:
+    return b"".join([names[i] for i in ids]).decode("utf-8", "replace")[1:]
 
-    return coded.withColumn(out, read(ids_col))
 
+def decode(coded: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """``coded`` with the text of its ids; bytes that are no UTF-8 become the replacement sign."""
+    names = piece_bytes(pieces)
 
-def digest(ids: Column) -> Column:
-    @F.pandas_udf("long")
-    def crc(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: zlib.crc32(np.asarray(r, "<u4").tobytes()))
+    @F.pandas_udf("string")
+    def read(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda ids: None if ids is None else read_ids(ids.tolist(), names))
 
-    return crc(ids)
+    return coded.withColumn(out, read(ids_col))
 
 
 def public_pieces() -> Pieces:
@@ -372,6 +442,16 @@ def public_pieces() -> Pieces:
 @query()
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     pieces = public_pieces()
-    coded = decode(encode(table(spark, folder, "documents"), pieces), pieces)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), digest(F.col("ids")).alias("ids_crc32"),
-                        F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
+    names = piece_bytes(pieces)
+
+    def digest(coded: pa.RecordBatch) -> pa.RecordBatch:
+        ids = [i.values.to_numpy() for i in coded.column(2)]
+        texts = coded.column(1).to_pylist()
+        return pa.RecordBatch.from_arrays(
+            [coded.column(0), pa.array([len(i) for i in ids], pa.int64()),
+             pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()),
+             pa.array([read_ids(i.tolist(), names) == (t or "") for i, t in zip(ids, texts)], pa.bool_())],
+            ["doc", "n_ids", "ids_crc32", "round_trip"])
+
+    return encode(table(spark, folder, "documents"), pieces,
+                  then=(digest, "doc long, n_ids long, ids_crc32 long, round_trip boolean"))
