@@ -41,8 +41,8 @@ LENGTH = 100
 GRAM = 32  # bytes of an anchor; a window has LENGTH - GRAM + 1 of them
 SURPLUS = 64  # contexts of one anchor that a task sends to the shuffle
 GROUP = 1024  # contexts of one anchor in a block
-BLOCK_BYTES = 4 << 20
-FLUSH = 2_000_000
+BLOCK_BYTES = 1 << 20
+FLUSH = 1_000_000
 NO_ID = (1 << 63) - 1
 KNOWN, REMOVED = 1, 2
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -113,6 +113,12 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _again(new: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Rows of a run that stand where its first one does: the same text of a repeated row."""
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return ~new & (doc == doc[first]) & (place >> 2 == place[first] >> 2)
+
+
 def find_contexts(docs: DataFrame) -> DataFrame:
     """``(gram, context, doc, place)`` of ``docs(doc, text)``, reduced within each task."""
     def reduce(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -124,11 +130,12 @@ def find_contexts(docs: DataFrame) -> DataFrame:
         kinds = np.bincount(in_gram, weights=new)[in_gram]
         rank = np.cumsum(new) - 1
         rank = rank - rank[np.flatnonzero(new_gram)][in_gram]
+        own = ~_again(new, doc, place)
         place = place | np.where(new, np.where(kinds > 1, KNOWN, 0), REMOVED)
         # What needs no other row of its anchor goes to any task.
         loose = ~new | (rank >= SURPLUS)
         gram = np.where(loose, _join(doc.view(np.uint64), place.view(np.uint64)), gram)
-        return _batch(gram=gram.view(np.int64), context=context.view(np.int64), doc=doc, place=place)
+        return _batch(gram=gram[own].view(np.int64), context=context[own].view(np.int64), doc=doc[own], place=place[own])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -156,7 +163,7 @@ def sort_out(found: DataFrame) -> DataFrame:
         marks = place & 3
         shared = (np.bincount(in_gram, weights=new) > 1) | (np.bincount(in_gram, weights=marks == KNOWN) > 0)
         removed = ~new | (marks == REMOVED)
-        out = removed | shared[in_gram]
+        out = (removed | shared[in_gram]) & ~_again(new, doc, place)
         place = place[out]
         return _batch(doc=doc[out], crc=(place >> 40).astype(np.int32), lo=((place >> 9) & 0x7FFFFFFF).astype(np.int32),
                       more=((place >> 2) & 127).astype(np.int32), removed=removed[out])
@@ -234,7 +241,7 @@ def smaller_before(place: np.ndarray, run: np.ndarray) -> np.ndarray:
         at = to[todo]
         apart = run[at] != run[todo]
         to[todo[apart]] = -1
-        more = ~apart & (place[at] > place[todo])
+        more = ~apart & (place[at] >= place[todo])
         todo = todo[more]
         to[todo] = to[at[more]]
         todo = todo[to[todo] >= 0]
@@ -244,7 +251,7 @@ def smaller_before(place: np.ndarray, run: np.ndarray) -> np.ndarray:
 def earlier_factors(data: np.ndarray, starts: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Whether the LENGTH bytes at each of ``starts`` occur at another start of smaller ``place``.
 
-    ``place`` orders the starts.  In suffix order the longest previous factor of a start is
+    ``place`` orders the starts, equal ones being no copies of each other.  In suffix order the longest previous factor of a start is
     the longer of its common prefixes with the previous and with the next entry of smaller
     place; here prefixes are told apart up to LENGTH.
     """
@@ -274,8 +281,9 @@ def repeats(pieces: DataFrame) -> DataFrame:
         offset = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
         starts = np.repeat(np.cumsum(sizes) - sizes, n) + offset
         position = lo[piece] + offset
+        order = np.lexsort((position, crc[piece], doc[piece]))
         place = np.empty(len(piece), np.int64)
-        place[np.lexsort((position, crc[piece], doc[piece]))] = np.arange(len(piece))
+        place[order] = np.cumsum(_runs(doc[piece][order], crc[piece][order], position[order]))
         again = earlier_factors(data, starts, place)
         edge = np.flatnonzero(_runs(piece, again))
         ends = np.append(edge[1:], len(piece)) - 1
