@@ -112,10 +112,13 @@ _NO_PIECE = (1 << 24) - 1
 
 def edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``(word, n, edges)``: the pieces in each word, and each single character, by rank and place."""
-    spots = F.transform(F.sequence(F.lit(0), F.length("word") - 1), lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("word") - s)),
-        lambda k: F.struct(s.alias("s"), k.alias("k"), F.substring(F.col("word"), s + 1, k).alias("piece"))))
-    cut = words.select("word", "n", F.inline_outer(F.flatten(spots))).where("s is not null")
+    # Places and lengths are counted through in rows, so that substrings are cut in generated code.  A word too
+    # long for a bit mask keeps one row and no more.
+    size, most = F.length("word"), pieces.longest
+    pairs = F.when(size <= LONG, size * most).otherwise(1)
+    spots = words.select("word", "n", F.explode(F.sequence(F.lit(0), pairs - 1)).alias("i")).select(
+        "word", "n", F.expr(f"i div {most}").cast("int").alias("s"), (F.col("i") % most + 1).alias("k")).where("s + k <= length(word)")
+    cut = spots.withColumn("piece", F.expr("substring(word, s + 1, k)"))
     met = cut.join(F.broadcast(pieces.frame(words.sparkSession)), "piece", "left").where("id is not null or k = 1")
     edge = F.expr(f"shiftleft(cast(coalesce(rank, 0) as long), {_RANK}) | shiftleft(cast(s as long), {_PLACE}) | "
                   f"shiftleft(cast(k as long), {_SIZE}) | coalesce(id, {_NO_PIECE})")
@@ -209,32 +212,32 @@ def merge_long(word: str, known: dict[str, tuple[int, int]], first_byte: int) ->
 
 def word_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``(word, n, ids)`` of ``words(word, n)``."""
-    short, long = words.where(F.length("word") <= LONG), words.where(F.length("word") > LONG)
     size = F.length("word")
-    cut = edges(short, pieces).select("word", "n", _spans(F.col("edges")).alias("spans"))
+    short = size <= LONG
+    spans = F.when(short, _spans(F.col("edges")))
+    cut = edges(words, pieces).select("word", "n", spans.alias("spans"))
     if pieces.unigram:
-        cut = cut.withColumn("m", _best(F.col("spans"), size, pieces.scores))
+        cut = cut.withColumn("m", F.when(short, _best(F.col("spans"), size, pieces.scores)))
     else:
-        cut = cut.withColumn("m", _joined(F.col("spans"), size))
+        cut = cut.withColumn("m", F.when(short, _joined(F.col("spans"), size)))
     m = F.col("m")
     parts = F.array_sort(F.transform(
         F.filter("spans", lambda e: (m.bitwiseAND(e["ends"]) == e["ends"]) & (m.bitwiseAND(e["inside"]) == 0)),
         lambda e: F.struct(e["s"].alias("s"), e["id"].alias("id"))))
     ids = F.flatten(F.transform(parts, lambda p: F.when(p["id"] != _NO_PIECE, F.array(p["id"])).otherwise(
         _byte_ids(F.substring(F.col("word"), p["s"] + 1, F.lit(1)), pieces.first_byte))))
-    coded = cut.select("word", "n", ids.alias("ids"))
     if pieces.unigram:
-        if not long.isEmpty():
-            raise ValueError(f"words of a unigram model may have at most {LONG} characters")
-        return coded
+        refused = F.raise_error(F.lit(f"words of a unigram model may have at most {LONG} characters")).cast("array<int>")
+        return cut.select("word", "n", F.when(short, ids).otherwise(refused).alias("ids"))
     known = {p: (r, i) for p, r, i in zip(pieces.names, np.argsort(np.argsort([-s for s in pieces.scores])).tolist(), pieces.ids)}
     first_byte = pieces.first_byte
 
     @F.pandas_udf("array<int>")
     def merged(found: pd.Series) -> pd.Series:
-        return found.map(lambda w: merge_long(w, known, first_byte))
+        return found.map(lambda w: None if w is None else merge_long(w, known, first_byte))
 
-    return coded.union(long.select("word", "n", merged("word").alias("ids")))
+    coded = cut.select("word", "n", F.when(short, ids).alias("ids"), merged(F.when(~short, F.col("word"))).alias("_long"))
+    return coded.select("word", "n", F.coalesce("ids", "_long").alias("ids"))
 
 
 # The same cut on bytes, for a block of texts at once.
