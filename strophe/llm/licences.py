@@ -1,14 +1,18 @@
 """Licence scans: sparse TF-IDF cosine to notices, then inheritance from the nearest directory.
 
-Every line of every text is a possible header; the whole text of a licence file (by its
-name) is one more unit.  Units and templates are sparse vectors of term counts times the
+Every line of every text is a possible header, and so are spans of 2 to 8 neighbouring lines and
+whole blocks of lines, since headers wrap (lines without a term, such as a bare comment sign, end a
+block and do not count in a span; comment signs are no terms).  The whole text of a licence file (by its
+name) is one more unit, and only that one is held against full licence texts as well; such a text decides
+before any line of it does.  Units and templates are sparse vectors of term counts times the
 inverse document frequency among the templates; a unit has the licence of the template with
 the largest cosine, if that reaches ``least``.
 
 Most lines cannot reach it, and that is decided without a vector: by Cauchy-Schwarz a unit
 without a template's heaviest terms has at most the cosine that the template's other terms
 carry of its length.  A text moves on only if it holds one of these terms, so the terms of
-nearly all lines are never exploded, and nothing is lost.
+nearly all lines are never exploded, and nothing is lost.  Of spans and blocks only those go on whose
+cosine can reach ``least``: dot products add up over lines and squared lengths add up to no less.
 
 A file without a licence of its own takes that of the nearest directory above it with a
 licence file.  Paths are exploded into their ancestors and joined to those directories.
@@ -24,7 +28,10 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from importlib import resources
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import term_counts
@@ -61,12 +68,17 @@ NOTICES = (
     ("proprietary", "All rights reserved."),
 )
 
+# Full texts of licences, one file for each; their names are those of the notices or of SPDX.
+FULL_TEXTS = tuple(sorted((p.name.removesuffix(".txt"), p.read_text()) for p in resources.files(__package__).joinpath("licence_texts").iterdir()))
+SPAN = 8  # lines of a span
+
 
 @dataclass(frozen=True)
 class Templates:
-    """Vectors of the notices.  ``least`` is the smallest cosine that counts."""
+    """Vectors of the notices, which also give the frequencies, and of full texts.  ``least`` is the smallest cosine that counts."""
 
     notices: tuple[tuple[str, str], ...] = NOTICES
+    full: tuple[tuple[str, str], ...] = FULL_TEXTS
     least: float = 0.8
     counts: tuple[Counter, ...] = field(init=False)
     idf: dict[str, float] = field(init=False)
@@ -85,20 +97,27 @@ class Templates:
 
     def weights(self) -> list[tuple[str, str, int, float]]:
         """``(term, licence, template, weight)`` of unit vectors."""
+        return self._weights(self.notices, self.counts)
+
+    def full_weights(self) -> list[tuple[str, str, int, float]]:
+        return self._weights(self.full, [Counter(re.findall(TERM, text.lower())) for _, text in self.full])
+
+    def _weights(self, texts, counts) -> list[tuple[str, str, int, float]]:
         rows = []
-        for at, ((licence, _), count) in enumerate(zip(self.notices, self.counts)):
-            length = math.sqrt(sum((n * self.idf[t]) ** 2 for t, n in count.items()))
-            rows += [(t, licence, at, n * self.idf[t] / length) for t, n in count.items()]
+        for at, ((licence, _), count) in enumerate(zip(texts, counts)):
+            weighted = {t: n * self.idf.get(t, self.unseen) for t, n in count.items()}
+            length = math.sqrt(sum(w ** 2 for w in weighted.values()))
+            rows += [(t, licence, at, w / length) for t, w in weighted.items()]
         return rows
 
-    def needed(self) -> list[str]:
+    def needed(self, full: bool = False) -> list[str]:
         """Terms of which a unit must have one: without these a template cannot be reached.
 
         Any terms do whose weights together suffice; those that are not common words are taken first.
         """
-        terms = set()
-        for at in range(len(self.counts)):
-            mine = sorted(((w, t) for t, _, template, w in self.weights() if template == at),
+        terms, weights = set(), self.full_weights() if full else self.weights()
+        for at in range(len(self.full if full else self.notices)):
+            mine = sorted(((w, t) for t, _, template, w in weights if template == at),
                           key=lambda x: (x[1] in ENGLISH_STOPWORDS, -x[0], x[1]))
             left = sum(w * w for w, _ in mine)
             while mine and math.sqrt(max(left, 0.0)) >= self.least - 1e-9:
@@ -114,24 +133,68 @@ def ancestors(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
 
 
+def line_spans(text: str, templates: Templates, vectors: dict[str, np.ndarray]) -> list[str]:
+    """Spans of 2 to ``SPAN`` lines and longer blocks that may have a notice's cosine; ``vectors`` are those of the terms."""
+    held, block, blocks = [], 0, []
+    for line in text.lower().split("\n"):
+        terms = re.findall(TERM, line)
+        if terms:
+            held.append((line, terms))
+            blocks.append(block)
+        else:
+            block += 1
+    if len(held) < 2:
+        return []
+    dots, squares = np.zeros((len(held) + 1, len(templates.notices))), np.zeros(len(held) + 1)
+    for i, (_, terms) in enumerate(held, 1):
+        for t, n in Counter(terms).items():
+            squares[i] += (n * templates.idf.get(t, templates.unseen)) ** 2
+            if t in vectors:
+                dots[i] += n * templates.idf[t] * vectors[t]
+    dots, squares, found = dots.cumsum(0), squares.cumsum(), []
+    for k in range(2, min(SPAN, len(held)) + 1):
+        bound = (dots[k:] - dots[:-k]).max(1) / np.sqrt(squares[k:] - squares[:-k])
+        found += [(i, i + k) for i in np.flatnonzero(bound >= templates.least - 1e-5).tolist()]
+    edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(held)]
+    for a, b in zip(edges, edges[1:]):
+        if b - a > SPAN and (dots[b] - dots[a]).max() / np.sqrt(squares[b] - squares[a]) >= templates.least - 1e-5:
+            found.append((a, b))
+    return ["\n".join(line for line, _ in held[a:b]) for a, b in found]
+
+
 def own_licences(files: DataFrame, templates: Templates) -> DataFrame:
     """``(row, licence, score, whole)`` of the best unit of each of ``files(row, path, text)`` that has one."""
     spark = files.sparkSession
-    needed = F.lit(r"(?i)(?<![a-z0-9])(" + "|".join(templates.needed()) + ")(?![a-z0-9])")
+    one_of = lambda terms: F.lit(r"(?i)(?<![a-z0-9])(" + "|".join(sorted(terms)) + ")(?![a-z0-9])")
+    needed, needed_whole = one_of(templates.needed()), one_of({*templates.needed(), *templates.needed(full=True)})
+    # One row for each term of the templates, which are given: its weight there and in each of them.
+    names = [name for name, _ in (*templates.notices, *templates.full)]
+    short, full_weights = len(templates.notices), templates.full_weights()
+    idf = {t: templates.unseen for t, *_ in full_weights} | templates.idf
+    vectors = {t: [0.0] * len(names) for t in idf}
+    for t, _, at, w in templates.weights():
+        vectors[t][at] = w
+    for t, _, at, w in full_weights:
+        vectors[t][short + at] = w
+    in_notices = {t: np.array(vectors[t][:short]) for t in templates.idf}
+    # A task gets the weights and not the texts.
+    light = Templates(templates.notices, (), templates.least)
+
+    @F.pandas_udf("array<string>")
+    def spans(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: [] if text is None else line_spans(text, light, in_notices))
+
     is_file = F.coalesce(F.rlike("path", F.lit(LICENCE_FILE)), F.lit(False))
-    possible = files.where(F.rlike("text", needed)).select("row", "text", is_file.alias("is_file"))
-    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("unit"), F.lit(False).alias("whole")))
+    has_notice = F.rlike("text", needed)
+    possible = (files.where(F.when(is_file, F.rlike("text", needed_whole)).otherwise(has_notice))
+                .select("row", "text", is_file.alias("is_file"), spans("text").alias("spans")))
+    as_lines = lambda texts: F.transform(texts, lambda text: F.struct(text.alias("unit"), F.lit(False).alias("whole")))
     whole = F.when(F.col("is_file"), F.array(F.struct(F.col("text").alias("unit"), F.lit(True).alias("whole"))))
     empty = F.array().cast("array<struct<unit:string,whole:boolean>>")
-    units = (possible.select("row", F.posexplode_outer(F.concat(lines, F.coalesce(whole, empty))).alias("n", "u"))
-             .select("row", "n", "u.unit", "u.whole").where(F.rlike("unit", needed)))
+    units = (possible.select("row", F.posexplode_outer(F.concat(as_lines(F.split("text", "\n")), as_lines(F.col("spans")), F.coalesce(whole, empty))).alias("n", "u"))
+             .select("row", "n", "u.unit", "u.whole").where(F.when(F.col("whole"), F.rlike("unit", needed_whole)).otherwise(F.rlike("unit", needed))))
     counted = units.select("row", "n", "whole", F.inline_outer(term_counts(F.regexp_extract_all(F.lower("unit"), F.lit(TERM), 0))))
-    # One row for each term of the templates, which are given: its weight there and in each of them.
-    names = [name for name, _ in templates.notices]
-    vectors = {t: [0.0] * len(names) for t in templates.idf}
-    for t, _, at, w in templates.weights():
-        vectors[t][at] = w
-    known = spark.createDataFrame([(t, w, vectors[t]) for t, w in sorted(templates.idf.items())],
+    known = spark.createDataFrame([(t, w, vectors[t]) for t, w in sorted(idf.items())],
                                   "term string, idf double, vector array<double>")
     weighted = (counted.where("term is not null").join(F.broadcast(known), "term", "left")
                 .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(templates.unseen))))
@@ -139,10 +202,10 @@ def own_licences(files: DataFrame, templates: Templates) -> DataFrame:
     sums = weighted.groupBy("row", "n", "whole").agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"),
         *[F.sum(F.col("w") * F.get("vector", F.lit(k))).alias(f"dot{k}") for k in range(len(names))])
-    cosines = F.array(*[F.struct(F.round(F.col(f"dot{k}") / F.col("length"), 6).alias("score"), F.lit(name).alias("licence"))
-                        for k, name in enumerate(names)])
-    scored = sums.select("row", "whole", F.inline(cosines)).where(F.col("score") >= templates.least)
-    best = F.min(F.struct((-F.col("score")).alias("s"), "licence", (~F.col("whole")).alias("line"))).alias("best")
+    cosines = F.array(*[F.struct(F.round(F.col(f"dot{k}") / F.col("length"), 6).alias("score"), F.lit(name).alias("licence"),
+                                 F.lit(k >= short).alias("full")) for k, name in enumerate(names)])
+    scored = sums.select("row", "whole", F.inline(cosines)).where((F.col("score") >= templates.least) & (~F.col("full") | F.col("whole")))
+    best = F.min(F.struct((~F.col("full")).alias("notice"), (-F.col("score")).alias("s"), "licence", (~F.col("whole")).alias("line"))).alias("best")
     return scored.groupBy("row").agg(best).select(
         "row", "best.licence", (-F.col("best.s")).alias("score"), (~F.col("best.line")).alias("whole"))
 

@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from strophe.llm.licences import LICENCE_FILE, NOTICES, Templates, licences
+from strophe.llm.licences import FULL_TEXTS, LICENCE_FILE, NOTICES, Templates, licences
 
 
 def words(text):
@@ -80,3 +80,30 @@ def test_empty_and_repeated(spark):
 
 def test_columns(spark):
     assert licences(table(spark, ROWS[:2])).columns == ["doc_id", "path", "licence", "score", "origin", "directory"]
+
+
+def test_wrapped_headers_and_full_texts(spark):
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n")
+    bsd = (" * Redistribution and use in source and binary forms, with or without\n *\n"
+           " * modification, are permitted provided that the following conditions\n * are met:\n")
+    long_block = "\n".join(next(text for name, text in NOTICES if name == "GPL-3.0" and len(text) > 100).split(" "))
+    full = dict(FULL_TEXTS)
+    mine = "Copyright (c) 2020, Some Body\nAll rights reserved.\n\n"
+    rows = [(1, "a/x.py", f"#!/bin/sh\n# Copyright 2020 Some Body\n{gpl}\nimport os\n"), (2, "a/y.c", f"/*\n{bsd} */\nint main;"),
+            (3, "a/z", f"some words\n\n{long_block}\n\nmore words")]
+    rows += [(10 + i, f"d{i}/LICENSE", mine + text) for i, text in enumerate(full.values())]
+    rows += [(100 + i, f"d{i}/src/f.py", "code") for i in range(len(full))] + [(200, "b/doc.txt", full["MIT"])]
+    got = {r.doc_id: r for r in licences(table(spark, rows)).collect()}
+    assert [got[i].licence for i in (1, 2, 3)] == ["GPL-3.0", "BSD-3-Clause", "GPL-3.0"]
+    assert all(got[i].origin == "header" for i in (1, 2, 3))
+    for i, name in enumerate(full):
+        assert (got[10 + i].licence, got[10 + i].origin) == (name, "file")
+        assert (got[100 + i].licence, got[100 + i].origin, got[100 + i].directory) == (name, "inherited", f"d{i}")
+
+
+def test_filter_loses_no_full_text():
+    templates = Templates()
+    needed, weights = set(templates.needed(full=True)), templates.full_weights()
+    for at in range(len(templates.full)):
+        assert math.sqrt(sum(w * w for t, _, template, w in weights if template == at and t not in needed)) < templates.least
