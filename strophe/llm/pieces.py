@@ -13,7 +13,7 @@ cut, so every distinct word of the corpus is encoded once:
    path scores, its pieces are joined in the order of their scores: there the fold keeps
    the cut points as a bit mask and joins, again and again, the first edge that spans
    exactly two neighbouring parts.  Viterbi over the scores of a BPE model would give other
-   ids than the model does.
+   ids than the model does.  Words too long for the mask are cut by the same rules in Python.
    Characters that are no piece become the pieces of their UTF-8 bytes.
 4. Word codes go back to the texts: the most frequent words, at most ``FREQUENT``, as one
    broadcast table of hashes and ids; a text's other words through a join, as a list that
@@ -210,6 +210,24 @@ def merge_long(word: str, known: dict[str, tuple[int, int]], first_byte: int) ->
     return [c for p in parts if p is not None for c in ([known[p][1]] if p in known else [b + first_byte for b in p.encode("utf-8", "replace")])]
 
 
+def viterbi_long(word: str, known: dict[str, tuple[float, int]], longest: int, first_byte: int, unknown: float) -> list[int]:
+    """The codes of one word of a unigram model too long for a bit mask: back pointers instead; ties as in ``_best``."""
+    best, back = [0.0] + [float("-inf")] * len(word), [0] * (len(word) + 1)
+    for end in range(1, len(word) + 1):
+        for start in range(max(0, end - longest), end):
+            piece = word[start:end]
+            if piece in known or end - start == 1:
+                score = best[start] + (known[piece][0] if piece in known else unknown)
+                if score >= best[end]:
+                    best[end], back[end] = score, start
+    codes, end = [], len(word)
+    while end:
+        piece = word[back[end]:end]
+        codes.append([known[piece][1]] if piece in known else [b + first_byte for b in piece.encode("utf-8", "replace")])
+        end = back[end]
+    return [c for part in reversed(codes) for c in part]
+
+
 def word_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``(word, n, ids)`` of ``words(word, n)``."""
     size = F.length("word")
@@ -226,11 +244,18 @@ def word_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
         lambda e: F.struct(e["s"].alias("s"), e["id"].alias("id"))))
     ids = F.flatten(F.transform(parts, lambda p: F.when(p["id"] != _NO_PIECE, F.array(p["id"])).otherwise(
         _byte_ids(F.substring(F.col("word"), p["s"] + 1, F.lit(1)), pieces.first_byte))))
+    first_byte = pieces.first_byte
     if pieces.unigram:
-        refused = F.raise_error(F.lit(f"words of a unigram model may have at most {LONG} characters")).cast("array<int>")
-        return cut.select("word", "n", F.when(short, ids).otherwise(refused).alias("ids"))
+        scored = {p: (s, i) for p, s, i in zip(pieces.names, pieces.scores, pieces.ids)}
+        longest, unknown = pieces.longest, min(pieces.scores) - 10.0
+
+        @F.pandas_udf("array<int>")
+        def best(found: pd.Series) -> pd.Series:
+            return found.map(lambda w: None if w is None else viterbi_long(w, scored, longest, first_byte, unknown))
+
+        coded = cut.select("word", "n", F.when(short, ids).alias("ids"), best(F.when(~short, F.col("word"))).alias("_long"))
+        return coded.select("word", "n", F.coalesce("ids", "_long").alias("ids"))
     known = {p: (r, i) for p, r, i in zip(pieces.names, np.argsort(np.argsort([-s for s in pieces.scores])).tolist(), pieces.ids)}
-    first_byte = pieces.first_byte
 
     @F.pandas_udf("array<int>")
     def merged(found: pd.Series) -> pd.Series:

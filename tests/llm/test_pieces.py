@@ -4,7 +4,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from strophe.llm.pieces import Pieces, decode, encode, op8_sentencepiece, public_pieces, word_codes
+from strophe.llm.pieces import Pieces, decode, encode, op8_sentencepiece, public_pieces, viterbi_long, word_codes
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 FOLDER = "/root/testdata/sf0.001"
@@ -65,6 +65,28 @@ def test_unigram_viterbi(spark):
         assert total == pytest.approx(best(r.word)[0]), r.word
 
 
+def test_long_unigram_words(documents, spark):
+    """Words above and below the limit are cut alike, and the best way is taken."""
+    scores = {" ": -3.0, "a": -2.5, "b": -2.6, "ab": -3.1, "ba": -3.0, "aba": -6.9, " a": -4.0, "bab": -5.0, "abab": -6.2}
+    pieces = Pieces(tuple(scores), tuple(range(10, 10 + len(scores))), tuple(scores.values()), 100, unigram=True)
+    known = {n: (s, i) for n, s, i in zip(pieces.names, pieces.scores, pieces.ids)}
+    unknown = min(scores.values()) - 10.0
+    words = ["ab" * 25 + "a" * k + end for k in range(15) for end in ("", "é", "日b", "bab")] + ["x" * 61, "ab" * 1000, "http://" + "a/b" * 40]
+    assert min(map(len, words)) < 60 < max(map(len, words))
+    table = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
+    for r in word_codes(table, pieces).collect():
+        assert r.ids == viterbi_long(r.word, known, pieces.longest, pieces.first_byte, unknown), r.word
+        best = [0.0]
+        for end in range(1, len(r.word) + 1):
+            best.append(max(best[s] + scores.get(r.word[s:end], unknown) for s in range(max(0, end - 4), end) if r.word[s:end] in scores or end - s == 1))
+        value = {i: s for s, i in known.values()}
+        total = sum(value.get(i, 0) for i in r.ids) + unknown * sum(c not in " ab" for c in r.word)
+        assert total == pytest.approx(best[-1]), r.word
+    text = "ab " + "ba" * 400 + " aé\n" + "q" * 90
+    (row,) = decode(encode(documents([(1, text)]), pieces), pieces).collect()
+    assert row.decoded == text
+
+
 def test_query(spark, model):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     got = op8_sentencepiece(spark, FOLDER).collect()
