@@ -10,7 +10,8 @@ A page becomes a tree and the tree becomes lines:
   its element, or nothing if there is no such element.
 * Visibility: elements that never show (head, script, template ...), ``hidden``, hidden
   inputs, and ``display:none`` or ``visibility:hidden`` in a ``style`` attribute or in a rule
-  of a ``style`` element for a tag, class or id.
+  of a ``style`` element for a tag, class or id that holds on every screen: rules for other
+  media, or under a condition in brackets such as a width, hide nothing.
 * Layout: blocks start a line and paragraphs, headings, lists and tables stand apart; list
   items have their mark or number and are indented by level; cells of a column are padded
   to one width; ``pre`` keeps its blanks; elsewhere white space counts once.
@@ -32,7 +33,8 @@ from .base import query, table
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+CSS = re.compile(r"[{};]|[^{};]+")
+EVERY_SCREEN = re.compile(r"(?:only\s+)?(?:all|screen)|not\s+(?!all|screen)[\w-]+|", re.I)
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 DEEPEST = 256  # elements nested deeper become siblings there, as in browsers
 BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -67,10 +69,36 @@ class Node:
         self.children: list[Node | str] = []
 
 
+def _every_screen(media: str) -> bool:
+    """Whether a list of media queries holds on any screen."""
+    return any(EVERY_SCREEN.fullmatch(query.strip()) for query in media.split(",")) if media.strip() else True
+
+
 def _hidden_by_rules(css: str, hidden: set[str]) -> None:
-    for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", "", css, flags=re.S)):
-        if HIDING.search(body):
-            hidden.update(s for s in (x.strip().lower() for x in selectors.split(",")) if re.fullmatch(r"[.#]?[\w-]+", s))
+    # Open blocks: the selectors of the rule they stand in, and whether they hold on every screen.
+    blocks: list[tuple[str | None, bool]] = [(None, True)]
+    plain = re.sub(r"""("[^"\n]*"|'[^'\n]*')|/\*.*?(?:\*/|\Z)""", lambda m: "''" if m.group(1) else "", css, flags=re.S)
+    held = ""
+    for token in [*CSS.findall(plain), ";"]:
+        selectors, holds = blocks[-1]
+        if token == "{":
+            at = re.match(r"\s*@([\w-]+)(.*)", held, re.S)
+            if at is None:
+                # A rule within a rule is for a combination of selectors, of which none is known here.
+                blocks.append((held, holds and selectors is None))
+            elif at.group(1).lower() == "media":
+                blocks.append((selectors, holds and _every_screen(at.group(2))))
+            else:
+                blocks.append((selectors, holds and at.group(1).lower() in ("layer", "supports")))
+            held = ""
+        elif token in ("}", ";"):
+            if selectors is not None and holds and HIDING.search(held):
+                hidden.update(s for s in (x.strip().lower() for x in selectors.split(",")) if re.fullmatch(r"[.#]?[\w-]+", s))
+            if token == "}" and len(blocks) > 1:
+                blocks.pop()
+            held = ""
+        else:
+            held = token
 
 
 def _shown(node: Node, hidden: set[str]) -> bool:
@@ -98,8 +126,10 @@ def build(html: str) -> Node:
                     return
                 return close(tags, scope)
 
-    for style in re.findall(r"<style\b[^>]*>(.*?)(?:</style|\Z)", html, re.S | re.I):
-        _hidden_by_rules(style, hidden)
+    for rest, style in re.findall(r"""<style\b((?:"[^"]*"|'[^']*'|[^>"'])*)>(.*?)(?:</style|\Z)""", html, re.S | re.I):
+        media = next((unescape(v[1:-1] if v[:1] in "\"'" else v) for k, v in ATTRIBUTE.findall(rest) if k.lower() == "media"), "")
+        if _every_screen(media):
+            _hidden_by_rules(style, hidden)
     for token in iter(lambda: TOKEN.search(html, at), None):
         if token.start() > at:
             path[-1].children.append(unescape(html[at:token.start()]))

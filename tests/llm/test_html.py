@@ -60,3 +60,26 @@ def test_query(spark):
     rows = op5_html_text(spark, folder).collect()
     assert len(rows) == len(html) and all(r.text == visible_text(html[r.page_id]) and r.n_chars == len(r.text) for r in rows)
     assert not any("<p>" in r.text or "track(" in r.text for r in rows)
+
+
+@pytest.mark.parametrize("style,shown", [
+    ("<style>@media print{.x{display:none}}</style>", True),
+    ("<style>@media (max-width:600px){.x,p{display:none}}</style>", True),
+    ("<style>@media screen and (max-width:600px){.y{color:red}.x{display:none}} .y{display:none}</style>", True),
+    ("<style>@media print{@media all{.x{display:none}}}</style>", True),
+    ("<style media=print>.x{display:none}</style>", True),
+    ("<style media='screen and (min-width: 1px)'>.x{display:none}</style>", True),
+    ("<style>.x{color:red; @media print{display:none}}</style>", True),
+    ("<style>.y{.x{display:none}}</style>", True),
+    ("<style>.y:after{content:'}.x{display:none}'}</style>", True),
+    ("<style>@media screen{.x{display:none}}</style>", False),
+    ("<style>@media print, only screen {.y{color:red} .x{color:red;visibility:hidden}}</style>", False),
+    ("<style>@media not print{.x{display:none}}</style>", False),
+    ("<style>@media print{.y{color:red}} .x{display:none}</style>", False),
+    ("<style>@import url(a.css); .x{display:none;color:red}</style>", False),
+    ("<style media=all>@media print{.y{display:none}}.x{display:none", False),
+    ("<style>" + "a{" * 20_000 + "}" * 20_000 + ".x{display:none}</style>", False),
+])
+def test_rules_for_some_media_hide_nothing(style, shown):
+    html = f"<body><p class=x>seen</p>{style}"
+    assert visible_text(html) == ("seen" if shown else "")
