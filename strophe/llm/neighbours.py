@@ -3,11 +3,11 @@
 *Fit.*  Trees are grown on a bounded sample (``sample`` rows, by hash of the id): a node
 projects on the difference of two random members and cuts at the median.
 *Index.*  Every row walks down every tree to a leaf.  Of equal vectors only the ``k + 1`` of
-smallest id enter, since no answer can hold others.
+smallest id enter, since no answer can hold others; a repeated id counts once among them.
 *Search.*  A query walks all trees through one priority queue, ordered by the largest margin
 by which a branch was missed, until the leaves seen hold ``visit`` times as many entries as
 there are vectors.  Queries and vectors meet leaf by leaf, both in blocks of bounded size,
-and each block hands on its best ``k``.
+and each block hands on the ``k`` best ids.
 *Rerank.*  Scores are the exact cosine in double precision of the original vectors.
 
 ``visit`` sets the recall.  Data without structure need about 1 (an entry counts once per
@@ -126,7 +126,7 @@ class NearestNeighbours:
         dims = lengths["d"] if lengths else 1
         usable = usable.where(dims_of == dims)
         alike = Window.partitionBy("vector").orderBy("id")
-        vectors = stage(usable.withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k + 1).drop("_n"))
+        vectors = stage(usable.dropDuplicates(["id", "vector"]).withColumn("_n", F.row_number().over(alike)).where(F.col("_n") <= k + 1).drop("_n"))
         queries = usable.where(is_query)
         total, n_queries = vectors.count(), queries.count()
 
@@ -178,17 +178,27 @@ class NearestNeighbours:
             if len(left) and len(right):
                 q_ids, ids = left.column("id").to_numpy(), right.column("id").to_numpy()
                 q, v = _matrix(left.column("vector"), dims), _matrix(right.column("vector"), dims)
+                # Rows of one id stand next to each other, so that the best of each id can be taken.
+                order = np.argsort(ids, kind="stable")
+                ids, v = ids[order], v[order]
+                starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
                 q_norm, norm = np.sqrt((q * q).sum(1)), np.sqrt((v * v).sum(1))
                 for a in range(0, len(q), 256):
                     near = (q[a:a + 256] @ v.T) / q_norm[a:a + 256, None] / norm
                     near[q_ids[a:a + 256, None] == ids] = -2
-                    best = near if len(ids) <= k else np.partition(near, -k, 1)[:, -k:]
+                    best = near if len(starts) == len(ids) else np.maximum.reduceat(near, starts, axis=1)
+                    best = best if len(starts) <= k else np.partition(best, -k, 1)[:, -k:]
                     for i, j in zip(range(a, a + len(near)), near >= best.min(1, keepdims=True) - 1e-9):
                         at = np.flatnonzero(j & (ids != q_ids[i]))
                         # The same sum for every row, so equal vectors score alike.
                         score = (v[at] * q[i]).sum(1) / (norm[at] * q_norm[i])
-                        for n in np.lexsort((ids[at], -score))[:k]:
-                            found.append((q_ids[i], ids[at[n]], score[n]))
+                        seen = set()
+                        for n in np.lexsort((ids[at], -score)):
+                            if len(seen) == k:
+                                break
+                            if ids[at[n]] not in seen:
+                                seen.add(ids[at[n]])
+                                found.append((q_ids[i], ids[at[n]], score[n]))
             columns = zip(*found) if found else ([], [], [])
             return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))],
                             names=["query_id", "id", "score"])

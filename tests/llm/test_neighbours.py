@@ -57,6 +57,18 @@ def test_awkward_vectors(spark):
     check(spark, rows, NearestNeighbours())
 
 
+def test_ids_repeated_often(spark):
+    rng = np.random.default_rng(4)
+    base, other = rng.normal(size=4), rng.normal(size=4)
+    rows = [(1000 + i, rng.normal(size=4).tolist()) for i in range(1, 9)]
+    rows += [(10, (base + 0.01).tolist())] + [(8, base.tolist())] * 9 + [(i, base.tolist()) for i in (9, 11, 12, 13)]
+    check(spark, rows, NearestNeighbours())
+    rows = [(1000 + i, rng.normal(size=4).tolist()) for i in range(1, 9)]
+    rows += [(20, other.tolist())] + [(21, (other + 0.001 * rng.normal(size=4)).tolist()) for _ in range(12)]
+    check(spark, rows, NearestNeighbours())
+    check(spark, rows, NearestNeighbours(block=3))
+
+
 def test_few_rows(spark):
     check(spark, [(10, [1.0, 0.0]), (11, [0.0, 1.0])], NearestNeighbours())
     assert NearestNeighbours().search(table(spark, [(10, [1.0, 0.0])]), F.lit(True)).count() == 0
