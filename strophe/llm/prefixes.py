@@ -217,8 +217,8 @@ _WORDS = r"len(regexp_extract_all({}, '[^\x20\x09-\x0D]+'))"
       LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.p = array_to_string(n.path[1:n.depth - 1], ',')
       LEFT JOIN (SELECT depth - 1 AS depth, array_to_string(path[1:depth - 1], ',') AS p, count(*) AS n FROM nodes WHERE depth > 0
         GROUP BY ALL) down ON down.depth = n.depth AND down.p = n.p),
-    under AS (SELECT at AS depth, array_to_string(path[1:at], ',') AS p, sum(saves) AS saved, count_if(n_children = 0) AS leaves
-      FROM (SELECT path, saves, n_children, unnest(range(depth + 1)) AS at FROM family) GROUP BY ALL)
+    under AS (SELECT up_to AS depth, array_to_string(path[1:up_to], ',') AS p, sum(saves) AS saved, count_if(n_children = 0) AS leaves
+      FROM (SELECT path, saves, n_children, unnest(range(depth + 1)) AS up_to FROM family) GROUP BY ALL)
     SELECT conv_id, depth, parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
       CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256 FROM family JOIN under USING (depth, p)""")
 def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
