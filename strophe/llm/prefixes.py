@@ -2,18 +2,20 @@
 
 1. *Turns* become a 128-bit digest of role and text and a count of words, so no text is
    shuffled.  A conversation is one row: the turns' digests chained into a trail of 16 bytes a
-   turn, whose last 16 name the node where it ends.
-2. *Peeling* descends from the greatest depth.  The nodes of a depth are the conversations that
-   end there and the nodes below with their last turn stripped, grouped by what is left of the
-   trail.  The same grouping discovers the nodes and adds up their members, children, leaves and
-   saved tokens.  It combines within each task first, so thousands of copies, or a first turn
-   that a third of all conversations share, are a few rows in the shuffle.
-   Each depth is a written table; there are as many rounds as the longest conversation has turns.
-3. *Ends.*  The ids that end at a node are hashed in order by range-partitioned slices.  A node
+   turn, whose last 16 name the node where it ends.  Equal trails are merged, combined within
+   each task first, so thousands of copies are one row.
+2. *Peeling.*  Trails are range-partitioned, which keeps those of one opening together, and cut
+   into slices of about ``SLICE_BYTES``.  A slice is peeled from its greatest depth: what ended
+   there is merged with the nodes that survive, each node is aggregated as it is discovered, its
+   last turn is stripped, and what is left is grouped again.  So the number of jobs does not
+   depend on the longest conversation, and an opening that a third of all conversations share
+   lies in many slices.
+3. Only the openings of a slice's first and last trail may go on in other slices.  Their sums
+   stay open and are handed on, two rows a slice, to a next pass over these rows, until few
+   enough are left for one task.
+4. *Ends.*  The ids that end at a node are hashed in order by range-partitioned slices.  A node
    that lies within one slice is hashed there; the ids of the others go on as joined texts of at
    most ``CHUNK`` ids.
-4. A node's parent is found by the trail.  Parents of more than ``MANY`` children are broadcast
-   (at most one in ``MANY`` nodes is such a parent), the others are joined by a shuffle.
 
 Nulls: rows without a conversation id are left out; a null role or text is empty; a null turn
 comes first.  Turns of one number come in the order of their digests, and each repeated row is a
@@ -24,19 +26,28 @@ at the root.  An empty table has no nodes.  Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.staging import shared_folder, stage
+from ..operators.joins import lookup_join
+from ..sources.staging import stage
 from .base import WORD, query, table
 
 KEY = 16
 CHUNK = 1 << 16
-MANY = 10_000
-_NODE = "trail binary, words array<bigint>, n_convs bigint, conv_id bigint, n_children bigint, n_leaves bigint, saved_tokens bigint"
+SLICE_BYTES = 16 << 20
+LAST_ROWS = 1 << 14
+_ADD = pa.struct([("depth", pa.int32())] + [(c, pa.int64()) for c in ("n", "conv", "children", "leaves", "saved")])
+_PEELED = pa.schema([
+    ("depth", pa.int64()), ("key", pa.binary()), ("parent", pa.binary()), ("parent_conv_id", pa.int64()), ("n_convs", pa.int64()),
+    ("conv_id", pa.int64()), ("n_children", pa.int64()), ("n_leaves", pa.int64()), ("saved_tokens", pa.int64()),
+    ("trail", pa.binary()), ("words", pa.list_(pa.int64())), ("adds", pa.list_(_ADD))])
+_PEELED_SQL = ("depth long, key binary, parent binary, parent_conv_id long, n_convs long, conv_id long, n_children long, n_leaves long, "
+               "saved_tokens long, trail binary, words array<long>, "
+               "adds array<struct<depth:int,n:long,conv:long,children:long,leaves:long,saved:long>>")
 
 
 def turn_lists(rows: DataFrame) -> DataFrame:
@@ -64,11 +75,10 @@ def rebuilt(lists: DataFrame, every: int = 20, most: int = 4) -> DataFrame:
 
 
 def trails(lists: DataFrame) -> DataFrame:
-    """``(conv_id, depth, trail, words)``, the depths of a task in ascending order so that a round skips the others' pages."""
+    """``(conv_id, trail, words)``: the chained digests of the turns and the words of each."""
     link = lambda at, t: F.concat(at, F.unhex(F.md5(F.concat(_last(at), t["digest"]))))
     return lists.select(
-        "conv_id", F.size("turns").alias("depth"), F.aggregate("turns", F.lit(b""), link).alias("trail"),
-        F.transform("turns", lambda t: t["words"]).alias("words")).sortWithinPartitions("depth")
+        "conv_id", F.aggregate("turns", F.lit(b""), link).alias("trail"), F.transform("turns", lambda t: t["words"]).alias("words"))
 
 
 def _last(trail: Column | str) -> Column:
@@ -76,35 +86,109 @@ def _last(trail: Column | str) -> Column:
     return F.substring(trail, -KEY, KEY)
 
 
-def _stripped(trail: str) -> Column:
-    return F.substring(trail, F.lit(1), F.octet_length(trail) - KEY)
+def _names(trail: bytes) -> list[bytes]:
+    """The names of the nodes along a trail, from the root."""
+    return [b""] + [trail[k:k + KEY] for k in range(0, len(trail), KEY)]
+
+
+def peel(trails: list[bytes], words: list[np.ndarray], adds: list[list[dict]], last: bool) -> Iterator[list[tuple]]:
+    """Rows of ``_PEELED``: complete nodes, then what stays open of the first and the last trail.
+
+    ``adds`` holds what is known of nodes along each trail: members, their smallest, and the sums
+    over children that are complete.  In the ``last`` pass every node is complete.
+    """
+    ends = [min(range(len(trails)), key=trails.__getitem__), max(range(len(trails)), key=trails.__getitem__)]
+    open_: dict[bytes, int] = {}
+    for row in () if last else ends:
+        for name in _names(trails[row]):
+            open_.setdefault(name, row)
+    kept: dict[int, list[dict]] = {}
+    levels: dict[int, dict[bytes, list]] = {}
+
+    def put(row: int, depth: int, n: int, conv: int, children: int, leaves: int, saved: int) -> list:
+        name = trails[row][KEY * (depth - 1):KEY * depth] if depth else b""
+        node = levels.setdefault(depth, {}).setdefault(name, [row, 0, conv, 0, 0, 0, []])
+        node[1] += n
+        node[2] = min(node[2], conv)
+        node[3] += children
+        node[4] += leaves
+        node[5] += saved
+        return node
+
+    for row, known in enumerate(adds):
+        for a in known:
+            put(row, **a)
+    out: list[tuple] = []
+    for depth in range(max(levels), -1, -1):
+        for name, (row, n, conv, children, leaves, saved, waiting) in levels.pop(depth, {}).items():
+            incomplete = name in open_
+            # The nodes below waited for the smallest member of this one.
+            out.extend((depth + 1, key, name if incomplete else None, None if incomplete else conv, *sums, None, None, None) for key, *sums in waiting)
+            if incomplete:
+                kept.setdefault(open_[name], []).append(
+                    {"depth": depth, "n": n, "conv": conv, "children": children, "leaves": leaves, "saved": saved})
+                continue
+            leaves = max(leaves, 1)
+            saved += (n - 1) * int(words[row][depth - 1]) if depth else 0
+            if depth:
+                put(row, depth - 1, n, conv, 1, leaves, saved)[6].append((name, n, conv, children, leaves, saved))
+            else:
+                out.append((0, name, None, None, n, conv, children, leaves, saved, None, None, None))
+        if len(out) >= 10_000:
+            yield out
+            out = []
+    out.extend((*[None] * 9, trails[row], words[row].tolist(), known) for row, known in kept.items())
+    if out:
+        yield out
+
+
+def _peel_slices(rows: DataFrame, last: bool) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trails, words, adds = [], [], []
+        for batch in batches:
+            trails += batch.column(0).to_pylist()
+            words += [w.values.to_numpy() for w in batch.column(1)]
+            adds += batch.column(2).to_pylist()
+        if trails:
+            for out in peel(trails, words, adds, last):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PEELED)], schema=_PEELED)
+
+    return rows.select("trail", "words", "adds").mapInArrow(run, _PEELED_SQL)
 
 
 def peeled(ends: DataFrame) -> DataFrame:
-    """The nodes above ``ends(conv_id, depth, trail, words)``, with the subtree's sums."""
-    spark = ends.sparkSession
-    folder = f"{shared_folder(spark).rstrip('/')}/strophe/trie-{uuid.uuid4().hex}"
-    deepest = ends.agg(F.max("depth")).first()[0]
-    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    if deepest is None:
-        return spark.createDataFrame([], _NODE + ", depth int")
-    below = None
-    for depth in range(deepest, -1, -1):
-        rows = ends.where(F.col("depth") == depth).select(
-            "trail", "words", one.alias("n"), "conv_id", none.alias("child"), none.alias("leaves"), none.alias("saved"))
-        if below is not None:
-            rows = rows.unionByName(below.select(
-                _stripped("trail").alias("trail"), F.slice("words", 1, depth).alias("words"), F.col("n_convs").alias("n"), "conv_id",
-                one.alias("child"), F.col("n_leaves").alias("leaves"), F.col("saved_tokens").alias("saved")))
-        merged = rows.groupBy("trail", "words").agg(
-            F.sum("n").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.sum("child").alias("n_children"),
-            F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
-        last_words = F.get("words", F.lit(depth - 1)) if depth else none
-        merged.select(
-            "trail", "words", "n_convs", "conv_id", "n_children", F.greatest("leaves", one).alias("n_leaves"),
-            (F.col("saved") + (F.col("n_convs") - 1) * last_words).alias("saved_tokens")).write.parquet(f"{folder}/depth={depth}")
-        below = spark.read.schema(_NODE).parquet(f"{folder}/depth={depth}")
-    return spark.read.schema(_NODE + ", depth int").parquet(folder)
+    """``(depth, key, parent_conv_id, n_convs, conv_id, n_children, n_leaves, saved_tokens)`` of the nodes above ``ends(conv_id, trail, words)``."""
+    zero = F.lit(0).cast("long")
+    add = F.struct(F.floor(F.octet_length("trail") / KEY).cast("int").alias("depth"), "n", "conv", zero.alias("children"), zero.alias("leaves"),
+                   zero.alias("saved"))
+    rows = stage(ends.groupBy("trail", "words").agg(F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("conv")).select(
+        "trail", "words", F.array(add).alias("adds")))
+    passes: list[DataFrame] = []
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("trail") + 64 * F.size("adds"))).first()
+    while True:
+        # Rows of open trails are two a slice, so each pass has far fewer of them.
+        last = n <= LAST_ROWS and bool(passes) or n <= 1
+        if last:
+            out = stage(_peel_slices(rows.coalesce(1), True))
+            passes.append(out)
+            break
+        slices = max(-(-size // SLICE_BYTES), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) if not passes else 1)
+        out = stage(_peel_slices(rows.repartitionByRange(slices, "trail"), False))
+        passes.append(out)
+        rows = out.where(F.col("trail").isNotNull()).select("trail", "words", "adds")
+        before, (n, size) = n, rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("trail") + 64 * F.size("adds"))).first()
+        if n >= before:  # nothing was gained: each trail is a slice of its own
+            n = 1
+    nodes, *later = [p.where(F.col("trail").isNull()).drop("trail", "words", "adds") for p in passes]
+    if not later:
+        return nodes.drop("parent")
+    upper = later[0]
+    for more in later[1:]:
+        upper = upper.union(more)
+    # Parents without a known smallest member were open in some pass, so a later one completed them: few rows a slice.
+    names = upper.select(F.col("key").alias("parent"), F.col("conv_id").alias("_up"))
+    found = lookup_join(nodes.union(upper), names, ["parent"], "left")
+    return found.withColumn("parent_conv_id", F.coalesce("parent_conv_id", "_up")).drop("parent", "_up")
 
 
 def end_digests(ends: DataFrame) -> DataFrame:
@@ -172,18 +256,8 @@ def end_digests(ends: DataFrame) -> DataFrame:
 def prefix_trie(lists: DataFrame) -> DataFrame:
     """One row per distinct opening of the conversations ``lists(conv_id, turns)``."""
     ends = stage(trails(lists))
-    nodes = peeled(ends).withColumns({"key": _last("trail"), "parent": _last(_stripped("trail"))}).drop("trail", "words")
-    # The root has no parent: its own key is the empty trail.
-    nodes = nodes.withColumn("parent", F.when(F.col("depth") > 0, F.col("parent")))
-    names = nodes.select(F.col("key").alias("_at"), F.col("conv_id").alias("_id"))
-    hot = nodes.where(F.col("n_children") > MANY).select(F.col("key").alias("parent"), F.col("conv_id").alias("_hot"))
-    # A child of a hot parent looks itself up, so that no key gathers.
-    asked = nodes.join(F.broadcast(hot), "parent", "left").withColumn(
-        "_ask", F.when(F.col("_hot").isNull(), F.col("parent")).otherwise(F.col("key")))
-    found = asked.join(names, F.col("_ask") == F.col("_at"), "left").join(end_digests(ends), "key", "left")
-    return found.select(
-        "conv_id", F.col("depth").cast("long").alias("depth"), F.coalesce("_hot", "_id").alias("parent_conv_id"),
-        "n_convs", "n_children", "n_leaves", "saved_tokens",
+    return peeled(ends).join(end_digests(ends), "key", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
 
 

@@ -68,9 +68,10 @@ def awkward_talks():
     return rows
 
 
-@pytest.mark.parametrize("many, chunk", [(10_000, 1 << 16), (2, 3)])
-def test_awkward_rows(spark, awkward_talks, many, chunk, monkeypatch):
-    monkeypatch.setattr(P, "MANY", many)
+@pytest.mark.parametrize("slice_bytes, last_rows, chunk", [(16 << 20, 1 << 14, 1 << 16), (300, 3, 3), (1, 1, 1)])
+def test_awkward_rows(spark, awkward_talks, slice_bytes, last_rows, chunk, monkeypatch):
+    monkeypatch.setattr(P, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(P, "LAST_ROWS", last_rows)
     monkeypatch.setattr(P, "CHUNK", chunk)
     df = spark.createDataFrame([(*r, "a", "b", "c") for r in awkward_talks], SCHEMA + ", turns string, trail string, key string")
     assert result(of(df.repartition(5))) == trie(awkward_talks)
