@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from .base import ORACLES, QUERIES
-from . import rows, texts, groups, samples, terms, metrics, flows, models  # noqa: F401  (they register themselves)
+from . import rows, texts, groups, samples, terms, metrics, flows, lexicons, models  # noqa: F401  (they register themselves)
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -8,10 +8,7 @@ from ..functions.text import analyze
 from ..operators import terms as K
 from ..operators.rows import bools_to_int, encode_label
 from ..operators.sampling import train_val_test
-from ..operators.scoring import lexicon_label
 from ..plans import songs as P
-from ..plans.labels import merge_labels
-from ..operators.unnest import unnest
 from ..sources.staging import stage
 from ..wordlists import EMOTIONS, GENRES
 from .base import SONGS_SQL, literals, query, songs, spread, tokens_sql, words_sql
@@ -31,7 +28,7 @@ def p_sample(spark, folder):
     return P.sample_songs(songs(spark, folder).drop("label")).select("id", *_FLAGS)
 
 
-_STANZA_CTES = f"""{CUT_SQL}, kept AS (SELECT id, {INFORMATIVE_SQL} AS l FROM cut),
+STANZA_CTES = f"""{CUT_SQL}, kept AS (SELECT id, {INFORMATIVE_SQL} AS l FROM cut),
     st AS (SELECT id, {EXPLODE_SQL} FROM kept),
     flagged AS (SELECT id, stanza_number, stanzas, {CHORUS_SQL} OR count(*) OVER (PARTITION BY id, stanzas) > 1 AS is_chorus FROM st),
     cleaned AS (SELECT id, stanza_number, {STRIP_HEADER_SQL} AS stanzas, is_chorus, title, artist
@@ -47,44 +44,16 @@ _STANZA_CTES = f"""{CUT_SQL}, kept AS (SELECT id, {INFORMATIVE_SQL} AS l FROM cu
       THEN coalesce(lists.lemmas, '') END AS lemmas FROM uniq u LEFT JOIN lists USING (id, stanza_number))"""
 
 
-def _stanzas(spark, folder):
+def stanzas(spark, folder):
     return P.stanza_table(spread(songs(spark, folder).select("id", "title", "artist", "lyrics")))
 
 
-@query(f"WITH {_STANZA_CTES} SELECT id, stanza_number, title, artist, is_chorus, lemmas FROM stanza_table")
+@query(f"WITH {STANZA_CTES} SELECT id, stanza_number, title, artist, is_chorus, lemmas FROM stanza_table")
 def p_stanzas(spark, folder):
-    return _stanzas(spark, folder).withColumn("lemmas", F.array_join("lemmatized_stanzas", " ")).drop(
+    return stanzas(spark, folder).withColumn("lemmas", F.array_join("lemmatized_stanzas", " ")).drop(
         "lemmatized_stanzas")
 
 
-# Any word list with weights serves as lexicon; here each emotion gets the frequent words of some length and ending.
-_LEAST = 1e-4  # share of all words that a word of the lexicon makes up
-_EMOTION_OF = "(length(term) * 3 + ascii(right(term, 1))) % 8"
-
-
-@query(f"""WITH {_STANZA_CTES},
-    words AS (SELECT id, stanza_number, unnest(string_split(lemmas, ' ')) AS term FROM stanza_table WHERE lemmas <> ''),
-    freq AS (SELECT term, count(*) AS n FROM words GROUP BY term),
-    least AS (SELECT {_LEAST} * count(*) AS n FROM words),
-    lexicon AS (SELECT term, {_EMOTION_OF} AS e, 1.0 / n AS weight FROM freq WHERE n >= (SELECT n FROM least)),
-    sums AS (SELECT id, stanza_number, e, round(sum(weight), 9) AS s FROM words JOIN lexicon USING (term) GROUP BY ALL),
-    labels AS (SELECT id, stanza_number, ([{literals(EMOTIONS)}])[arg_min(e, (-s, e)) + 1] AS label FROM sums GROUP BY ALL)
-    SELECT id, stanza_number, is_chorus, label FROM stanza_table JOIN labels USING (id, stanza_number)""")
-def p_label_merge(spark, folder):
-    stanzas = stage(_stanzas(spark, folder))
-    counts = stage(unnest(stanzas, [], "lemmatized_stanzas", "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")))
-    counts = counts.where(F.col("n") >= counts.agg(F.lit(_LEAST) * F.sum("n")).scalar())
-    lexicon = counts.select("term", F.get(F.array(*map(F.lit, EMOTIONS)), F.expr(_EMOTION_OF)).alias("label"),
-                            (F.lit(1.0) / F.col("n")).alias("weight"))
-    found = lexicon_label(stanzas, ["id", "stanza_number"], "lemmatized_stanzas", lexicon)
-    # Equal sums added in another order may differ in the last digit, so the vote is on rounded scores.
-    rounded = F.transform("scores", lambda s: F.round(s, 9))
-    best = F.get(F.array(*map(F.lit, EMOTIONS)), (F.array_position(rounded, F.array_max(rounded)) - 1).cast("int"))
-    labelled = stage(found.where("label is not null").select("id", "stanza_number", best.alias("label")))
-    shards = [labelled.where(F.col("id") % 3 == i) for i in range(3)]
-    return merge_labels(stanzas, shards).select("id", "stanza_number", "is_chorus", "label")
-
-
 @query(f"""WITH {SONGS_SQL}, q AS ({_ranked('songs', 'id', 'label')}),
     s AS (SELECT *, ceil(round(n * 0.3::DOUBLE, 9)) AS t FROM q),
     parts AS (SELECT id, label, views, {', '.join(_FLAGS)}, CASE WHEN r <= t THEN 'test'

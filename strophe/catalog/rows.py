@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions.text import bracket_tags, parse_setstring
 from ..operators import counts as C, rows as R
-from ..operators.joins import substring_matches
+from ..operators.substrings import substring_matches
 from ..operators.ordered import with_row_id
 from ..operators.unnest import unnest
 from ..wordlists import EMOTIONS, GENRES

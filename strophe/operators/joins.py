@@ -1,4 +1,4 @@
-"""Joins against lookup tables and the substring join."""
+"""Joins against lookup tables."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .unnest import unnest
-
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
@@ -52,31 +50,3 @@ def salted_join(facts: DataFrame, table: DataFrame, on: Sequence[str], how: str
 
 def hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-
-
-def substring_matches(texts: DataFrame, text: str, needles: DataFrame, needle: str) -> DataFrame:
-    """Distinct ``texts`` that contain any of the ``needles`` (empty needles match nothing).
-
-    A needle is found by its opening piece, whose length is the largest power of
-    two that fits.  Cutting each text into pieces of those lengths makes this an
-    equi-join whose input grows with the text length, not with texts x needles.
-    """
-    needles = needles.select(F.col(needle).alias("_needle")).where("length(_needle) > 0").distinct()
-    size = F.expr("cast(pow(2, floor(log2(length(_needle)))) as int)")
-    needles = needles.withColumn("_piece", F.substring(F.col("_needle"), F.lit(1), size))
-    longest = needles.agg(F.max(F.length("_piece"))).first()[0] or 0
-    sizes = [1 << i for i in range(longest.bit_length())] if longest else []
-
-    haystack = texts.select(text).where(F.col(text).isNotNull()).distinct()
-
-    def windows(n: int):
-        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-        cut = F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(n)))
-        return F.when(F.length(text) >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    pieces = [windows(n) for n in sizes]
-    pieces = F.array_distinct(F.concat(*pieces)) if pieces else F.array().cast("array<string>")
-    cut = unnest(haystack, [text], pieces, "_piece")
-    found = cut.join(needles, (cut["_piece"] == needles["_piece"]) & F.contains(cut[text], needles["_needle"]),
-                     "left_semi")
-    return found.select(text).distinct()

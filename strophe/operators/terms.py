@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arrays import pad_sequence, term_counts
 from ..functions.text import WORD
 from ..sources.staging import stage
-from .joins import hashable, lookup_join
+from .dictionary import dictionary as as_dictionary
+from .joins import BROADCAST_BYTES, hashable, lookup_join
 from .ordered import numbered
 from .unnest import unnest, unnest_structs
 
@@ -221,12 +222,17 @@ def fit_scaling(df: DataFrame, col: str) -> Scaling:
 
 
 def lemmatize(df: DataFrame, keys: Sequence[str], tokens: str, lemmas: DataFrame, out: str = "lemmas",
-              keep_punctuation: bool = False) -> DataFrame:
+              keep_punctuation: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Replace each token by its entry in ``lemmas(token, lemma)``, itself when there is none.
 
-    Punctuation tokens are dropped unless asked for; null text stays null.  The
-    tokens of a text are put together again before they are shuffled.
+    Punctuation tokens are dropped unless asked for; null text stays null.  A lemma table of
+    checked size is looked up inside the row, which then does not move.  Beyond it the tokens
+    are joined, and put together again before they are shuffled.
     """
+    known = as_dictionary(lemmas, "token", "lemma", broadcast_bytes)
+    if known is not None:
+        kept = F.col(tokens) if keep_punctuation else F.filter(tokens, lambda t: t.rlike(WORD))
+        return df.withColumn(out, known.replace(kept))
     words = unnest(df, keys, tokens, "token", "_pos")
     if not keep_punctuation:
         words = words.where(F.col("token").rlike(WORD))

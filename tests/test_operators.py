@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from strophe.operators import counts as C, joins as J, ordered as O, rows as R, sampling as S, sections as E, terms as K
+from strophe.operators import counts as C, joins as J, ordered as O, rows as R, sampling as S, sections as E, substrings as B, terms as K
 from strophe.sources.staging import stage
 
 
@@ -86,18 +86,68 @@ def test_salted_and_broadcast_lookup_agree(spark, hot, how):
 def test_substring_matches(spark, rows):
     tags = spark.createDataFrame([("[Ann]",), ("[Bobby]",), ("[Verse]",), ("[Ann]",), (None,)], "tag string")
     names = spark.createDataFrame([("Ann",), ("Bo",), ("",), (None,), ("Verse]x",)], "artist string")
-    assert sorted(rows(J.substring_matches(tags, "tag", names, "artist"))) == [("[Ann]",), ("[Bobby]",)]
-    assert rows(J.substring_matches(tags, "tag", names.where("artist = ''"), "artist")) == []
+    assert sorted(rows(B.substring_matches(tags, "tag", names, "artist"))) == [("[Ann]",), ("[Bobby]",)]
+    assert rows(B.substring_matches(tags, "tag", names.where("artist = ''"), "artist")) == []
 
 
 def test_substring_matches_brute_force(spark, rows):
     words = [f"w{i * 7919 % 1009:x}{'ab' * (i % 9)}" for i in range(120)]
     needles = [w[i % 3: i % 3 + 1 + i % 17] for i, w in enumerate(words)] + ["zz"]
-    got = rows(J.substring_matches(spark.createDataFrame([(w,) for w in words], "t string"), "t",
+    got = rows(B.substring_matches(spark.createDataFrame([(w,) for w in words], "t string"), "t",
                                    spark.createDataFrame([(n,) for n in needles], "n string"), "n"))
     assert sorted(got) == sorted({(w,) for w in words if any(n and n in w for n in needles)})
 
 
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_substring_matches_short_needles_and_long_texts(spark, rows, broadcast_bytes):
+    """A one-letter needle, needles of every length, a text of 100 kB, repeated texts; both ways of joining."""
+    long = " ".join(f"w{i * 7919 % 10_007:x}" for i in range(20_000))
+    assert len(long) > 90_000
+    texts = [long, long + " needle", "z", "", None, "abc", "abcabc", "na\u00efve \u2615", "one two three"] + ["copy of one text"] * 50
+    table = spark.createDataFrame([(t, 1) for t in texts], "t string, other int")
+    for needles in (["z"], ["\u2615"], ["ab", "two"], [long[50_000:50_200]], ["needle", "w1e", ""], ["of one", "bca", "xyz", None], ["abcd"], []):
+        got = rows(B.substring_matches(table, "t", spark.createDataFrame([(n,) for n in needles], "n string"), "n", broadcast_bytes=broadcast_bytes))
+        assert sorted(got) == sorted({(t,) for t in texts if t and any(n and n in t for n in needles)}), needles
+
+
+def test_rarest_gram_is_chosen(spark, rows):
+    index = spark.createDataFrame([(i, g) for i, gs in enumerate(["abcd", "abcd bcde", "abcd bcde cdef"]) for g in gs.split()], "_id int, _gram string")
+    needles = spark.createDataFrame([("n1", "abcd"), ("n1", "bcde"), ("n2", "abcd"), ("n3", "abcd"), ("n3", "none")], "_needle string, _gram string")
+    assert sorted(rows(B.rarest_grams(needles, index))) == [("abcd", "n2"), ("bcde", "n1")]
+
+
+def test_dictionary_leaves_the_wide_row_where_it_is(spark):
+    from strophe.sources.staging import stage
+    lemmas = stage(spark.createDataFrame([(f"w{i}", f"l{i % 7}") for i in range(500)] + [("w1", "a"), (None, "n")], "token string, lemma string"))
+    data = [(1, ["w1", "zz", "w499", ",", "w1"]), (2, None), (3, []), (4, ["w3", None])]
+    df = spark.createDataFrame(data, "id int, tokens array<string>")
+    near = K.lemmatize(df, ["id"], "tokens", lemmas)
+    plan = near._jdf.queryExecution().optimizedPlan().toString().split("scalar-subquery")[0]
+    assert "Join" not in plan and "Aggregate" not in plan
+    far = K.lemmatize(df.where("id < 4"), ["id"], "tokens", lemmas.where("token is not null and lemma <> 'l1' or token <> 'w1'"), broadcast_bytes=0)
+    got = {r.id: r.lemmas for r in near.collect()}
+    assert got[1] == ["a", "zz", "l2", "a"] and got[2] is None and got[3] == [] and got[4] == ["l3"]
+    assert {r.id: r.lemmas for r in far.collect()} == {k: v for k, v in got.items() if k < 4}
+
+
+def test_induced_lexicon_by_plain_counting(spark):
+    import math
+    from strophe.operators.lexicon import associations, induced_lexicon, seed_terms
+    texts = [["sun", "warm", "day"], ["sun", "day", "day"], ["grave", "cold"], ["grave", "night", "cold"], ["night"], [], None, ["sun", "grave"]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t array<string>")
+    seeds = {"joy": ["sun"], "fear": ["grave", "crypt"]}
+    got = {(r.term, r.label): (r.df, r.together, round(r.pmi, 9)) for r in associations(df, "t", seeds, ["joy", "fear", "trust"], min_df=1).collect()}
+    n, bags = len(texts), [set(t or []) for t in texts]
+    for term in set().union(*bags):
+        for label, words in [*seeds.items(), ("trust", [])]:
+            df_, m = sum(term in b for b in bags), sum(bool(b & set(words)) for b in bags)
+            both = sum(term in b and bool(b & set(words)) for b in bags)
+            assert got[(term, label)] == (df_, both, round(math.log((both + 1) * (n + 1) / ((df_ + 1) * (m + 1))), 9))
+    lexicon = {(r.term, r.label) for r in induced_lexicon(df, "t", seeds, ["joy", "fear"], k=2, min_df=2).collect()}
+    assert ("sun", "joy") in lexicon and ("cold", "fear") in lexicon and ("day", "fear") not in lexicon
+    assert seed_terms(df, "t", ["joy", "fear"], per_label=1, max_df=0.5) == {"joy": ["grave"], "fear": ["sun"]}
+
+
 # Sections
 
 def test_stanza_rows_and_flags(spark):
