@@ -14,13 +14,17 @@ suffixes to compare.  Sorting all of them would move the text a hundredfold, so:
    one string whose suffixes are ranked to depth ``LENGTH`` by doubling.  In that order the
    nearest entries on either side that start earlier (previous and next smaller positions)
    give the longest previous factor; where it reaches ``LENGTH`` the window is a repeat.
-   An anchor with many contexts is dealt to several blocks, and the windows that are first
-   in their block meet once more, one per block and window.
+   An anchor with more than ``GROUP`` contexts is refined.  Equal windows have it at the same
+   place, so a window holds either the next half of its other bytes to the left of the anchor
+   or more than that half to its right: each context becomes at most two rows, one for each
+   side, under an anchor longer by that half.  This goes on where a group is still too large,
+   until an anchor is a window; then the first of a group stays and no bytes are compared.
 3. Removed stretches are gathered per document and cut out of its text.
 
 Nulls: a null text is empty.  A row with a null id comes after all others.  Rows that
-repeat an id are told apart by a checksum of their text and come in its order; equal rows
-get equal results, each keeping its own first occurrence.  Other columns are ignored.
+repeat an id are told apart by 87 bits of hashes of their text and come in their order; equal
+rows get equal results, each keeping its own first occurrence.  An empty table gives no rows.
+A text of any length is hashed in one pass; only its contexts and its compressed bytes travel.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.joins import lookup_join
 from ..sources.staging import stage
 from .base import query, table
 
@@ -76,11 +81,11 @@ def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x, _join(y[:-(LENGTH - 64)], y[LENGTH - 64:])
 
 
-def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window of each context, its anchor's hash and its own."""
+def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window of each context, its anchor's hash and its own, and where the anchor stands."""
     if len(data) < LENGTH:
         none = np.empty(0, np.uint64)
-        return none.astype(np.int64), none.astype(np.int64), none, none
+        return none.astype(np.int64), none.astype(np.int64), none, none, none.astype(np.int64)
     gram, window = window_hashes(data)
     low = np.uint64(0xFFFFFFFF)
     least = (gram & ~low) | np.arange(len(gram), dtype=np.uint64)
@@ -90,7 +95,7 @@ def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     cut = np.flatnonzero(np.diff(anchor)) + 1
     lo = np.concatenate([[0], cut])
     hi = np.concatenate([cut - 1, [len(anchor) - 1]])
-    return lo, hi, gram[anchor[lo]], _join(window[lo], window[hi] + (hi - lo).astype(np.uint64))
+    return lo, hi, gram[anchor[lo]], _join(window[lo], window[hi] + (hi - lo).astype(np.uint64)), anchor[lo]
 
 
 # A place is one number: 23 bits of checksum, 31 of offset, 7 of further windows, 2 of marks.
@@ -102,6 +107,11 @@ def checksum(text: bytes) -> int:
     return zlib.crc32(text) & 0x7FFFFF
 
 
+def tag(text: bytes) -> int:
+    """What tells texts of one id apart besides the checksum."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
@@ -113,38 +123,39 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _again(new: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+def _again(new: np.ndarray, doc: np.ndarray, mark: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Rows of a run that stand where its first one does: the same text of a repeated row."""
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    return ~new & (doc == doc[first]) & (place >> 2 == place[first] >> 2)
+    return ~new & (doc == doc[first]) & (mark == mark[first]) & (place >> 2 == place[first] >> 2)
 
 
 def find_contexts(docs: DataFrame) -> DataFrame:
-    """``(gram, context, doc, place)`` of ``docs(doc, text)``, reduced within each task."""
+    """``(gram, context, doc, tag, place)`` of ``docs(doc, text)``, reduced within each task."""
     def reduce(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        gram, context, doc, place = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((place, doc, context, gram))
-        gram, context, doc, place = gram[order], context[order], doc[order], place[order]
+        gram, context, doc, mark, place = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((place, mark, doc, context, gram))
+        gram, context, doc, mark, place = gram[order], context[order], doc[order], mark[order], place[order]
         new_gram, new = _runs(gram), _runs(gram, context)
         in_gram = np.cumsum(new_gram) - 1
         kinds = np.bincount(in_gram, weights=new)[in_gram]
         rank = np.cumsum(new) - 1
         rank = rank - rank[np.flatnonzero(new_gram)][in_gram]
-        own = ~_again(new, doc, place)
+        own = ~_again(new, doc, mark, place)
         place = place | np.where(new, np.where(kinds > 1, KNOWN, 0), REMOVED)
         # What needs no other row of its anchor goes to any task.
         loose = ~new | (rank >= SURPLUS)
         gram = np.where(loose, _join(doc.view(np.uint64), place.view(np.uint64)), gram)
-        return _batch(gram=gram[own].view(np.int64), context=context[own].view(np.int64), doc=doc[own], place=place[own])
+        return _batch(gram=gram[own].view(np.int64), context=context[own].view(np.int64), doc=doc[own], tag=mark[own], place=place[own])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = text.encode("utf-8", "replace")
-                lo, hi, gram, context = contexts(np.frombuffer(data, np.uint8))
+                lo, hi, gram, context, _ = contexts(np.frombuffer(data, np.uint8))
                 if len(lo):
-                    parts.append((gram, context, np.full(len(lo), doc, np.int64), places(checksum(data), lo, hi - lo)))
+                    parts.append((gram, context, np.full(len(lo), doc, np.int64), np.full(len(lo), tag(data), np.int64),
+                                  places(checksum(data), lo, hi - lo)))
                     held += len(lo)
                 if held >= FLUSH:
                     yield reduce(parts)
@@ -152,26 +163,26 @@ def find_contexts(docs: DataFrame) -> DataFrame:
         if parts:
             yield reduce(parts)
 
-    return docs.mapInArrow(find, "gram long, context long, doc long, place long")
+    return docs.mapInArrow(find, "gram long, context long, doc long, tag long, place long")
 
 
 def sort_out(found: DataFrame) -> DataFrame:
-    """``(doc, crc, lo, more, removed)``: copies of a context, and first occurrences that differ from others of their anchor."""
-    def judge(gram, context, doc, place) -> pa.RecordBatch | None:
+    """``(doc, tag, crc, lo, more, removed)``: copies of a context, and first occurrences that differ from others of their anchor."""
+    def judge(gram, context, doc, mark, place) -> pa.RecordBatch | None:
         new_gram, new = _runs(gram), _runs(gram, context)
         in_gram = np.cumsum(new_gram) - 1
         marks = place & 3
         shared = (np.bincount(in_gram, weights=new) > 1) | (np.bincount(in_gram, weights=marks == KNOWN) > 0)
         removed = ~new | (marks == REMOVED)
-        out = (removed | shared[in_gram]) & ~_again(new, doc, place)
+        out = (removed | shared[in_gram]) & ~_again(new, doc, mark, place)
         place = place[out]
-        return _batch(doc=doc[out], crc=(place >> 40).astype(np.int32), lo=((place >> 9) & 0x7FFFFFFF).astype(np.int32),
+        return _batch(doc=doc[out], tag=mark[out], crc=(place >> 40).astype(np.int32), lo=((place >> 9) & 0x7FFFFFFF).astype(np.int32),
                       more=((place >> 2) & 127).astype(np.int32), removed=removed[out])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            rows = [batch.column(i).to_numpy() for i in range(4)]
+            rows = [batch.column(i).to_numpy() for i in range(5)]
             last = int(np.searchsorted(rows[0], rows[0][-1]))  # rows are sorted; the last anchor may go on
             if held and last == 0 and held[-1][0][-1] == rows[0][-1]:
                 held.append(rows)
@@ -183,46 +194,75 @@ def sort_out(found: DataFrame) -> DataFrame:
         if held:
             yield judge(*[np.concatenate(c) for c in zip(*held)])
 
-    return found.repartition("gram").sortWithinPartitions("gram", "context", "doc", "place").mapInArrow(
-        walk, "doc long, crc int, lo int, more int, removed boolean")
+    return found.repartition("gram").sortWithinPartitions("gram", "context", "doc", "tag", "place").mapInArrow(
+        walk, "doc long, tag long, crc int, lo int, more int, removed boolean")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """``(doc, crc, packed)``: texts compressed for a shuffle."""
+    """``(doc, tag, crc, packed)``: texts compressed for a shuffle."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = [t.encode("utf-8", "replace") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([checksum(t) for t in texts], pa.int32()),
-                 pa.array([press.compress(t) for t in texts], pa.binary())], ["doc", "crc", "packed"])
+                [batch.column(0), pa.array([tag(t) for t in texts], pa.int64()), pa.array([checksum(t) for t in texts], pa.int32()),
+                 pa.array([press.compress(t) for t in texts], pa.binary())], ["doc", "tag", "crc", "packed"])
+
+    return docs.mapInArrow(pack, "doc long, tag long, crc int, packed binary")
 
-    return docs.mapInArrow(pack, "doc long, crc int, packed binary")
+
+PIECES = "gram long, doc long, tag long, crc int, lo int, at int, size int, bytes binary"
+ROW = ["doc", "tag", "crc"]
 
 
 def with_bytes(docs: DataFrame, open_: DataFrame) -> DataFrame:
-    """``(gram, doc, crc, lo, bytes)`` of the contexts in ``open_``."""
+    """``PIECES`` of the contexts in ``open_``: the anchor has ``size`` bytes from ``at`` on."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                out: list[list] = [[], [], [], [], []]
-                for doc, crc, packed, los in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns)):
+            for start in range(0, len(batch), 512):
+                out: list[list] = [[] for _ in range(8)]
+                for doc, mark, crc, packed, los in zip(*(c.to_pylist() for c in batch.slice(start, 512).columns)):
                     data = press.decompress(packed)
-                    lo, hi, gram, _ = contexts(np.frombuffer(data, np.uint8))
+                    lo, hi, gram, _, anchor = contexts(np.frombuffer(data, np.uint8))
                     mine = np.flatnonzero(np.isin(lo, los))
-                    out[0].append(gram[mine])
-                    out[1].append(np.full(len(mine), doc, np.int64))
-                    out[2].append(np.full(len(mine), crc, np.int32))
-                    out[3].append(lo[mine].astype(np.int32))
-                    out[4].extend(data[lo[k]:hi[k] + LENGTH] for k in mine)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out[0]).view(np.int64)), *[pa.array(np.concatenate(c)) for c in out[1:4]],
-                     pa.array(out[4], pa.binary())], ["gram", "doc", "crc", "lo", "bytes"])
-
-    wanted = open_.groupBy("doc", "crc").agg(F.collect_list("lo").alias("los"))
-    return packed_texts(docs).join(wanted, ["doc", "crc"]).select("doc", "crc", "packed", "los").mapInArrow(
-        cut, "gram long, doc long, crc int, lo int, bytes binary")
+                    known = [gram[mine].view(np.int64), np.full(len(mine), doc, np.int64), np.full(len(mine), mark, np.int64),
+                             np.full(len(mine), crc, np.int32), lo[mine].astype(np.int32), (anchor - lo)[mine].astype(np.int32),
+                             np.full(len(mine), GRAM, np.int32)]
+                    for column, values in zip(out, known):
+                        column.append(values)
+                    out[7].extend(data[lo[k]:hi[k] + LENGTH] for k in mine)
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in out[:7]], pa.array(out[7], pa.binary())],
+                                                 ["gram", *ROW, "lo", "at", "size", "bytes"])
+
+    wanted = open_.groupBy(*ROW).agg(F.collect_set("lo").alias("los"))
+    return packed_texts(docs).join(wanted, ROW).select(*ROW, "packed", "los").mapInArrow(cut, PIECES)
+
+
+def refined(pieces: DataFrame) -> DataFrame:
+    """Each context as one row for the windows that hold the next bytes to the left of the anchor, one for the others."""
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for _, doc, mark, crc, lo, at, size, data in zip(*(c.to_pylist() for c in batch.columns)):
+                windows = len(data) - LENGTH + 1
+                half = (LENGTH - size + 1) // 2
+                left = min(windows, at - half + 1)  # windows from 0 on that start at least ``half`` before the anchor
+                sides = []
+                if left > 0:
+                    sides.append((0, left, at - half, size + half))
+                if left < windows:
+                    sides.append((max(left, 0), windows, at, LENGTH - half + 1))
+                for first, end, from_, long in sides:
+                    key = hashlib.blake2b(data[from_:from_ + long], digest_size=8, person=str(long).encode()).digest()
+                    rows.append((int.from_bytes(key, "little", signed=True), doc, mark, crc, lo + first, from_ - first, long,
+                                 data[first:end - 1 + LENGTH]))
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                                 ["gram", *ROW, "lo", "at", "size", "bytes"])
+
+    return pieces.select("gram", *ROW, "lo", "at", "size", "bytes").mapInArrow(split, PIECES)
 
 
 def suffix_ranks(data: np.ndarray) -> np.ndarray:
@@ -266,13 +306,9 @@ def earlier_factors(data: np.ndarray, starts: np.ndarray, place: np.ndarray) ->
 
 
 def repeats(pieces: DataFrame) -> DataFrame:
-    """``(doc, crc, start, end, gram, window)`` of ``pieces(gram, part, parts, doc, crc, lo, bytes)``.
-
-    Stretches to remove have a null ``window``; the others are windows that are first in
-    their block, of anchors dealt to several blocks.
-    """
+    """``(doc, tag, crc, start, end)``: stretches of ``PIECES`` to remove, each group of one anchor by itself."""
     def compare(tab: pa.Table) -> pa.RecordBatch:
-        doc, crc, lo, gram, parts = (tab.column(c).to_numpy() for c in ("doc", "crc", "lo", "gram", "parts"))
+        doc, mark, crc, lo = (tab.column(c).to_numpy() for c in ("doc", "tag", "crc", "lo"))
         text = tab.column("bytes").to_pylist()
         data = np.frombuffer(b"".join(text), np.uint8)
         sizes = np.array([len(t) for t in text])
@@ -281,23 +317,16 @@ def repeats(pieces: DataFrame) -> DataFrame:
         offset = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
         starts = np.repeat(np.cumsum(sizes) - sizes, n) + offset
         position = lo[piece] + offset
-        order = np.lexsort((position, crc[piece], doc[piece]))
+        order = np.lexsort((position, crc[piece], mark[piece], doc[piece]))
         place = np.empty(len(piece), np.int64)
-        place[order] = np.cumsum(_runs(doc[piece][order], crc[piece][order], position[order]))
+        place[order] = np.cumsum(_runs(doc[piece][order], mark[piece][order], crc[piece][order], position[order]))
         again = earlier_factors(data, starts, place)
         edge = np.flatnonzero(_runs(piece, again))
         ends = np.append(edge[1:], len(piece)) - 1
         keep = again[edge]
         first, last = edge[keep], ends[keep]
-        open_ = np.flatnonzero(~again & (parts[piece] > 1))
-        windows = window_hashes(data)[1][starts[open_]].view(np.int64)
-        both = np.concatenate([first, open_])
-        end = np.concatenate([position[last] + LENGTH, position[open_] + LENGTH]).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc[piece[both]]), pa.array(crc[piece[both]]), pa.array(position[both].astype(np.int32)), pa.array(end),
-             pa.array(gram[piece[both]]),
-             pa.array(np.concatenate([np.zeros(len(first), np.int64), windows]), mask=np.arange(len(both)) < len(first))],
-            ["doc", "crc", "start", "end", "gram", "window"])
+        return _batch(doc=doc[piece[first]], tag=mark[piece[first]], crc=crc[piece[first]], start=position[first].astype(np.int32),
+                      end=(position[last] + LENGTH).astype(np.int32))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -308,9 +337,9 @@ def repeats(pieces: DataFrame) -> DataFrame:
             size += batch.column("bytes").nbytes
             if size < BLOCK_BYTES:
                 continue
-            # Rows are sorted by anchor and part; the last group may go on in the next batch.
+            # Rows are sorted by anchor; the last group may go on in the next batch.
             tab = pa.Table.from_batches(held)
-            new = np.flatnonzero(_runs(tab.column("gram").to_numpy(), tab.column("part").to_numpy()))
+            new = np.flatnonzero(_runs(tab.column("gram").to_numpy()))
             if new[-1]:
                 yield compare(tab.slice(0, new[-1]))
                 tab = tab.slice(new[-1])
@@ -319,25 +348,36 @@ def repeats(pieces: DataFrame) -> DataFrame:
         if held:
             yield compare(pa.Table.from_batches(held))
 
-    sorted_ = pieces.repartition("gram", "part").sortWithinPartitions("gram", "part")
-    return sorted_.select("gram", "part", "parts", "doc", "crc", "lo", "bytes").mapInArrow(
-        walk, "doc long, crc int, start int, end int, gram long, window long")
+    sorted_ = pieces.repartition("gram").sortWithinPartitions("gram")
+    return sorted_.select("gram", *ROW, "lo", "bytes").mapInArrow(walk, "doc long, tag long, crc int, start int, end int")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``(doc, crc, spans)``: what to remove from ``docs(doc, text)``, overlapping and unordered."""
+    """``(doc, tag, crc, spans)``: what to remove from ``docs(doc, text)``, overlapping and unordered."""
     known = stage(sort_out(find_contexts(docs)))
-    copies = known.where("removed").select("doc", "crc", F.col("lo").alias("start"), (F.col("lo") + F.col("more") + LENGTH).alias("end"))
+    copies = known.where("removed").select(*ROW, F.col("lo").alias("start"), (F.col("lo") + F.col("more") + LENGTH).alias("end"))
     pieces = stage(with_bytes(docs, known.where("not removed")))
-    counts = pieces.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
-    dealt = pieces.join(counts, "gram").withColumn("part", F.pmod(F.xxhash64("doc", "lo"), F.col("parts")))
-    found = stage(repeats(dealt))
-    spans = found.where("window is null").select("doc", "crc", "start", "end")
-    open_ = found.where("window is not null")
-    firsts = open_.groupBy("gram", "window").agg(F.min(F.struct("doc", "crc", "start")).alias("first"))
-    late = open_.join(firsts, ["gram", "window"]).where(F.struct("doc", "crc", "start") > F.col("first"))
-    everything = copies.union(spans).union(late.select("doc", "crc", "start", "end"))
-    return everything.groupBy("doc", "crc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = [copies]
+    while True:
+        # Anchors with too many contexts are refined; the others are compared.
+        full = stage(pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("gram", F.lit(True).alias("full")))
+        if full.isEmpty():
+            spans.append(repeats(pieces))
+            break
+        marked = stage(lookup_join(pieces, full, ["gram"], "left"))
+        spans.append(repeats(marked.where("full is null")))
+        crowded = marked.where("full")
+        pieces = stage(refined(crowded.where(F.col("size") < LENGTH)))
+        # Where the anchor is the window, all of a group are equal: the first one stays.
+        same = crowded.where(F.col("size") == LENGTH).select("gram", *ROW, F.col("lo").alias("start"))
+        firsts = stage(same.groupBy("gram").agg(F.min(F.struct(*ROW, "start")).alias("first")))
+        if not firsts.isEmpty():
+            late = lookup_join(same, firsts, ["gram"]).where(F.struct(*ROW, "start") > F.col("first"))
+            spans.append(late.select(*ROW, "start", (F.col("start") + LENGTH).alias("end")))
+    everything = spans[0]
+    for more in spans[1:]:
+        everything = everything.union(more)
+    return everything.groupBy(*ROW).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -373,7 +413,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.binary())],
                     ["doc", "n_bytes", "spans", "kept"])
 
-    out = packed_texts(known).join(repeated_spans(known), ["doc", "crc"], "left").select("doc", "packed", "spans").mapInArrow(
+    out = packed_texts(known).join(repeated_spans(known), ROW, "left").select("doc", "packed", "spans").mapInArrow(
         cut, "doc long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
     return out.withColumn("doc", F.when(F.col("doc") != NO_ID, F.col("doc"))).withColumnRenamed("doc", id_col)
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from strophe.llm import suffixes
+from strophe.sources.staging import stage
 from strophe.llm.suffixes import LENGTH, earlier_factors, op7_suffix_dedup, remove_repeats, smaller_before
 
 FOLDER = "/root/testdata/sf0.001"
@@ -44,7 +45,41 @@ def test_empty_table(documents):
     assert remove_repeats(documents([])).count() == 0
 
 
-@pytest.mark.parametrize("group,surplus", [(1024, 64), (4, 2)])
+def test_null_ids_with_equal_checksums(documents, monkeypatch):
+    """Texts that share an id and a checksum stay apart; one of them repeats another document, the other nothing."""
+    rng = random.Random(11)
+    by_crc, pair = {}, None
+    while pair is None:
+        text = "".join(rng.choice("abcdefgh ") for _ in range(180))
+        other = by_crc.setdefault(suffixes.checksum(text.encode()), text)
+        if other != text:
+            pair = (other, text)
+    for doc in (None, 7):
+        got = remove_repeats(documents([(1, pair[0]), (doc, pair[0]), (doc, pair[1]), (doc, pair[1])])).collect()
+        kept = sorted((bytes(r.kept) for r in got if r.doc_id == doc), key=len)
+        assert kept == [b"", pair[1].encode(), pair[1].encode()]
+
+
+def test_refined_rows_hold_every_window_once(spark):
+    data = bytes(range(200))[:168]
+    piece = [(5, 1, 2, 3, 10, 68, 32, bytearray(data))]
+    rows = spark.createDataFrame(piece, suffixes.PIECES)
+    for _ in range(8):
+        rows = stage(suffixes.refined(rows.where(f"size < {LENGTH}")))
+        got = rows.collect()
+        if not got:
+            break
+        windows = [r.lo + k for r in got for k in range(len(r.bytes) - LENGTH + 1)]
+        assert len(set(windows)) == len(windows) and len(got) <= 69
+        for r in got:
+            assert 0 <= r["at"] and r["at"] + r["size"] <= LENGTH + (len(r.bytes) - LENGTH)
+            for k in range(len(r.bytes) - LENGTH + 1):  # the longer anchor lies in every window
+                assert k <= r["at"] and r["at"] + r["size"] <= k + LENGTH
+        if all(r["size"] < LENGTH for r in got):
+            assert sorted(windows) == list(range(10, 79))
+
+
+@pytest.mark.parametrize("group,surplus", [(1024, 64), (4, 2), (1, 1)])
 def test_random_overlaps(documents, monkeypatch, group, surplus):
     """Passages pasted in many places, runs of one sign, periods; also with tiny groups, which makes every anchor a hot one."""
     monkeypatch.setattr(suffixes, "GROUP", group)
