@@ -25,10 +25,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sentences of ten words or more stay where they come first; a document of which nothing is left goes."""
-    cut = units.remove_repeated(docs, "sentence")
+    """Sentences of ten words or more stay where they come first; a document of which nothing is left goes.
+
+    The row travels as one column, so columns named like those of the operator keep their values.
+    """
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_document"))
+    cut = units.remove_repeated(packed, "sentence")
     left = cut.where((F.col("n_removed") == 0) | F.rlike("kept_text", F.lit(r"[^\x20\x09-\x0D]")))
-    return left.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(*docs.columns)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return left.select(*[new.get(c, F.col("_document")[c]).alias(c) for c in docs.columns])
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,10 +63,11 @@ def _select(columns: dict[str, str]) -> str:
     return ", ".join(f"{expr} AS {name}" for name, expr in columns.items())
 
 
-# Documents have no title: a short one of their own columns stands in.
+# Documents have no title: their first eight words stand in.
+_OPENING = "^([^ \\n]+(?: [^ \\n]+){0,7})"
 _TITLE = {
-    "spark": "concat(source, ' ', lang, ' size', CAST(n_chars DIV 500 AS STRING), ' ', lang, source)",
-    "sql": "concat(source, ' ', lang, ' size', CAST(n_chars // 500 AS VARCHAR), ' ', lang, source)",
+    "spark": "regexp_extract(text, r'" + _OPENING + "', 1)",
+    "sql": "regexp_extract(text, '" + _OPENING + "', 1)",
 }
 _LABEL = {
     "spark": f"element_at(array({literals(EMOTIONS)}), {_EMOTION} + 1)",

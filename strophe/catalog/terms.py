@@ -187,9 +187,11 @@ def standardize(spark, folder):
 
 @query("SELECT doc_id AS id, true AS topics_fit FROM documents")
 def nmf_topics(spark, folder):
-    """Eight topics of each title, none negative."""
+    """Eight topics of each title, none negative; all are zero exactly where the title has no known term."""
     rows = songs(spark, folder).select("id", T.analyze(F.col("title"), stop=title_stopwords()).alias("tokens"))
     weights = stage(K.tfidf(rows, "id", "tokens", max_features=1000))
     model = nmf_fit(weights, "id", 8)
-    fits = (F.size("topics") == 8) & F.forall("topics", lambda t: t >= 0) & F.exists("topics", lambda t: t > 0)
-    return model.transform(weights, rows, "id").select("id", fits.alias("topics_fit"))
+    known = weights.groupBy("id").agg(F.lit(True).alias("known"))
+    some = F.exists("topics", lambda t: t > 0) == F.coalesce("known", F.lit(False))
+    fits = (F.size("topics") == 8) & F.forall("topics", lambda t: t >= 0) & some
+    return model.transform(weights, rows, "id").join(known, "id", "left").select("id", fits.alias("topics_fit"))

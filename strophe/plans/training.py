@@ -17,10 +17,11 @@ from ..operators.metrics import (
     accuracy, auc_ovr, class_accuracy, classification_report, confusion_matrix, one_vs_rest,
 )
 from ..operators.models import (
-    fit_classifier, load_model, perceptron, predict, random_forest, random_search, save_model, self_train,
+    fit_classifier, load_model, perceptron, predict, random_forest, save_model, self_train,
     svm_one_vs_rest,
 )
 from ..operators.rows import bools_to_int, encode_label
+from ..operators.search import WEIGHT, search
 from ..operators.sampling import Key, downsample, key_columns, random_split, sample_n, train_val_test
 from ..operators.terms import (
     Scaling, chi2_select, fit_scaling, fit_terms, fit_vocab, postings, tfidf_transform, to_sequences,
@@ -32,6 +33,7 @@ from ..wordlists import EMOTIONS
 
 VOCAB_SIZE, SEQUENCE_LENGTH, TOPICS, TITLE_TERMS = 20000, 150, 8, 1000
 
+# The grids that are searched.  There is no minimum of rows for a split in the library's trees, so that is left out.
 FOREST_GRID = {
     "max_features": [500, 1000, 5000, None],
     "ngram": [(1, 1), (1, 2)],
@@ -40,7 +42,8 @@ FOREST_GRID = {
     "min_leaf": [1, 2, 4],
     "bootstrap": [True, False],
 }
-SVM_GRID = {"max_features": [500, 1000, 2500], "ngram": [(1, 1), (1, 2)], "c": [0.1, 1.0, 10.0]}
+SVM_GRID = {"max_features": [500, 1000, 2500], "ngram": [(1, 1), (1, 2)], "c": [0.1, 1.0, 10.0], "class_weight": [None, "balanced"]}
+TREE_TERMS = 5000  # stands for no limit in a search of forests, whose learner holds a bin per row and term
 
 
 def with_text(df: DataFrame, tokens: str = "lemmatized_stanzas", out: str = "text_str") -> DataFrame:
@@ -105,14 +108,29 @@ def train_and_evaluate(df: DataFrame, fit: Callable[[DataFrame], Model], test: f
     return evaluate(model, parts.where("split = 'test'"), classes)
 
 
+def _weighted(params: dict) -> dict:
+    """``class_weight`` as the weight column of the fold store."""
+    params = dict(params)
+    return params | {"weight": WEIGHT} if params.pop("class_weight", None) == "balanced" else params
+
+
 def search_forest(train: DataFrame, n_iter: int = 20, k: int = 5, grid: dict | None = None,
-                  classes: Sequence[str] = EMOTIONS, **options):
-    return random_search(train, lambda part, p: fit_forest(part, p, classes), grid or FOREST_GRID, n_iter, k, **options)
+                  classes: Sequence[str] = EMOTIONS, **options) -> tuple[dict, DataFrame]:
+    """Random search of forests; ``class_weight`` may be part of the grid."""
+    spec = lambda shape: mixed_spec(**({"max_features": TREE_TERMS} | {n: v for n, v in shape.items() if v is not None}))
+    return search(train, spec, lambda p, n: random_forest(**_without(_weighted(p), "class_weight")), grid or FOREST_GRID,
+                  n_iter=n_iter, k=k, classes=classes, **options)
 
 
 def search_svm(train: DataFrame, n_iter: int = 2, k: int = 3, grid: dict | None = None,
-               classes: Sequence[str] = EMOTIONS, **options):
-    return random_search(train, lambda part, p: fit_svm(part, p, classes), grid or SVM_GRID, n_iter, k, **options)
+               classes: Sequence[str] = EMOTIONS, **options) -> tuple[dict, DataFrame]:
+    """Random search of linear SVMs, one against the rest."""
+    return search(train, lambda shape: mixed_spec(**shape), lambda p, n: svm_one_vs_rest(n=n, **_without(_weighted(p), "class_weight")),
+                  grid or SVM_GRID, n_iter=n_iter, k=k, classes=classes, **options)
+
+
+def _without(params: dict, name: str) -> dict:
+    return {k: v for k, v in params.items() if k != name}
 
 
 def fit_chi2_forest(train: DataFrame, k: int = 5000, doc: str = "id", text: str = "text_str",

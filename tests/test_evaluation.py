@@ -122,6 +122,49 @@ def test_search_is_repeatable(stanzas):
     assert set(best) == set(grid) and draws.count() == 2
 
 
+def test_search_prepares_each_fold_and_text_setting_once(stanzas, monkeypatch):
+    """Many draws share the tables of a fold; the best draw is one of them; class weights may be part of the grid."""
+    from strophe.operators import search as Q
+
+    made = []
+    original = Q.FoldStore._made
+    monkeypatch.setattr(Q.FoldStore, "_made", lambda self, shape, fold: made.append((str(shape), fold)) or original(self, shape, fold))
+    grid = {"trees": [2, 3, 4], "depth": [2, 3], "max_features": [5, None], "class_weight": [None, "balanced"]}
+    best, draws = P.search_forest(stanzas, n_iter=8, k=3, grid=grid, classes=CLASSES, id_col=["id", "stanza_number"])
+    rows = draws.collect()
+    shapes = {r.params["max_features"] for r in rows}
+    assert len(made) == len(set(made)) == 3 * len(shapes)
+    assert len(rows) == 8 and all(r.folds == 3 and 0 <= r.accuracy <= 1 for r in rows)
+    assert {p: str(v) for p, v in best.items()} == max(rows, key=lambda r: (r.accuracy, -r.draw)).params
+    _, svms = P.search_svm(stanzas, n_iter=2, k=2, grid={"c": [0.1, 1.0], "class_weight": ["balanced"], "max_features": [9]},
+                           classes=CLASSES, id_col=["id", "stanza_number"])
+    assert svms.count() == 2
+
+
+def test_curve_equals_truncated_forests(stanzas):
+    """The running votes of one fit are those of its first n trees, and the last are the forest's own."""
+    import numpy as np
+    from strophe.operators.curves import forest_curve, prefix_predictions
+
+    model = P.fit_forest(stanzas, {"trees": 7, "depth": 3}, CLASSES)
+    got = {(r.id, r.stanza_number): r.ahead for r in prefix_predictions(model, stanzas, ["id", "stanza_number"]).collect()}
+    forest = model.stages[-2]
+    ready = model.transform(stanzas).select("id", "stanza_number", "features", "prediction").collect()
+    for r in ready[:25]:
+        votes = np.zeros(forest.numClasses)
+        for n, tree in enumerate(forest.trees):
+            votes += tree.predictProbability(r.features).toArray()
+            assert got[(r.id, r.stanza_number)][n] == int(np.argmax(votes))
+        assert got[(r.id, r.stanza_number)][-1] == int(r[3])
+    curve = {r["round"]: r for r in forest_curve(model, {"train": stanzas, "val": stanzas.limit(20)}, [1, 3, 7], classes=CLASSES).collect()}
+    assert set(curve) == {1, 3, 7} and curve[7].train_accuracy == pytest.approx(accuracy_of(model, stanzas)) and curve[7].val_rows == 20
+
+
+def accuracy_of(model, rows):
+    scored = L.predict(model, rows, ["label"]).collect()
+    return sum(r.label == r.predicted for r in scored) / len(scored)
+
+
 def test_self_training(spark, stanzas, tmp_path):
     run = P.training_run(stanzas.where("id < 60"), lambda t: P.fit_forest(t, {"trees": 5, "depth": 5}, CLASSES),
                          stanzas.where("id >= 60").drop("label"), pseudo_share=.5, balance=True, classes=CLASSES,
