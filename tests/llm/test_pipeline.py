@@ -68,3 +68,13 @@ def test_stage_with_awkward_rows(spark, documents, awkward, name, step):
     out.collect()
     assert name == "token ids" or out.columns == docs.columns
     assert step(spark, documents([]), FOLDER).count() == 0
+
+
+def test_repeated_sentences_keep_columns_of_any_name(spark):
+    """Columns named like those of the operator come through unchanged."""
+    names = "doc_id long, text string, lang string, source string, n_chars long, removed string, n_removed string, n_units string, kept_text string, _document string"
+    first = "the first sentence of this text has well over ten words in it and more."
+    rows = [(1, first, "en", "s", 72, "a", "b", "c", "d", "e"), (2, f"{first} And something of its own.", "en", "s", 99, None, "q", "r", "t", "u")]
+    out = {r.doc_id: r for r in corpus_pipeline.without_repeats(spark, spark.createDataFrame(rows, names), "").collect()}
+    assert tuple(out[1])[5:] == ("a", "b", "c", "d", "e") and tuple(out[2])[5:] == (None, "q", "r", "t", "u")
+    assert out[1].text == first and first not in out[2].text and out[2].n_chars == len(out[2].text)
