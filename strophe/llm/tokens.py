@@ -32,7 +32,7 @@ from .base import query, table
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CACHE = 1_000_000
+CACHE = 400_000
 ROWS_PER_FILE = 1 << 16
 _DOUBLE = re.compile(r"\s\s")
 _LOADED: dict = {}
