@@ -5,16 +5,19 @@ between a letter and those signs that no piece has after a letter.  No piece cro
 cut, so every distinct word of the corpus is encoded once:
 
 1. The words are grouped and counted; the grouping also places each word in one partition.
-2. Each word is exploded into its substrings of at most the longest piece's length, which
-   an equi-join with the piece table (a vocabulary, hence bounded and broadcast) turns into
-   edges; ``groupBy`` the word collects them without another shuffle.
-3. Higher-order functions fold the edges of a word.  For a unigram model the fold is
-   Viterbi's: the best score of each prefix and the edge that gave it.  A BPE model has no
-   path scores, its pieces are joined in the order of their scores: there the fold keeps
-   the cut points as a bit mask and joins, again and again, the first edge that spans
-   exactly two neighbouring parts.  Viterbi over the scores of a BPE model would give other
-   ids than the model does.  Words too long for the mask are cut by the same rules in Python.
-   Characters that are no piece become the pieces of their UTF-8 bytes.
+2. The lattice of a word: its substrings of at most the longest piece's length meet the piece
+   table (a vocabulary, hence bounded) by equality, and the matches are the edges, grouped by
+   word.
+3. The edges of a word are folded.  For a unigram model that is Viterbi's fold, over rows that
+   Spark explodes, joins and groups, with higher-order functions: the best score of each prefix
+   and the edge that gave it.  A BPE model has no path scores, its pieces are joined in the order
+   of their scores: the fold keeps the cut points of a word as a bit mask and joins, again and
+   again, the first edge that spans exactly two neighbouring parts.  Viterbi over the scores of a
+   BPE model would give other ids than the model does.  As Spark rows this took 24 rows a word and
+   more memory than an executor has, so for BPE the same explode, join, group and fold run on
+   arrays, over all words of an Arrow batch at once; substrings grow by a character at a time,
+   and those that no piece starts with drop out.  Words too long for the mask are cut by the same
+   rules in plain Python.  Characters that are no piece become the pieces of their UTF-8 bytes.
 4. Word codes go back to the texts: the most frequent words, at most ``FREQUENT``, as one
    broadcast table of hashes and ids; a text's other words through a join, as a list that
    meets the text by document id.
@@ -40,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
-from .base import let, query, table
+from .base import query, table
 from .wordhash import mix, powers
 
 FREQUENT = 1 << 20
@@ -144,22 +147,6 @@ def _spans(edge_list: Column) -> Column:
     return F.transform(edge_list, span)
 
 
-def _joined(spans: Column, size: Column) -> Column:
-    """Cut points of a BPE word: join the first edge that spans two parts, until there is none."""
-    done = F.lit(-(1 << 63))
-
-    def join(edge_list: Column) -> Column:
-        def step(m: Column, _: Column) -> Column:
-            fits = F.filter(edge_list, lambda e: (m.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(m.bitwiseAND(e["inside"])) == 1))
-            inside = F.get(F.transform(fits, lambda e: e["inside"]), 0)
-            after = let(inside, lambda i: F.when(i.isNull(), m.bitwiseOR(done)).otherwise(m.bitwiseAND(F.bitwise_not(i))))
-            return F.when(m < 0, m).otherwise(after)
-
-        return F.aggregate(F.sequence(F.lit(1), size), _bit(size + 1) - 1, step)
-
-    return let(F.filter(spans, lambda e: e["inside"] != 0), join).bitwiseAND(F.lit((1 << 62) - 1))
-
-
 def _best(spans: Column, size: Column, scores: Sequence[float]) -> Column:
     """Cut points of a unigram word: Viterbi over prefixes, of which each keeps its score and its cut points."""
     unknown = F.lit(min(scores) - 10.0)
@@ -228,16 +215,124 @@ def viterbi_long(word: str, known: dict[str, tuple[float, int]], longest: int, f
     return [c for part in reversed(codes) for c in part]
 
 
+@dataclass(frozen=True)
+class Beginnings:
+    """The beginnings of all pieces by number: what one more character makes of each, and which piece it is."""
+
+    step: np.ndarray  # beginning and character in one number, ascending
+    to: np.ndarray
+    rank: np.ndarray
+    id: np.ndarray  # -1 for a beginning that is no piece
+
+    @staticmethod
+    def of(pieces: Pieces) -> Beginnings:
+        number = {"": 0}
+        for name in pieces.names:
+            for k in range(1, len(name) + 1):
+                number.setdefault(name[:k], len(number))
+        steps = sorted((number[p[:-1]] << 21 | ord(p[-1]), i) for p, i in number.items() if p)
+        rank, own = np.zeros(len(number), np.int64), np.full(len(number), -1, np.int64)
+        at = [number[n] for n in pieces.names]
+        rank[at] = np.unique(-np.array(pieces.scores), return_inverse=True)[1]
+        own[at] = pieces.ids
+        return Beginnings(*np.array(steps, np.int64).reshape(-1, 2).T.copy(), rank, own)
+
+    def edges(self, chars: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place, length and number of each piece in ``chars``; ``left`` characters are left of a place's word."""
+        at, now, size, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0, []
+        while len(at):
+            key = now << 21 | chars[at + size]
+            size += 1
+            i = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+            met = self.step[i] == key
+            at, now = at[met], self.to[i[met]]
+            piece = self.id[now] >= 0
+            found.append((at[piece], np.full(piece.sum(), size), now[piece]))
+            more = left[at] > size
+            at, now = at[more], now[more]
+        return tuple(np.concatenate(c) for c in zip(*found)) if found else (at, at, now)
+
+    def encode(self, words: list[str], first_byte: int) -> pa.ListArray:
+        """The codes of words of at most ``LONG`` characters."""
+        size = np.array([len(w) for w in words], np.int64)
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), size)
+        place = np.arange(len(chars)) - (np.cumsum(size) - size)[word]
+        at, k, node = self.edges(chars, size[word] - place)
+        several = k > 1
+        cuts = joined(word[at[several]], place[at[several]], k[several], self.rank[node[several]], size)
+        part = np.flatnonzero(cuts[word] >> place.astype(np.uint64) & np.uint64(1))
+        # The id of a part is that of the edge with its place and length.
+        key = at << 6 | k
+        order = np.argsort(key)
+        wanted = part << 6 | np.diff(np.append(part, len(chars)))
+        i = np.minimum(np.searchsorted(key[order], wanted), len(key) - 1)
+        ids = np.where(key[order][i] == wanted, self.id[node[order][i]], -1) if len(key) else np.full(len(part), -1)
+        other = [chr(c).encode("utf-8", "replace") for c in chars[part[ids < 0]]]
+        many = np.ones(len(part), np.int64)
+        many[ids < 0] = [len(b) for b in other]
+        out = np.repeat(ids, many)
+        out[out < 0] = np.frombuffer(b"".join(other), np.uint8).astype(np.int64) + first_byte
+        ends = np.cumsum(np.bincount(word[part], many, len(words)).astype(np.int64))
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(out, pa.int32()))
+
+
+def joined(word: np.ndarray, place: np.ndarray, k: np.ndarray, rank: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Cut points of BPE words as bits: in each round each word joins its first edge that spans two parts."""
+    one = np.uint64(1)
+    cuts = (one << (size + 1).astype(np.uint64)) - one
+    order = np.argsort(word << 36 | rank << 6 | place)
+    word, start, end = word[order], place[order].astype(np.uint64), (place + k)[order].astype(np.uint64)
+    ends, inside = one << start | one << end, (one << end) - (one << (start + one))
+    while len(word):
+        now = cuts[word]
+        within = now & inside
+        # A cut point never comes back: an edge without its ends is out, and so is one that has become a part.
+        open_ = ((now & ends) == ends) & (within != 0)
+        word, ends, inside, within = word[open_], ends[open_], inside[open_], within[open_]
+        fits = np.flatnonzero((within & (within - one)) == 0)
+        first = fits[np.append(True, np.diff(word[fits]) != 0)[:len(fits)]]
+        cuts[word[first]] &= ~inside[first]
+        going = np.zeros(len(cuts), bool)
+        going[word[first]] = True
+        word, ends, inside = (c[going[word]] for c in (word, ends, inside))
+    return cuts
+
+
+BATCH = 8192  # words whose edges are held at a time
+
+
 def word_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``(word, n, ids)`` of ``words(word, n)``."""
+    return _unigram_codes(words, pieces) if pieces.unigram else _bpe_codes(words, pieces)
+
+
+def _bpe_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
+    lattice, first_byte = Beginnings.of(pieces), pieces.first_byte
+    known = {p: (r, i) for p, r, i in zip(pieces.names, np.unique(-np.array(pieces.scores), return_inverse=True)[1].tolist(), pieces.ids)}
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), BATCH):
+                part = batch.slice(start, BATCH)
+                found = part.column(0).to_pylist()
+                short = np.array([len(w) <= LONG for w in found], bool)
+                few = part.filter(pa.array(short))
+                yield pa.RecordBatch.from_arrays([*few.columns, lattice.encode(few.column(0).to_pylist(), first_byte)], ["word", "n", "ids"])
+                if not short.all():
+                    rest = part.filter(pa.array(~short))
+                    merged = [merge_long(w, known, first_byte) for w in rest.column(0).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(merged, pa.list_(pa.int32()))], ["word", "n", "ids"])
+
+    return words.select("word", "n").mapInArrow(coded, "word string, n long, ids array<int>")
+
+
+def _unigram_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
     size = F.length("word")
     short = size <= LONG
     spans = F.when(short, _spans(F.col("edges")))
     cut = edges(words, pieces).select("word", "n", spans.alias("spans"))
-    if pieces.unigram:
-        cut = cut.withColumn("m", F.when(short, _best(F.col("spans"), size, pieces.scores)))
-    else:
-        cut = cut.withColumn("m", F.when(short, _joined(F.col("spans"), size)))
+    cut = cut.withColumn("m", F.when(short, _best(F.col("spans"), size, pieces.scores)))
     m = F.col("m")
     parts = F.array_sort(F.transform(
         F.filter("spans", lambda e: (m.bitwiseAND(e["ends"]) == e["ends"]) & (m.bitwiseAND(e["inside"]) == 0)),
@@ -245,23 +340,14 @@ def word_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
     ids = F.flatten(F.transform(parts, lambda p: F.when(p["id"] != _NO_PIECE, F.array(p["id"])).otherwise(
         _byte_ids(F.substring(F.col("word"), p["s"] + 1, F.lit(1)), pieces.first_byte))))
     first_byte = pieces.first_byte
-    if pieces.unigram:
-        scored = {p: (s, i) for p, s, i in zip(pieces.names, pieces.scores, pieces.ids)}
-        longest, unknown = pieces.longest, min(pieces.scores) - 10.0
-
-        @F.pandas_udf("array<int>")
-        def best(found: pd.Series) -> pd.Series:
-            return found.map(lambda w: None if w is None else viterbi_long(w, scored, longest, first_byte, unknown))
-
-        coded = cut.select("word", "n", F.when(short, ids).alias("ids"), best(F.when(~short, F.col("word"))).alias("_long"))
-        return coded.select("word", "n", F.coalesce("ids", "_long").alias("ids"))
-    known = {p: (r, i) for p, r, i in zip(pieces.names, np.argsort(np.argsort([-s for s in pieces.scores])).tolist(), pieces.ids)}
+    scored = {p: (s, i) for p, s, i in zip(pieces.names, pieces.scores, pieces.ids)}
+    longest, unknown = pieces.longest, min(pieces.scores) - 10.0
 
     @F.pandas_udf("array<int>")
-    def merged(found: pd.Series) -> pd.Series:
-        return found.map(lambda w: None if w is None else merge_long(w, known, first_byte))
+    def best(found: pd.Series) -> pd.Series:
+        return found.map(lambda w: None if w is None else viterbi_long(w, scored, longest, first_byte, unknown))
 
-    coded = cut.select("word", "n", F.when(short, ids).alias("ids"), merged(F.when(~short, F.col("word"))).alias("_long"))
+    coded = cut.select("word", "n", F.when(short, ids).alias("ids"), best(F.when(~short, F.col("word"))).alias("_long"))
     return coded.select("word", "n", F.coalesce("ids", "_long").alias("ids"))
 
 
