@@ -363,8 +363,8 @@ _LEAD = np.zeros(256, bool)  # first bytes of U+00C0 to U+024F
 _LEAD[0xC3:0xCA] = True
 
 
-def word_starts(data: np.ndarray, signs: str) -> np.ndarray:
-    """Start of each word in the bytes of a prepared text, as ``word_pattern`` cuts it."""
+def word_starts(data: np.ndarray, signs: str, first: np.ndarray) -> np.ndarray:
+    """Start of each word, as ``word_pattern`` cuts it, in the bytes of prepared texts that start at ``first``."""
     if not len(data):
         return np.empty(0, np.int64)
     blank, feed = data == 32, data == 10
@@ -376,7 +376,7 @@ def word_starts(data: np.ndarray, signs: str) -> np.ndarray:
         listed = np.zeros(256, bool)
         listed[np.frombuffer(signs.encode(), np.uint8)] = True
         start[1:] |= listed[data[1:]] & letter[:-1]
-    start[0] = True
+    start[first[first < len(data)]] = True
     return np.flatnonzero(start)
 
 
@@ -385,7 +385,7 @@ def span_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     if not len(at):
         return np.empty((2, 0), np.uint64)
     end = np.append(at[1:], len(data))
-    width = 1 << max(16, int(len(data)).bit_length())
+    width = max([1 << max(16, int(len(data)).bit_length()), *_POWERS])
     if width not in _POWERS:
         _POWERS.clear()
         _POWERS[width] = (powers(_UP, width), powers(_DOWN, width))
@@ -402,6 +402,20 @@ def prepare_bytes(text: str | None) -> bytes:
     return (" " + text.replace("▁", " ")).encode("utf-8", "replace") if text else b""
 
 
+def blocks(texts: Sequence[str | None], most: int = 1 << 20) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """Neighbouring texts, prepared, of at most ``most`` bytes or one text: from, to, bytes, start of each text."""
+    begin, size, held = 0, 0, []
+    for i, text in enumerate(texts):
+        data = prepare_bytes(text)
+        if held and size + len(data) > most:
+            yield begin, i, b"".join(held), np.cumsum([0, *map(len, held[:-1])])
+            begin, size, held = i, 0, []
+        held.append(data)
+        size += len(data)
+    if held:
+        yield begin, begin + len(held), b"".join(held), np.cumsum([0, *map(len, held[:-1])])
+
+
 @dataclass(frozen=True)
 class Frequent:
     """Codes of frequent words, by hash."""
@@ -436,8 +450,8 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.first, a), len(self.first) - 1)
         return np.where((self.first[at] == a) & (self.second[at] == b.astype(np.int32)), at, -1)
 
-    def fill(self, at: np.ndarray, others: list[list[int]]) -> np.ndarray:
-        """The ids of words ``at``; those at -1 have the ids in ``others``, in order."""
+    def fill(self, at: np.ndarray, others: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words ``at`` and how many each has; those at -1 have the ids in ``others``, in order."""
         size = np.where(at >= 0, self.offset[at + 1] - self.offset[at], 0).astype(np.int64) if len(self.first) else np.zeros(len(at), np.int64)
         missing = np.flatnonzero(at < 0)
         size[missing] = [len(o) for o in others]
@@ -449,7 +463,7 @@ class Frequent:
             out[known] = self.ids[(np.repeat(self.offset[at], size) + step)[known]]
         for m, o in zip(missing, others):
             out[to[m]:to[m] + len(o)] = o
-        return out
+        return out, size
 
 
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,
@@ -476,17 +490,15 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_, words = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = prepare_bytes(text)
+            ids, docs_, words = batch.column(0).to_pylist(), [], []
+            for begin, _, data, first in blocks(batch.column(1).to_pylist()):
                 raw = np.frombuffer(data, np.uint8)
-                at = word_starts(raw, signs)
+                at = word_starts(raw, signs, first)
                 missing = np.flatnonzero(shared.value.find(span_hashes(raw, at)) < 0)
-                if len(missing):
-                    end = np.append(at[1:], len(data))
-                    mine = {data[at[m]:end[m]] for m in missing}
-                    docs_.extend([doc] * len(mine))
-                    words.extend(w.decode() for w in mine)
+                end, of = np.append(at[1:], len(data)), np.searchsorted(first, at[missing], "right") - 1
+                mine = {(ids[begin + d], data[i:j]) for d, i, j in zip(of.tolist(), at[missing].tolist(), end[missing].tolist())}
+                docs_.extend(d for d, _ in mine)
+                words.extend(w.decode() for _, w in mine)
             yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(words, pa.string())], ["doc", "word"])
 
     wanted = texts.mapInArrow(rare_words, "doc long, word string")
@@ -502,19 +514,23 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         press = zstandard.ZstdDecompressor()
         for batch in batches:
             for start in range(0, len(batch), 512):
-                part, ids, out = batch.slice(start, 512), [], []
-                for packed, own in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    text = None if packed is None else press.decompress(packed).decode()
-                    data = prepare_bytes(text)
+                some = batch.slice(start, 512)
+                texts = [None if p is None else press.decompress(p).decode() for p in some.column(1).to_pylist()]
+                for begin, stop, data, first in blocks(texts):
+                    part = some.slice(begin, stop - begin)
+                    own = [{r["word"].encode(): r["ids"] for r in rows or []} for rows in part.column(2).to_pylist()]
                     raw = np.frombuffer(data, np.uint8)
-                    at = word_starts(raw, signs)
+                    at = word_starts(raw, signs, first)
                     found, end = shared.value.find(span_hashes(raw, at)), np.append(at[1:], len(data))
-                    own = {r["word"].encode(): r["ids"] for r in own or []}
-                    ids.append(shared.value.fill(found, [own[data[at[m]:end[m]]] for m in np.flatnonzero(found < 0)]))
-                    out.append(text)
-                coded = pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string()), pa.array(ids, pa.list_(pa.int32()))],
-                                                   ["doc", "text", "ids"])
-                yield coded if then is None else then[0](coded)
+                    missing = np.flatnonzero(found < 0)
+                    of = np.searchsorted(first, at[missing], "right") - 1
+                    ids, many = shared.value.fill(found, [own[d][data[at[m]:end[m]]] for d, m in zip(of, missing)])
+                    # Ids before each text: those of all words before its first one.
+                    offset = np.append(0, np.cumsum(many))[np.append(np.searchsorted(at, first), len(at))]
+                    coded = pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(texts[begin:stop], pa.string()),
+                         pa.ListArray.from_arrays(pa.array(offset, pa.int32()), pa.array(ids, pa.int32()))], ["doc", "text", "ids"])
+                    yield coded if then is None else then[0](coded)
 
     met = texts.mapInArrow(pack, "doc long, packed binary").join(lists, "doc", "left").select("doc", "packed", "rare")
     coded = met.mapInArrow(code, "doc long, text string, ids array<int>" if then is None else then[1])
