@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding by a relational lattice.
 
-A text, with a blank in front, is cut before each run of blanks, around line feeds, and
-between a letter and those signs that no piece has after a letter.  No piece crosses such a
-cut, so every distinct word of the corpus is encoded once:
+A text, with a blank in front, is cut into words wherever no piece has the two neighbouring bytes
+side by side: before a run of blanks, around line feeds, between most letters and signs.  No piece
+crosses such a cut, so every distinct word of the corpus is encoded once:
 
-1. The words are grouped and counted; the grouping also places each word in one partition.
+1. The words are counted, first within a task, then by a grouping.
 2. The lattice of a word: its substrings of at most the longest piece's length meet the piece
    table (a vocabulary, hence bounded) by equality, and the matches are the edges, grouped by
    word.
@@ -31,8 +31,8 @@ from __future__ import annotations
 
 import heapq
 import json
-import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -49,8 +49,6 @@ from .wordhash import mix, powers
 FREQUENT = 1 << 20
 LONG = 60  # characters of a word whose cut points fit in one number
 NO_ID = (1 << 63) - 1
-SIGNS = ",.;:!?\"'()-"
-LETTER = "0-9A-Za-z\u00c0-\u024f"
 
 
 @dataclass(frozen=True)
@@ -78,18 +76,14 @@ class Pieces:
     def longest(self) -> int:
         return max(map(len, self.names))
 
-    @property
-    def signs(self) -> str:
-        """The signs before which a word may be cut, if a letter stands there."""
-        return "".join(c for c in SIGNS if not any(re.search(f"[{LETTER}]{re.escape(c)}", n) for n in self.names))
-
-    @property
-    def word_pattern(self) -> str:
-        if not self.signs:
-            return r"\n| *[^ \n]+| +"
-        signs = "".join("\\" + c for c in self.signs)
-        # The possessive repeat runs in a loop, the usual one would recurse into a long word.
-        return rf"\n| *[^ \n](?:[^ \n{signs}]|(?<![{LETTER}])[{signs}])*+| +"
+    def apart(self) -> np.ndarray:
+        """Whether a text may be cut between two bytes, by both: no piece has them side by side."""
+        out = np.ones((256, 256), bool)
+        for name in self.names:
+            raw = np.frombuffer(name.encode("utf-8", "replace"), np.uint8)
+            out[raw[:-1], raw[1:]] = False
+        out[:, 0x80:0xC0] = False  # inside a character
+        return out
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rank = {s: r for r, s in enumerate(sorted(set(self.scores), reverse=True))}
@@ -97,15 +91,29 @@ class Pieces:
         return spark.createDataFrame(rows, "piece string, id int, score double, rank int")
 
 
-def prepared(text: Column) -> Column:
-    """The text as it is cut into words: blanks for U+2581 and one in front, unless there is nothing."""
-    return F.when(F.length(text) > 0, F.concat(F.lit(" "), F.replace(text, F.lit("▁"), F.lit(" ")))).otherwise("")
+HELD = 200_000  # distinct words that a task counts before it passes them on
 
 
 def word_counts(docs: DataFrame, pieces: Pieces, text_col: str) -> DataFrame:
-    words = F.regexp_extract_all(prepared(F.coalesce(F.col(text_col), F.lit(""))), F.lit(pieces.word_pattern), 0)
-    exploded = docs.select(F.explode_outer(words).alias("word")).where("word is not null")
-    return exploded.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    apart = pieces.apart()
+
+    def passed(held: Counter[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+        for batch in batches:
+            for _, _, data, first in blocks(batch.column(0).to_pylist()):
+                at = word_starts(np.frombuffer(data, np.uint8), apart, first).tolist()
+                held.update([data[i:j] for i, j in zip(at, [*at[1:], len(data)])])
+                if len(held) >= HELD:
+                    yield passed(held)
+                    held.clear()
+        if held:
+            yield passed(held)
+
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(counted, "word string, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 # An edge is one number, so that a word's edges sort fast: rank, place, length, id.
@@ -357,25 +365,12 @@ _SECOND = mix(np.arange(1001, 1257, dtype=np.uint64))
 _UP = np.uint64(0x9E3779B97F4A7C15)
 _DOWN = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
-_LEAD = np.zeros(256, bool)  # first bytes of U+00C0 to U+024F
-_LEAD[0xC3:0xCA] = True
-
-
-def word_starts(data: np.ndarray, signs: str, first: np.ndarray) -> np.ndarray:
-    """Start of each word, as ``word_pattern`` cuts it, in the bytes of prepared texts that start at ``first``."""
-    if not len(data):
-        return np.empty(0, np.int64)
-    blank, feed = data == 32, data == 10
-    start = feed.copy()
-    start[1:] |= feed[:-1] | (blank[1:] & ~blank[:-1])
-    if signs:
-        letter = _LETTER[data]
-        letter[1:] |= (data[1:] & 0xC0 == 0x80) & _LEAD[data[:-1]]
-        listed = np.zeros(256, bool)
-        listed[np.frombuffer(signs.encode(), np.uint8)] = True
-        start[1:] |= listed[data[1:]] & letter[:-1]
+
+
+def word_starts(data: np.ndarray, apart: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Start of each word in the bytes of prepared texts that start at ``first``."""
+    start = np.zeros(len(data), bool)
+    start[1:] = apart[data[:-1], data[1:]]
     start[first[first < len(data)]] = True
     return np.flatnonzero(start)
 
@@ -474,7 +469,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     codes are made, which spares a second Python worker for each task.
     """
     spark = docs.sparkSession
-    signs = pieces.signs
+    apart = pieces.apart()
     codes = stage(word_codes(word_counts(docs, pieces, text_col), pieces))
     # How many words are how frequent, by powers of two: at most 63 rows.
     level = F.floor(F.log2("n")).cast("int")
@@ -493,7 +488,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             ids, docs_, words = batch.column(0).to_pylist(), [], []
             for begin, _, data, first in blocks(batch.column(1).to_pylist()):
                 raw = np.frombuffer(data, np.uint8)
-                at = word_starts(raw, signs, first)
+                at = word_starts(raw, apart, first)
                 missing = np.flatnonzero(shared.value.find(span_hashes(raw, at)) < 0)
                 end, of = np.append(at[1:], len(data)), np.searchsorted(first, at[missing], "right") - 1
                 mine = {(ids[begin + d], data[i:j]) for d, i, j in zip(of.tolist(), at[missing].tolist(), end[missing].tolist())}
@@ -520,7 +515,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                     part = some.slice(begin, stop - begin)
                     own = [{r["word"].encode(): r["ids"] for r in rows or []} for rows in part.column(2).to_pylist()]
                     raw = np.frombuffer(data, np.uint8)
-                    at = word_starts(raw, signs, first)
+                    at = word_starts(raw, apart, first)
                     found, end = shared.value.find(span_hashes(raw, at)), np.append(at[1:], len(data))
                     missing = np.flatnonzero(found < 0)
                     of = np.searchsorted(first, at[missing], "right") - 1
