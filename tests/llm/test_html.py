@@ -1,3 +1,6 @@
+from collections import Counter
+from html.parser import HTMLParser
+
 import pytest
 
 from strophe.llm.html import extract, op5_html_text, visible_text
@@ -62,6 +65,83 @@ def test_query(spark):
     assert not any("<p>" in r.text or "track(" in r.text for r in rows)
 
 
+class Words(HTMLParser):
+    """Another reader: events only, for pages whose elements all end or need no end."""
+
+    def __init__(self):
+        super().__init__()
+        self.words, self.off = [""], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.off += tag in ("head", "script", "style")
+        self.words.append("" if tag in ("a", "b") else " - " if tag == "li" else " ")
+
+    def handle_endtag(self, tag):
+        self.off -= tag in ("head", "script", "style")
+        self.words.append("" if tag in ("a", "b") else " ")
+
+    def handle_data(self, data):
+        if not self.off:
+            self.words.append(data)
+
+
+def test_same_words_as_another_reader(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r.page_id: r.text for r in op5_html_text(spark, folder).select("page_id", "text").collect()}
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    assert len(got) == len(pages) == 250
+    for page in pages:
+        plain = Words()
+        plain.feed(page.html)
+        plain.close()
+        assert Counter(got[page.page_id].split()) == Counter("".join(plain.words).split()), page.page_id
+
+
+CARD = "<div class='a x' id=i><p class='b y'>seen</p></div>"
+
+
+@pytest.mark.parametrize("css,shown", [
+    (".a .y{display:none}", False), (".a > .y{display:none}", False), ("div.x{display:none}", False), ("body .b.y{display:none}", False),
+    ("p.x{display:none}", True), (".y .a{display:none}", True), ("body>.y{display:none}", True), (".a.y{display:none}", True),
+    ("#i p[class]{display:none}", False), ("p[class='y']{display:none}", True), ("*{display:none}", False), ("div[id=i]{display:none}", False),
+    (".x{display:none}.x{display:block}", True), (".x{display:block}.x{display:none}", False),
+    ("#i{display:block}.x{display:none}", True), ("#i{display:block}.x{display:none!important}", False),
+    (".x:hover{display:none}", True), (".x:hover,.y{display:none}", False), (":is(.q,.y,.r){display:none}", True), (".q + .y{display:none}", True),
+    (".x{--foo-display:none;content-visibility:hidden}", True), (".X{display:none}", True), (".x{DISPLAY : None}", False),
+    (".x{visibility:hidden}", False), (".x{visibility:hidden}.y{visibility:visible}", True), (".x{display:none}.y{display:block}", False),
+    ("<!-- -->.q{color:red}", True), (".x{display:none;display:block}", True), (".x{display:none;display:}", False),
+])
+def test_cascade(css, shown):
+    assert visible_text(f"<!DOCTYPE html><style>{css}</style><body>{CARD}") == ("seen" if shown else "")
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<head><title>T</title><p>Hello", "Hello"), ("<head>\n<meta charset=x>Hello", "Hello"), ("<head><noscript><p>no</p></noscript><p>x</p></head>y", "x\n\ny"),
+    ("<style>.x{display:none}</style><p class=x style='display:block'>seen", "seen"),
+    ("<style>.x{display:none!important}</style><p class=x style='display:block'>no", ""),
+    ("<!-- <style>p{display:none}</style> --><script>'<style>p{display:none}</style>'</script><p>seen", "seen"),
+    ("<div style='visibility:hidden'>no <b style='visibility:visible'>seen</b> no<ul><li>no</ul></div>", "seen"),
+    ("<style>.X{display:none}</style><p class=x>no", ""), ("<p hidden>no<p hidden style='display:block'>seen", "seen"),
+    ("<details>no<summary>head</summary>no<p>no<summary>no</summary></details>x", "head\nx"),
+    ("<details open><summary>head</summary>more</details>", "head\nmore"), ("a<dialog>no</dialog><dialog open>b</dialog>", "a\nb"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ("<table><tr><td>a<td rowspan=0>b<tr><td>c<td>d<tbody><tr><td>e<td>f</table>", "a  b\nc     d\ne  f"),
+    ("<table><tr><td colspan=2>long words<td>z<tr><td>a<td>b<td>c</table>", "long words  z\na  b        c"),
+    ("<table><td>a<td>b<tr><td>c<td>d</table>", "a  b\nc  d"),
+    ("<table><tr><td>x<ul><li>one<li>two</ul><td>y<tr><td><pre>a  b\nc</pre><td>z</table>", "x      y\n- one\n- two\na  b   z\nc"),
+    ("<ol><li>a<li value=7>b<li>c<li value=x>d</ol>", "1. a\n7. b\n8. c\n9. d"), ("<ol reversed><li>a<li>b</ol>", "2. a\n1. b"),
+    ("<table>" * 300 + "<td>x", "x"),
+])
+def test_seen_and_laid_out(html, text):
+    assert visible_text(html) == text
+
+
+def test_deep_tables_and_many_rules():
+    html = "<style>" + "".join(f".a{i} .b{i}{{display:none}}" for i in range(5_000)) + "</style>"
+    html += "<table><tr><td>n " * 60 + "<p class=b7>seen</p>" + "<div class=a7><p class=b7>no</div>" * 500 + "</table>" * 60
+    assert visible_text(html).split() == ["n"] * 60 + ["seen"]
+
+
 @pytest.mark.parametrize("style,shown", [
     ("<style>@media print{.x{display:none}}</style>", True),
     ("<style>@media (max-width:600px){.x,p{display:none}}</style>", True),
