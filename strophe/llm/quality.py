@@ -1,6 +1,6 @@
 """Quality rules as a short-circuit cascade, in built-in column functions only.
 
-Every rule is a boolean column that is true where a text fails.  ``Cascade.fit`` runs each
+Every rule gives a boolean column that is true where a text fails.  ``Cascade.fit`` runs each
 rule on a sample, takes the time per row as its cost and the share of failing rows as its
 selectivity, and orders rules by rejections per cost.  ``Cascade.keep`` is a CASE chain in
 that order, so an expensive rule only sees texts that the cheaper and sharper ones passed.
@@ -8,13 +8,14 @@ The verdict is the conjunction of all rules and does not depend on the order: on
 work does, hence a different timing on a rerun changes no result.
 
 Nulls: a null text is an empty one, and an empty text fails (too few words).  Ids, ties,
-repeated rows and other columns play no part: each row is judged by its own text.
+repeated rows and other columns play no part: each row is judged by its own text, however
+long.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -74,27 +75,27 @@ def symbols(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` is true for a text to reject; it may use the columns ``_text`` and ``_words``."""
+    """``fails`` gives, for a text and its words, a column that is true for a text to reject."""
 
     name: str
-    fails: Column
+    fails: Callable[[Column, Column], Column]
 
 
 def base_rules() -> list[Rule]:
-    words, n = F.col("_words"), F.size("_words")
-    return [Rule("too_short", n < 20), Rule("repetitive", 100 * repeat_words(words) > 30 * n)]
+    return [Rule("too_short", lambda text, words: F.size(words) < 20),
+            Rule("repetitive", lambda text, words: 100 * repeat_words(words) > 30 * F.size(words))]
 
 
 def content_rules() -> list[Rule]:
     """Limits far outside prose, so that clean texts pass whatever their language."""
-    text, words, n = F.col("_text"), F.col("_words"), F.size("_words")
-    wordy = F.size(F.filter(words, lambda w: F.rlike(w, F.lit(r"\p{L}"))))
-    lines = F.size(F.split(text, "\n"))
+    def wordy(words: Column) -> Column:
+        return F.size(F.filter(words, lambda w: F.rlike(w, F.lit(r"\p{L}"))))
+
     return [
-        Rule("symbols", 10 * symbols(text) > n),
-        Rule("word_length", ~word_chars(words).between(2 * n, 15 * n)),
-        Rule("repeated_lines", 100 * repeated_lines(text) > 30 * lines),
-        Rule("not_words", 100 * wordy < 60 * n),
+        Rule("symbols", lambda text, words: 10 * symbols(text) > F.size(words)),
+        Rule("word_length", lambda text, words: ~word_chars(words).between(2 * F.size(words), 15 * F.size(words))),
+        Rule("repeated_lines", lambda text, words: 100 * repeated_lines(text) > 30 * F.size(F.split(text, "\n"))),
+        Rule("not_words", lambda text, words: 100 * wordy(words) < 60 * F.size(words)),
     ]
 
 
@@ -125,15 +126,16 @@ class Cascade:
         idle = min(run(F.lit(False))[0] for _ in range(2))
         scored = []
         for at, rule in enumerate(rules):
-            seconds, n, failed = min(run(rule.fails) for _ in range(2))
+            seconds, n, failed = min(run(rule.fails(F.col("_text"), F.col("_words"))) for _ in range(2))
             scored.append((-(failed + 1) / (n + 1) / max(seconds - idle, 1e-3), at, rule))
         return Cascade([rule for *_, rule in sorted(scored, key=lambda s: s[:2])])
 
-    def keep(self, first: Column | None = None) -> Column:
+    def keep(self, first: Column | None = None, text: Column | str = "_text", words: Column | str = "_words") -> Column:
         """True for a text that no rule rejects; ``first``, if given, is a rejection known already."""
+        text, words = [F.col(c) if isinstance(c, str) else c for c in (text, words)]
         chain = F.when(F.lit(False) if first is None else first, F.lit(False))
         for rule in self.rules:
-            chain = chain.when(rule.fails, F.lit(False))
+            chain = chain.when(rule.fails(text, words), F.lit(False))
         return chain.otherwise(F.lit(True))
 
 
@@ -149,17 +151,20 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def measured_rules() -> list[Rule]:
     """The content rules over counts that ``measures`` has taken already."""
-    known = {"symbols": F.expr("10 * n_symbols > n_words"),
-             "word_length": F.expr("not word_chars between 2 * n_words and 15 * n_words"),
-             "repeated_lines": 100 * F.col("n_dup_lines") > 30 * F.size(F.split("_text", "\n"))}
+    known = {"symbols": lambda text, words: F.expr("10 * n_symbols > n_words"),
+             "word_length": lambda text, words: F.expr("not word_chars between 2 * n_words and 15 * n_words"),
+             "repeated_lines": lambda text, words: 100 * F.col("n_dup_lines") > 30 * F.size(F.split(text, "\n"))}
     return [Rule(r.name, known.get(r.name, r.fails)) for r in content_rules()]
 
 
 def good_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, unchanged."""
+    """The rows of ``docs`` that no rule rejects, unchanged.
+
+    Words are bound once for all rules: as a column, the optimizer would put the split into each of them.
+    """
     cascade = Cascade.fit(docs, base_rules() + content_rules(), text_col)
-    rows = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_given"))
-    return with_words(rows, "_given").where(cascade.keep()).select("_row.*")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.where(let(word_array(text), lambda words: cascade.keep(text=text, words=words)))
 
 
 @query("""
