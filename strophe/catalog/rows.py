@@ -9,6 +9,7 @@ from ..functions.text import bracket_tags, parse_setstring
 from ..operators import counts as C, rows as R
 from ..operators.substrings import substring_matches
 from ..operators.ordered import with_row_id
+from ..operators.positions import Positions
 from ..operators.unnest import unnest
 from ..wordlists import EMOTIONS, GENRES
 from .base import SONGS_SQL, STANZA_ROWS_SQL, literals, query, songs, stanza_rows, table
@@ -135,6 +136,31 @@ def row_slice(spark, folder):
     return C.row_slice(rows, "l_orderkey", 100, 5000)
 
 
+def _lines(spark, folder) -> Positions:
+    return Positions.of(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey", "l_linenumber", "l_quantity"])
+
+
+_PLACES_SQL = """WITH placed AS (
+    SELECT l_orderkey, l_linenumber, l_quantity, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_quantity) - 1 AS place,
+           count(*) OVER () AS total FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_quantity, place FROM placed WHERE """
+
+
+@query(_PLACES_SQL + "place < 1000")
+def row_head(spark, folder):
+    return _lines(spark, folder).head(1000, "place")
+
+
+@query(_PLACES_SQL + "place >= total - 1000")
+def row_tail(spark, folder):
+    return _lines(spark, folder).tail(1000, "place")
+
+
+@query(_PLACES_SQL.replace(", place FROM placed", " FROM placed") + "place >= 1300 AND place < total - 1700")
+def row_between(spark, folder):
+    return _lines(spark, folder).between(1300, -1700)
+
+
 @query("SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)) AS duplicates FROM events")
 def duplicate_count(spark, folder):
     return R.duplicate_count(table(spark, folder, "events"), ["user_id", "event_type"])

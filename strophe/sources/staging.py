@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back."""
+def stage(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder, a folder for each value of ``by``, and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/strophe/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strophe.operators import counts as C, joins as J, ordered as O, rows as R, sampling as S, sections as E, substrings as B, terms as K
+from strophe.operators.positions import Positions
 from strophe.sources.staging import stage
 
 
@@ -373,3 +374,36 @@ def test_samples_of_rows_with_several_keys(spark):
 def test_lookup_joins_by_bytes(spark):
     table = spark.createDataFrame([(1, "x" * 100, [1, 2]), (2, None, None)], "key int, text string, list array<int>")
     assert 120 < J.data_bytes(table) < 200
+
+
+def test_positions(spark):
+    values = [None, *range(0, 400, 2), 7, 7, 7]
+    df = spark.createDataFrame([(v, f"r{i}", i) for i, v in enumerate(values)], "v int, name string, _slice int").repartition(7)
+    order = [F.col("v"), F.col("_slice").desc()]
+    want = sorted(((v, f"r{i}", i) for i, v in enumerate(values)), key=lambda r: (r[0] is not None, r[0] or 0, -r[2]))
+    placed = Positions.of(df, order, slices=9)
+    assert placed.total == len(want)
+    for start, stop in [(None, None), (0, 1), (3, 4), (5, 150), (-30, None), (-500, 20), (100, -50), (50, 50), (60, 10), (900, None), (None, 900)]:
+        got = placed.between(start, stop, "place")
+        assert got.columns == ["v", "name", "_slice", "place"]
+        assert sorted(tuple(r) for r in got.select("place", "name").collect()) == [(i, want[i][1]) for i in range(len(want))[start:stop]]
+        assert sorted(r.name for r in placed.between(start, stop).collect()) == sorted(r[1] for r in want[start:stop])
+    assert sorted(r.name for r in placed.head(4).collect()) == sorted(r[1] for r in want[:4])
+    assert sorted(r.name for r in placed.tail(4).collect()) == sorted(r[1] for r in want[-4:])
+    assert placed.tail(0).count() == placed.head(0).count() == placed.head(-3).count() == 0
+    with pytest.raises(ValueError):
+        placed.head(2, "NAME")
+
+
+def test_positions_read_touched_folders_only(spark):
+    placed = Positions.of(spark.range(10_000), ["id"], slices=20)
+    part = placed.between(4_000, 5_000)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "before" not in line]
+    assert len(scans) == 2 and all("_slice" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+    assert sorted(r.id for r in part.collect()) == list(range(4_000, 5_000))
+
+
+def test_positions_of_an_empty_table(spark):
+    placed = Positions.of(spark.createDataFrame([], "v int"), ["v"])
+    assert placed.total == 0 and placed.head(3, "place").collect() == [] and placed.between().count() == 0
