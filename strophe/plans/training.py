@@ -22,7 +22,7 @@ from ..operators.models import (
 )
 from ..operators.rows import bools_to_int, encode_label
 from ..operators.search import WEIGHT, search
-from ..operators.sampling import Key, downsample, key_columns, random_split, sample_n, train_val_test
+from ..operators.sampling import Key, downsample, key_columns, random_split, sample_n, train_val_test, with_class_weight
 from ..operators.terms import (
     Scaling, chi2_select, fit_scaling, fit_terms, fit_vocab, postings, tfidf_transform, to_sequences,
 )
@@ -61,14 +61,16 @@ def text_spec(**limits) -> FeatureSpec:
 
 def fit_forest(train: DataFrame, params: dict | None = None, classes: Sequence[str] = EMOTIONS,
                spec: FeatureSpec | None = None) -> PipelineModel:
-    params = dict(params or {})
+    """A forest with ``params`` as a search returns them, ``class_weight`` included."""
+    train, params = _class_weighted(train, params or {})
     shape = {k: params.pop(k) for k in ("max_features", "ngram") if k in params}
     return fit_classifier(train, lambda ready: random_forest(**params), spec or mixed_spec(**shape), classes=classes)
 
 
 def fit_svm(train: DataFrame, params: dict | None = None, classes: Sequence[str] = EMOTIONS,
             spec: FeatureSpec | None = None) -> PipelineModel:
-    params = {"c": 0.9, **(params or {})}
+    """Linear SVMs, one against the rest, with ``params`` as a search returns them, ``class_weight`` included."""
+    train, params = _class_weighted(train, {"c": 0.9, **(params or {})})
     shape = {k: params.pop(k) for k in ("max_features", "ngram") if k in params}
     return fit_classifier(train, lambda ready: svm_one_vs_rest(n=ready.count(), **params),
                           spec or mixed_spec(**shape), classes=classes)
@@ -109,23 +111,31 @@ def train_and_evaluate(df: DataFrame, fit: Callable[[DataFrame], Model], test: f
 
 
 def _weighted(params: dict) -> dict:
-    """``class_weight`` as the weight column of the fold store."""
-    params = dict(params)
-    return params | {"weight": WEIGHT} if params.pop("class_weight", None) == "balanced" else params
+    """``class_weight``, "balanced" or None, as the weight column of the fold store."""
+    kind, rest = params.get("class_weight"), _without(params, "class_weight")
+    if kind not in (None, "balanced"):
+        raise ValueError(f"class_weight is \"balanced\" or None, not {kind}")
+    return rest | {"weight": WEIGHT} if kind else rest
+
+
+def _class_weighted(train: DataFrame, params: dict) -> tuple[DataFrame, dict]:
+    """The rows with balanced weights if ``params`` ask for them, and the other parameters."""
+    weighted = _weighted(params)
+    return (with_class_weight(train.drop(WEIGHT), "label", WEIGHT) if params.get("class_weight") else train), weighted
 
 
 def search_forest(train: DataFrame, n_iter: int = 20, k: int = 5, grid: dict | None = None,
                   classes: Sequence[str] = EMOTIONS, **options) -> tuple[dict, DataFrame]:
     """Random search of forests; ``class_weight`` may be part of the grid."""
     spec = lambda shape: mixed_spec(**({"max_features": TREE_TERMS} | {n: v for n, v in shape.items() if v is not None}))
-    return search(train, spec, lambda p, n: random_forest(**_without(_weighted(p), "class_weight")), grid or FOREST_GRID,
+    return search(train, spec, lambda p, n: random_forest(**_weighted(p)), grid or FOREST_GRID,
                   n_iter=n_iter, k=k, classes=classes, **options)
 
 
 def search_svm(train: DataFrame, n_iter: int = 2, k: int = 3, grid: dict | None = None,
                classes: Sequence[str] = EMOTIONS, **options) -> tuple[dict, DataFrame]:
     """Random search of linear SVMs, one against the rest."""
-    return search(train, lambda shape: mixed_spec(**shape), lambda p, n: svm_one_vs_rest(n=n, **_without(_weighted(p), "class_weight")),
+    return search(train, lambda shape: mixed_spec(**shape), lambda p, n: svm_one_vs_rest(n=n, **_weighted(p)),
                   grid or SVM_GRID, n_iter=n_iter, k=k, classes=classes, **options)
 
 

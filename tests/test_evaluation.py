@@ -114,6 +114,22 @@ def test_chi2_forest(stanzas):
     assert accuracy(P.fit_chi2_forest(stanzas, k=9, classes=CLASSES, trees=10), stanzas) > .9
 
 
+@pytest.mark.parametrize("fit,params", [(P.fit_forest, {"trees": 5, "depth": 2}), (P.fit_svm, {"c": 0.01})])
+def test_balanced_weights_find_the_rare_class(spark, fit, params):
+    # One row in ten is of the rare class, and half of the rows that look like it are not.
+    rows = [(i, 1, "a" if i % 10 else "b", "dull words" if i % 10 > 1 else "rare sign", f"t{i % 3}", 2, 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, stanza_number int, label string, text_str string, title string, n_lines int, weight int")
+    spec = FeatureSpec(texts=[TextColumn("text_str")], scaled=(), booleans=())
+
+    def found(**more):
+        model = fit(df, params | more, ["a", "b"], spec)
+        return L.predict(model, df, ["label"]).where("label = 'b' and predicted = 'b'").count()
+
+    assert found(class_weight="balanced") == 20 > found(class_weight=None)
+    with pytest.raises(ValueError):
+        fit(df, {"class_weight": "heavy"}, ["a", "b"], spec)
+
+
 def test_search_is_repeatable(stanzas):
     grid = {"trees": [2, 4, 6], "depth": [2, 3], "ngram": [(1, 1), (1, 2)]}
     assert L.draw_parameters(grid, 5) == L.draw_parameters(grid, 5)
