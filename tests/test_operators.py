@@ -84,6 +84,17 @@ def test_salted_and_broadcast_lookup_agree(spark, hot, how):
     assert sorted(map(str, small.select(key).collect())) == sorted(map(str, large.select(key).collect()))
 
 
+def test_only_hot_keys_are_copied(spark, hot, monkeypatch):
+    monkeypatch.setattr(J, "HOT_ROWS", 500)
+    facts = hot.withColumn("key", F.when(F.col("v") > 0, F.col("key")))
+    keys = J.hot_keys(facts, ["key"])
+    assert sorted(r["key"] or "" for r in keys.collect()) == ["", "hot"]  # the rows without a key are many too
+    table = stage(spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(200)], (None, 7)], "key string, w int"))
+    assert J._copies(table, keys, ["key"], 32).count() == 202 + 31
+    small = facts.join(table, "key", "left")
+    assert sorted(map(str, small.collect())) == sorted(map(str, J.salted_join(facts, table, ["key"], "left").select(small.columns).collect()))
+
+
 def test_substring_matches(spark, rows):
     tags = spark.createDataFrame([("[Ann]",), ("[Bobby]",), ("[Verse]",), ("[Ann]",), (None,)], "tag string")
     names = spark.createDataFrame([("Ann",), ("Bo",), ("",), (None,), ("Verse]x",)], "artist string")
