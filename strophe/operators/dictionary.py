@@ -1,21 +1,24 @@
 """Looking tokens up inside the row.
 
-A dictionary of checked size goes to the tasks.  For each batch of rows the distinct tokens are
-looked up once and the results are put back by position in Arrow, so the wide row is neither
-taken apart nor shuffled.
+A dictionary of checked size goes to the tasks.  For each batch of rows the tokens are
+looked up and the results are put back by position in Arrow, so the wide row is neither
+taken apart nor shuffled, and no token becomes an object of Python.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .joins import BROADCAST_BYTES, data_bytes
 
+PART = 1 << 18  # tokens looked up at a time, so that what is made of a batch of long texts does not grow with it
+
 
 class Dictionary:
     """Look-ups in a table of few bytes, by key."""
@@ -25,32 +28,32 @@ class Dictionary:
 
     def replace(self, tokens: Column) -> Column:
         """Each token by its value, itself where it has none; null arrays and null tokens stay."""
-        known = self.rows
+        keys, values, size = pa.array(self.rows.keys(), pa.string()), pa.array(self.rows.values(), pa.string()), PART
 
         def run(lists: pa.Array) -> pa.Array:
-            coded = lists.values.dictionary_encode()
-            words = pa.array([known.get(w, w) for w in coded.dictionary.to_pylist()], pa.string())
+            words = [pa.array([], pa.string())]
+            for at in range(0, len(lists.values), size):
+                part = lists.values.slice(at, size).cast(pa.string())
+                words.append(pc.coalesce(values.take(pc.index_in(part, keys)), part))
             offsets = pa.array(lists.offsets.to_numpy())
-            return pa.ListArray.from_arrays(offsets, words.take(coded.indices), mask=lists.is_null() if lists.null_count else None)
+            return pa.ListArray.from_arrays(offsets, pa.concat_arrays(words),
+                                            mask=lists.is_null() if lists.null_count else None)
 
         run.__annotations__ = {"lists": pa.Array, "return": pa.Array}
         return arrow_udf(run, "array<string>")(tokens)
 
     def summed(self, tokens: Column, width: int) -> Column:
         """The sum of the values (arrays of ``width`` numbers) of all tokens; zeros without any."""
-        at = {key: i for i, key in enumerate(self.rows)}
-        values = np.array([*self.rows.values(), [0.0] * width], np.float64)
+        keys, values, size = pa.array(self.rows.keys(), pa.string()), np.array([*self.rows.values()], np.float64).reshape(-1, width), PART
 
         def run(lists: pa.Array) -> pa.Array:
-            coded = lists.values.dictionary_encode()
-            places = np.array([*[at.get(w, len(at)) for w in coded.dictionary.to_pylist()], len(at)])
-            codes = coded.indices.fill_null(len(places) - 1).to_numpy(zero_copy_only=False)
             offsets = lists.offsets.to_numpy()
-            rows = np.repeat(np.arange(len(lists)), np.diff(offsets))
-            used = places[codes[offsets[0]:offsets[-1]]]
-            hit = used < len(at)
-            sums = np.zeros((len(lists), width))
-            np.add.at(sums, rows[hit], values[used[hit]])
+            sums, end = np.zeros((len(lists), width)), int(offsets[-1])
+            for at in range(int(offsets[0]), end, size):
+                part = lists.values.slice(at, min(size, end - at)).cast(pa.string())
+                found = pc.fill_null(pc.index_in(part, keys), -1).to_numpy(zero_copy_only=False)
+                hit = np.flatnonzero(found >= 0)
+                np.add.at(sums, np.searchsorted(offsets, hit + at, "right") - 1, values[found[hit]])
             return pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * width), pa.array(sums.ravel()))
 
         run.__annotations__ = {"lists": pa.Array, "return": pa.Array}

@@ -1,5 +1,6 @@
 """Golden cases and invariants of the table operators."""
 
+import inspect
 import math
 
 import pytest
@@ -142,6 +143,20 @@ def test_dictionary_leaves_the_wide_row_where_it_is(spark):
     assert {r.id: r.lemmas for r in far.collect()} == {k: v for k, v in got.items() if k < 4}
 
 
+def test_dictionary_takes_a_batch_in_parts(spark, monkeypatch):
+    """Results do not depend on where a part ends, and no word of a batch becomes an object of Python."""
+    from strophe.operators import dictionary as D
+    data = [["a", "b", None, "c"], [], None, ["b"], ["zz", "a", "a", "b", "a"], []]
+    monkeypatch.setattr(D, "PART", 3)
+    assert "to_pylist" not in inspect.getsource(D.Dictionary)
+    df = spark.createDataFrame(list(enumerate(data)), "id int, t array<string>").coalesce(1)
+    words = D.Dictionary([("a", "x"), ("b", "y")]).replace(F.col("t"))
+    sums = D.Dictionary([("a", [1.0, 0.5]), ("b", [0.0, 2.0])]).summed(F.col("t"), 2)
+    got = [(r.w, r.s) for r in df.select("id", words.alias("w"), sums.alias("s")).orderBy("id").collect()]
+    assert got == [(["x", "y", None, "c"], [1.0, 2.5]), ([], [0.0, 0.0]), (None, [0.0, 0.0]), (["y"], [0.0, 2.0]),
+                   (["zz", "x", "x", "y", "x"], [3.0, 3.5]), ([], [0.0, 0.0])]
+
+
 def test_induced_lexicon_by_plain_counting(spark):
     import math
     from strophe.operators.lexicon import associations, induced_lexicon, seed_terms
