@@ -281,3 +281,12 @@ def test_pairwise_svm_from_disk(spark, stanzas, tmp_path):
     again = PairwiseSVM.load(str(tmp_path / "svm"))
     keys = ["id", "stanza_number"] if "stanza_number" in stanzas.columns else ["id"]
     assert sorted(map(tuple, predict(again, stanzas, keys).collect())) == sorted(map(tuple, predict(model, stanzas, keys).collect()))
+
+
+def test_values_of_a_vector_are_those_it_holds(spark):
+    """A wide vector is not filled up with zeros."""
+    from pyspark.ml.linalg import Vectors
+    from strophe.operators.features import stored_values
+    rows = [(1, Vectors.sparse(1_000_000, [3, 70], [0.5, -2.0])), (2, Vectors.dense([0.0, 4.0])), (3, Vectors.sparse(5, [], []))]
+    df = spark.createDataFrame(rows, ["id", "v"])
+    assert [r.v for r in df.select("id", stored_values(F.col("v")).alias("v")).orderBy("id").collect()] == [[0.5, -2.0], [0.0, 4.0], []]
