@@ -290,3 +290,12 @@ def test_values_of_a_vector_are_those_it_holds(spark):
     rows = [(1, Vectors.sparse(1_000_000, [3, 70], [0.5, -2.0])), (2, Vectors.dense([0.0, 4.0])), (3, Vectors.sparse(5, [], []))]
     df = spark.createDataFrame(rows, ["id", "v"])
     assert [r.v for r in df.select("id", stored_values(F.col("v")).alias("v")).orderBy("id").collect()] == [[0.5, -2.0], [0.0, 4.0], []]
+
+
+def test_rows_are_dealt_by_their_size_in_the_learner(spark):
+    from pyspark.ml.linalg import Vectors
+    from strophe.sources.staging import stage
+    rows = stage(spark.createDataFrame([(Vectors.sparse(10_000, [i], [1.0]), float(i % 2)) for i in range(100)], ["features", L.INDEX]).coalesce(1))
+    parts = L.dealt(rows, task_bytes=1_000_000).rdd.glom().map(len).collect()
+    assert len(parts) == 4 and sum(parts) == 100 and max(parts) <= 40
+    assert L.dealt(rows).rdd.getNumPartitions() == 1 and L.dealt(rows.where("false")).count() == 0
