@@ -2,7 +2,7 @@
 
 A text, with a blank in front, is cut into words wherever no piece has the two neighbouring bytes
 side by side: before a run of blanks, around line feeds, between most letters and signs.  No piece
-crosses such a cut, so every distinct word of the corpus is encoded once:
+crosses such a cut, so words are encoded by themselves, every frequent one once:
 
 1. The words are counted, first within a task, then by a grouping.
 2. The lattice of a word: its substrings of at most the longest piece's length meet the piece
@@ -19,8 +19,9 @@ crosses such a cut, so every distinct word of the corpus is encoded once:
    and those that no piece starts with drop out.  Words too long for the mask are cut by the same
    rules in plain Python.  Characters that are no piece become the pieces of their UTF-8 bytes.
 4. Word codes go back to the texts: the most frequent words, at most ``FREQUENT``, as one
-   broadcast table of hashes and ids; a text's other words through a join, as a list that
-   meets the text by document id.
+   broadcast table of hashes and ids.  A text's other words go through the same lattice and fold
+   where the text is read, those of a block of texts at once, so no text is moved; for a unigram
+   model their codes come through a join, as a list that meets the text by document id.
 
 Nulls: a null or empty text has no ids and decodes to the empty text.  Rows with a null id
 or a repeated id are encoded like any other row.  The blank sign U+2581 counts as a blank,
@@ -315,22 +316,37 @@ def word_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
     return _unigram_codes(words, pieces) if pieces.unigram else _bpe_codes(words, pieces)
 
 
-def _bpe_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
+def _bpe_folder(pieces: Pieces) -> Callable[[list[str]], list]:
+    """A function from words of any length to the codes of each, ``BATCH`` words at a time."""
     lattice, first_byte = Beginnings.of(pieces), pieces.first_byte
     known = {p: (r, i) for p, r, i in zip(pieces.names, np.unique(-np.array(pieces.scores), return_inverse=True)[1].tolist(), pieces.ids)}
 
+    def fold(words: list[str]) -> list:
+        out: list = [None] * len(words)
+        short = [k for k, w in enumerate(words) if len(w) <= LONG]
+        for start in range(0, len(short), BATCH):
+            some = short[start:start + BATCH]
+            codes = lattice.encode([words[k] for k in some], first_byte)
+            ids, at = codes.values.to_numpy(), codes.offsets.to_numpy().tolist()
+            for k, a, b in zip(some, at, at[1:]):
+                out[k] = ids[a:b]
+        for k, word in enumerate(words):
+            if len(word) > LONG:
+                out[k] = merge_long(word, known, first_byte)
+        return out
+
+    return fold
+
+
+def _bpe_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
+    fold = _bpe_folder(pieces)
+
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), BATCH):
                 part = batch.slice(start, BATCH)
-                found = part.column(0).to_pylist()
-                short = np.array([len(w) <= LONG for w in found], bool)
-                few = part.filter(pa.array(short))
-                yield pa.RecordBatch.from_arrays([*few.columns, lattice.encode(few.column(0).to_pylist(), first_byte)], ["word", "n", "ids"])
-                if not short.all():
-                    rest = part.filter(pa.array(~short))
-                    merged = [merge_long(w, known, first_byte) for w in rest.column(0).to_pylist()]
-                    yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(merged, pa.list_(pa.int32()))], ["word", "n", "ids"])
+                ids = fold(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
 
     return words.select("word", "n").mapInArrow(coded, "word string, n long, ids array<int>")
 
@@ -470,19 +486,72 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     apart = pieces.apart()
-    codes = stage(word_codes(word_counts(docs, pieces, text_col), pieces))
+    counts = stage(word_counts(docs, pieces, text_col))
     # How many words are how frequent, by powers of two: at most 63 rows.
     level = F.floor(F.log2("n")).cast("int")
-    steps = {r["level"]: r["count"] for r in codes.groupBy(level.alias("level")).count().collect()}
+    steps = {r["level"]: r["count"] for r in counts.groupBy(level.alias("level")).count().collect()}
     least, held = max(steps, default=0) + 1, 0
     while least > 0 and held + steps.get(least - 1, 0) <= frequent:
         least -= 1
         held += steps.get(least, 0)
-    shared = spark.sparkContext.broadcast(Frequent.collect(codes.where(level >= least)))
-    rare = codes.where(level < least).select("word", "ids")
+    shared = spark.sparkContext.broadcast(Frequent.collect(word_codes(counts.where(level >= least), pieces)))
+    rare = counts.where(level < least)
 
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
 
+    def coded(part: pa.RecordBatch, texts: list[str | None], data: bytes, first: np.ndarray,
+              others: Callable[[list[int], list[bytes]], list]) -> pa.RecordBatch:
+        """The codes of a block; ``others`` has those of words that are not frequent, from the number of their text."""
+        raw = np.frombuffer(data, np.uint8)
+        at = word_starts(raw, apart, first)
+        found, end = shared.value.find(span_hashes(raw, at)), np.append(at[1:], len(data))
+        missing = np.flatnonzero(found < 0)
+        of = np.searchsorted(first, at[missing], "right") - 1
+        ids, many = shared.value.fill(found, others(of.tolist(), [data[i:j] for i, j in zip(at[missing].tolist(), end[missing].tolist())]))
+        # Ids before each text: those of all words before its first one.
+        offset = np.append(0, np.cumsum(many))[np.append(np.searchsorted(at, first), len(at))]
+        out = pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array(texts, pa.string()),
+             pa.ListArray.from_arrays(pa.array(offset, pa.int32()), pa.array(ids, pa.int32()))], ["doc", "text", "ids"])
+        return out if then is None else then[0](out)
+
+    result = "doc long, text string, ids array<int>" if then is None else then[1]
+    if pieces.unigram:
+        coded_ = _with_joined(texts, word_codes(rare, pieces).select("word", "ids"), shared, apart, coded, result)
+    else:
+        coded_ = _with_folded(texts, pieces, coded, result)
+    doc = F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col)
+    return coded_.select(doc, *[F.col(c).alias(text_col if c == "text" else c) for c in coded_.columns if c != "doc"])
+
+
+SLICE = 512  # texts coded at a time
+
+
+def _with_folded(texts: DataFrame, pieces: Pieces, coded: Callable[..., pa.RecordBatch], result: str) -> DataFrame:
+    """Texts coded where they are read: the rare words of a block go through lattice and fold there, each once.
+
+    No text is moved.  A rare word stands in few texts, so it is folded little more often than once.
+    """
+    fold = _bpe_folder(pieces)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def others(_: list[int], words: list[bytes]) -> list:
+            distinct = list(set(words))
+            own = dict(zip(distinct, fold([w.decode() for w in distinct])))
+            return [own[w] for w in words]
+
+        for batch in batches:
+            for start in range(0, len(batch), SLICE):
+                some = batch.slice(start, SLICE)
+                texts = some.column(1).to_pylist()
+                for begin, stop, data, first in blocks(texts):
+                    yield coded(some.slice(begin, stop - begin), texts[begin:stop], data, first, others)
+
+    return texts.mapInArrow(run, result)
+
+
+def _with_joined(texts: DataFrame, rare: DataFrame, shared, apart: np.ndarray, coded: Callable[..., pa.RecordBatch], result: str) -> DataFrame:
+    """Texts coded where they meet the codes of their rare words, which Spark's functions have folded."""
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, docs_, words = batch.column(0).to_pylist(), [], []
@@ -505,32 +574,19 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             packed = [None if t is None else press.compress(t.encode("utf-8", "replace")) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc", "packed"])
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                some = batch.slice(start, 512)
+            for start in range(0, len(batch), SLICE):
+                some = batch.slice(start, SLICE)
                 texts = [None if p is None else press.decompress(p).decode() for p in some.column(1).to_pylist()]
                 for begin, stop, data, first in blocks(texts):
                     part = some.slice(begin, stop - begin)
                     own = [{r["word"].encode(): r["ids"] for r in rows or []} for rows in part.column(2).to_pylist()]
-                    raw = np.frombuffer(data, np.uint8)
-                    at = word_starts(raw, apart, first)
-                    found, end = shared.value.find(span_hashes(raw, at)), np.append(at[1:], len(data))
-                    missing = np.flatnonzero(found < 0)
-                    of = np.searchsorted(first, at[missing], "right") - 1
-                    ids, many = shared.value.fill(found, [own[d][data[at[m]:end[m]]] for d, m in zip(of, missing)])
-                    # Ids before each text: those of all words before its first one.
-                    offset = np.append(0, np.cumsum(many))[np.append(np.searchsorted(at, first), len(at))]
-                    coded = pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array(texts[begin:stop], pa.string()),
-                         pa.ListArray.from_arrays(pa.array(offset, pa.int32()), pa.array(ids, pa.int32()))], ["doc", "text", "ids"])
-                    yield coded if then is None else then[0](coded)
+                    yield coded(part, texts[begin:stop], data, first, lambda of, words: [own[d][w] for d, w in zip(of, words)])
 
     met = texts.mapInArrow(pack, "doc long, packed binary").join(lists, "doc", "left").select("doc", "packed", "rare")
-    coded = met.mapInArrow(code, "doc long, text string, ids array<int>" if then is None else then[1])
-    doc = F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col)
-    return coded.select(doc, *[F.col(c).alias(text_col if c == "text" else c) for c in coded.columns if c != "doc"])
+    return met.mapInArrow(run, result)
 
 
 def piece_bytes(pieces: Pieces) -> list[bytes]:

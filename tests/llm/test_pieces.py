@@ -38,6 +38,14 @@ def test_empty_table(documents):
     assert encode(documents([]), public_pieces()).count() == 0
 
 
+def test_rare_words_are_coded_where_the_text_is(documents, awkward):
+    """Shuffled bytes of a model with merges are those of the word counts: no text meets anything, however many words are rare."""
+    coded = encode(documents(awkward), public_pieces(), frequent=0)
+    plan = coded._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert coded.count() == len(awkward)
+
+
 def test_unigram_viterbi(spark):
     """Best score over all ways to cut a word; characters that are no piece cost most."""
     scores = {" ": -3.0, "a": -2.5, "b": -2.6, "ab": -3.1, "ba": -3.0, "aba": -6.9, " a": -4.0, "bab": -5.0, " abab": -9.9}
