@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,13 @@ def word_array(text: Column | str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts, so that a worker has only some of the texts as Python objects."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
-from .base import query, table
+from .base import query, slices, table
 from .components import components
 from .wordhash import mix, shingle_set, word_rows
 
@@ -66,7 +66,7 @@ class NearDuplicates:
             keys = mix(np.arange(1, samples + 1, dtype=np.uint64) + np.uint64(seed << 20))[:, None] | np.uint64(1)
             lane = np.arange(1, bands + 1, dtype=np.uint64) << np.uint64(32)
             at_bit = np.arange(samples, dtype=np.uint64) << np.uint64(48)
-            for batch in batches:
+            for batch in slices(batches):
                 out = [[], [], [], []]
                 for words in word_rows(batch.column(1).to_pylist()):
                     items = shingle_set(words, width)
@@ -98,7 +98,7 @@ class NearDuplicates:
         width = self.width
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 items = [shingle_set(w, width).view(np.int64) for w in word_rows(batch.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(items, pa.list_(pa.int64()))], ["id", "items"])

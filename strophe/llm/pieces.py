@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
-from .base import query, table
+from .base import query, slices, table
 from .wordhash import mix, powers
 
 FREQUENT = 1 << 20
@@ -103,7 +103,7 @@ def word_counts(docs: DataFrame, pieces: Pieces, text_col: str) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[bytes] = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for _, _, data, first in blocks(batch.column(0).to_pylist()):
                 at = word_starts(np.frombuffer(data, np.uint8), apart, first).tolist()
                 held.update([data[i:j] for i, j in zip(at, [*at[1:], len(data)])])
@@ -338,7 +338,9 @@ def _bpe_folder(pieces: Pieces) -> Callable[[list[str]], list]:
     return fold
 
 
-def _bpe_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
+def _bpe_codes(words: DataFrame, pieces: Pieces, then: Callable | None = None,
+               result: str = "word string, n long, ids array<int>") -> DataFrame:
+    """``(word, n, ids)``, or what ``then`` makes of batches of that in the same worker, of schema ``result``."""
     fold = _bpe_folder(pieces)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +350,7 @@ def _bpe_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
                 ids = fold(part.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
 
-    return words.select("word", "n").mapInArrow(coded, "word string, n long, ids array<int>")
+    return words.select("word", "n").mapInArrow(coded if then is None else lambda batches: then(coded(batches)), result)
 
 
 def _unigram_codes(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -437,16 +439,18 @@ class Frequent:
     ids: np.ndarray
 
     @staticmethod
-    def collect(codes: DataFrame) -> Frequent:
-        """``codes`` must be bounded; only hashes and ids come to the driver."""
+    def collect(words: DataFrame, pieces: Pieces) -> Frequent:
+        """Codes of ``words(word, n)``, which must be bounded; only hashes and ids come to the driver."""
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 words = [w.encode() for w in batch.column(0).to_pylist()]
                 sizes = np.array([len(w) for w in words], np.int64)
                 a, b = span_hashes(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b.astype(np.int32)), batch.column(1)], ["a", "b", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b.astype(np.int32)), batch.column("ids")], ["a", "b", "ids"])
 
-        tab = codes.select("word", "ids").mapInArrow(hashed, "a long, b int, ids array<int>").toArrow().sort_by("a")
+        result = "a long, b int, ids array<int>"
+        tab = (_unigram_codes(words, pieces).mapInArrow(hashed, result) if pieces.unigram
+               else _bpe_codes(words, pieces, hashed, result)).toArrow().sort_by("a")
         ids = tab.column("ids").combine_chunks()
         offset = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]) if len(tab) else np.zeros(1)
         flat = ids.flatten().to_numpy()
@@ -494,7 +498,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     while least > 0 and held + steps.get(least - 1, 0) <= frequent:
         least -= 1
         held += steps.get(least, 0)
-    shared = spark.sparkContext.broadcast(Frequent.collect(word_codes(counts.where(level >= least), pieces)))
+    shared = spark.sparkContext.broadcast(Frequent.collect(counts.where(level >= least), pieces))
     rare = counts.where(level < least)
 
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).alias("text"))
@@ -524,9 +528,6 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     return coded_.select(doc, *[F.col(c).alias(text_col if c == "text" else c) for c in coded_.columns if c != "doc"])
 
 
-SLICE = 512  # texts coded at a time
-
-
 def _with_folded(texts: DataFrame, pieces: Pieces, coded: Callable[..., pa.RecordBatch], result: str) -> DataFrame:
     """Texts coded where they are read: the rare words of a block go through lattice and fold there, each once.
 
@@ -540,12 +541,10 @@ def _with_folded(texts: DataFrame, pieces: Pieces, coded: Callable[..., pa.Recor
             own = dict(zip(distinct, fold([w.decode() for w in distinct])))
             return [own[w] for w in words]
 
-        for batch in batches:
-            for start in range(0, len(batch), SLICE):
-                some = batch.slice(start, SLICE)
-                texts = some.column(1).to_pylist()
-                for begin, stop, data, first in blocks(texts):
-                    yield coded(some.slice(begin, stop - begin), texts[begin:stop], data, first, others)
+        for some in slices(batches):
+            texts = some.column(1).to_pylist()
+            for begin, stop, data, first in blocks(texts):
+                yield coded(some.slice(begin, stop - begin), texts[begin:stop], data, first, others)
 
     return texts.mapInArrow(run, result)
 
@@ -576,14 +575,12 @@ def _with_joined(texts: DataFrame, rare: DataFrame, shared, apart: np.ndarray, c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for start in range(0, len(batch), SLICE):
-                some = batch.slice(start, SLICE)
-                texts = [None if p is None else press.decompress(p).decode() for p in some.column(1).to_pylist()]
-                for begin, stop, data, first in blocks(texts):
-                    part = some.slice(begin, stop - begin)
-                    own = [{r["word"].encode(): r["ids"] for r in rows or []} for rows in part.column(2).to_pylist()]
-                    yield coded(part, texts[begin:stop], data, first, lambda of, words: [own[d][w] for d, w in zip(of, words)])
+        for some in slices(batches):
+            texts = [None if p is None else press.decompress(p).decode() for p in some.column(1).to_pylist()]
+            for begin, stop, data, first in blocks(texts):
+                part = some.slice(begin, stop - begin)
+                own = [{r["word"].encode(): r["ids"] for r in rows or []} for rows in part.column(2).to_pylist()]
+                yield coded(part, texts[begin:stop], data, first, lambda of, words: [own[d][w] for d, w in zip(of, words)])
 
     met = texts.mapInArrow(pack, "doc long, packed binary").join(lists, "doc", "left").select("doc", "packed", "rare")
     return met.mapInArrow(run, result)

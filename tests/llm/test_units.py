@@ -103,3 +103,11 @@ def test_runs_query(spark):
     assert {i: r.text for i, r in runs.items()} == {i: t or "" for i, t in runs_by_force(rows, "sentence", 10).items()}
     # What a sentence of ten words loses, a run loses too.
     assert all(runs[r.doc_id].n_removed >= r.n_removed for r in op6_unit_dedup(spark, folder).collect())
+
+
+def test_a_filter_on_the_kept_text_cuts_no_text_twice(documents, prose):
+    found = remove_repeated(documents([(1, prose), (2, prose)]), "sentence")
+    kept = found.where(F.length("kept_text") > 0)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert [r.doc_id for r in kept.collect()] == [1]
