@@ -29,10 +29,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     The row travels as one column, so columns named like those of the operator keep their values.
     """
-    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_document"))
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    packed = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c not in new]).alias("_document"))
     cut = units.remove_repeated(packed, "sentence")
     left = cut.where((F.col("n_removed") == 0) | F.rlike("kept_text", F.lit(r"[^\x20\x09-\x0D]")))
-    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     return left.select(*[new.get(c, F.col("_document")[c]).alias(c) for c in docs.columns])
 
 

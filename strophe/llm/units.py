@@ -143,11 +143,13 @@ def remove_repeated(docs: DataFrame, unit: str = "line", min_words: int = 10, id
             rows.append((None if text is None else "".join(kept), len(pieces), spans))
         return pd.DataFrame(rows, columns=["kept", "n_units", "removed"])
 
-    # Else a filter on the kept text would be pushed below this column and every text cut twice, in a second worker.
-    out = joined.withColumn("_cut", cut.asNondeterministic()("_text", "gone"))
     made = {"kept_text": F.col("_cut.kept"), "n_units": F.col("_cut.n_units"),
             "n_removed": F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("long"), "removed": F.col("_cut.removed")}
-    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+    names = {c: f"_kept_{i}" for i, c in enumerate(docs.columns) if c not in made}
+    # Else a filter on the kept text would be pushed below the cut and every text cut twice, in a second worker.  Columns are
+    # taken out of the row beside it, since those that nobody reads are not seen through such a function.
+    out = joined.select(*[F.col("_row")[c].alias(n) for c, n in names.items()], "gone", cut.asNondeterministic()("_text", "gone").alias("_cut"))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()], *[v.alias(k) for k, v in made.items()])
 
 
 def _measured(found: DataFrame) -> DataFrame:

@@ -111,3 +111,9 @@ def test_a_filter_on_the_kept_text_cuts_no_text_twice(documents, prose):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_the_text_is_moved_once(documents, prose):
+    found = remove_repeated(documents([(1, prose), (2, prose)]).select("doc_id", "text"), "sentence").select("doc_id", "kept_text")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "named_struct(doc_id, doc_id" not in plan and "struct(doc_id" not in plan
