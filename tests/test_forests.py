@@ -79,3 +79,19 @@ def test_small_forests(spark):
     assert fitted(random_forest(trees=2, depth=3), table(spark, [(Vectors.dense([1.0]), 0, 1), (Vectors.dense([2.0]), 0, 1)])).numClasses == 1
     with pytest.raises(ValueError):
         fitted(random_forest(trees=2), empty.where("false"))
+
+
+def test_staged_rows_carry_no_names_of_features(spark, monkeypatch):
+    """The names of all terms are in the schema of an assembled vector; every task of every pass of a fit would read them."""
+    from strophe.operators import models as M
+    from strophe.operators.features import FeatureSpec, TextColumn
+
+    seen = []
+    monkeypatch.setattr(M, "stage", lambda df: seen.append(stage(df)) or seen[-1])
+    rows = spark.createDataFrame([(f"word{i} {'left' if i % 2 else 'right'}", "ab"[i % 2]) for i in range(200)], ["t", "label"])
+    spec = FeatureSpec(texts=[TextColumn("t")], scaled=(), booleans=())
+    svm = lambda ready: M.svm_one_vs_rest(0.9, ready.count(), max_iter=5)
+    models = [M.fit_classifier(rows, svm, spec, classes=["a", "b"]), M.fit_one_vs_one(rows, spec=spec, classes=["a", "b"], max_iter=5)]
+    assert len(seen) == 2 and all(len(df.schema["features"].json()) < 1000 for df in seen)
+    for model in models:
+        assert M.predict(model, rows, ["label"]).where("label != predicted").count() == 0
