@@ -95,3 +95,21 @@ def test_staged_rows_carry_no_names_of_features(spark, monkeypatch):
     assert len(seen) == 2 and all(len(df.schema["features"].json()) < 1000 for df in seen)
     for model in models:
         assert M.predict(model, rows, ["label"]).where("label != predicted").count() == 0
+
+
+def test_the_forest_search_reads_all_rows(spark, monkeypatch, tmp_path):
+    """It fitted about 2,000 rows by the hash of the id."""
+    from strophe.catalog import QUERIES
+    from strophe.plans import training as P
+
+    rows = [(i, f"word{i % 7} text", ["de", "en", "es", "fr"][i % 4], "src1", 10 + i) for i in range(2600)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def search(train, **options):
+        seen.append((train.count(), options.get("tasks")))
+        return {}, spark.createDataFrame([(0, 5, 0.9)], "draw int, folds int, accuracy double")
+
+    monkeypatch.setattr(P, "search_forest", search)
+    assert QUERIES["forest_search"](spark, str(tmp_path)).count() == 1
+    assert seen == [(2600, None)]
