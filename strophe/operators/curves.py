@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import argmax_vector, bind
 from ..wordlists import EMOTIONS
+from .features import unnamed
 from .models import INDEX, with_index
 
 
@@ -33,7 +34,7 @@ def prefix_predictions(model: PipelineModel, df: DataFrame, keep: Sequence[str],
     """``keep`` and the class ahead after each of the first ``trees`` trees of a fitted forest, in one pass over ``df``."""
     at = next(i for i, stage in enumerate(model.stages) if hasattr(stage, "trees"))
     forest = model.stages[at]
-    scored = PipelineModel(model.stages[:at]).transform(df).select(*keep, forest.getFeaturesCol())
+    scored = PipelineModel(model.stages[:at]).transform(df).select(*keep, unnamed(forest.getFeaturesCol()))
     names = []
     for i, tree in enumerate(forest.trees[:trees]):
         names.append(f"_share_{i}")

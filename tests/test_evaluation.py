@@ -299,3 +299,29 @@ def test_rows_are_dealt_by_their_size_in_the_learner(spark):
     parts = L.dealt(rows, task_bytes=1_000_000).rdd.glom().map(len).collect()
     assert len(parts) == 4 and sum(parts) == 100 and max(parts) <= 40
     assert L.dealt(rows).rdd.getNumPartitions() == 1 and L.dealt(rows.where("false")).count() == 0
+
+
+def test_a_vocabulary_of_more_than_262144_terms(spark):
+    """The titles of a few million rows have more; they were refused."""
+    from strophe.operators.features import fit_features
+
+    words = spark.range(400).selectExpr("id", "concat_ws(' ', 'both', 'both', transform(sequence(1, 700), i -> concat('w', id * 700 + i))) AS title")
+    model = fit_features(words, FeatureSpec(texts=[TextColumn("title")], scaled=(), booleans=()))
+    row = model.transform(words).where("id = 3").first()
+    idf = np.log(401 / 2) + 1
+    length = np.sqrt(4 + 700 * idf ** 2)
+    assert len(row.features) == 280_001 and row.features.numNonzeros() == 701
+    assert row.features[0] == pytest.approx(2 / length) and np.allclose(row.features.values[1:], idf / length)
+
+
+def test_a_vocabulary_sent_at_once_is_the_librarys(spark):
+    """Words in their order, with any letters in them."""
+    from pyspark.ml.feature import CountVectorizerModel
+    from strophe.operators.features import _counter
+
+    for words in (["a b", "\\n", "\n", "été", "\U00010400x", "$^|."], ["one\x01two", "x"]):
+        ours, theirs = _counter(words, "t", "c"), CountVectorizerModel.from_vocabulary(words, "t", "c")
+        assert ours.vocabulary == theirs.vocabulary == words
+        assert (ours.getInputCol(), ours.getOutputCol(), ours.getVocabSize()) == ("t", "c", len(words))
+        df = spark.createDataFrame([([words[-1], words[0], words[0]],)], ["t"])
+        assert ours.transform(df).first()["c"] == theirs.transform(df).first()["c"]
