@@ -113,3 +113,51 @@ def test_the_forest_search_reads_all_rows(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(P, "search_forest", search)
     assert QUERIES["forest_search"](spark, str(tmp_path)).count() == 1
     assert seen == [(2600, None)]
+
+
+def grown(rows, common, monkeypatch):
+    """A forest over one block, grown here, and how many entries of columns it went through."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(G, "COMMON", common)
+    batch = pa.RecordBatch.from_pydict({
+        "feature": pa.array([v.indices.tolist() for v, _, _ in rows], pa.list_(pa.int32())), "value": pa.array([v.values.tolist() for v, _, _ in rows]),
+        "y": pa.array([y for _, y, _ in rows], pa.int32()), "weight": np.array([float(w) for _, _, w in rows])})
+    bins = G.Bins(40, np.repeat(np.arange(40), 4), np.tile([-1.0, .5, 1.0, 2.0], 40))
+    block, seen = G.Block(G._packed(0, batch, bins)), []
+    block.arrange(bins)
+    cells = block.cells
+    block.cells = lambda feature: (seen.append(len(c[0])) or c for c in cells(feature))
+    plan = {"trees": 5, "depth": 12, "min_leaf": 1, "bootstrap": True, "impurity": "gini", "seed": 1, "width": 40, "classes": 3, "take": 7}
+    trees = np.arange(5)
+    forest = G.Forest(plan, trees, G.Forest(plan, trees, np.zeros((5, 4))).totals(block))
+    forest.grow(lambda f, nodes: f.best(bins, f.counts(block, bins, nodes, f.subset)))
+    return forest, sum(seen)
+
+
+def test_common_features_are_looked_up_by_the_rows_of_a_node(monkeypatch):
+    """The same trees whichever features are common; a node no longer goes through whole columns, which took most of a fit of texts."""
+    rows = list(mixed(700))
+    none, entries = grown(rows, 0, monkeypatch)
+    some, fewer = grown(rows, 8, monkeypatch)
+    every, nothing = grown(rows, 1 << 30, monkeypatch)
+    assert len(none.slot) > 200 and nothing == 0 < fewer < entries
+    for other in (some, every):
+        for name in ("slot", "number", "feature", "bin", "left", "gain", "stats"):
+            assert np.array_equal(getattr(none, name), getattr(other, name))
+
+
+def test_counts_come_in_parts(spark, monkeypatch):
+    """A task adds up the counts of its blocks and sends them when they are many; a node's counts may come in several batches."""
+    ready = table(spark, mixed(300))
+    learner = random_forest(trees=6, depth=6, bootstrap=False, max_features="all")
+    one = fitted(learner, ready)
+    monkeypatch.setattr(G, "BLOCK", 20)
+    monkeypatch.setattr(G, "CELLS", 500)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "60")
+    try:
+        many = fitted(learner, ready)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert [nodes(t) for t in one.trees] == [nodes(t) for t in many.trees]
